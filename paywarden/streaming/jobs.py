@@ -118,15 +118,15 @@ def chained_metrics(valid: DataFrame, run_ts: Column) -> DataFrame:
 def publish_minutes(lake: Lake, payments: DataFrame, batch_id: int, run_ts: Column) -> None:
     """Write bronze, alerts and metrics of whole minutes into the partitions of one batch."""
     # Three writes read the rows; without this the de-duplication would run three times.
-    payments.persist()
+    minutes = payments.select(F.col("window.start").alias("minute"), *schemas.BRONZE.fieldNames())
+    minutes.persist()
     try:
-        bronze = require_values(payments.select(*schemas.BRONZE.fieldNames()), schemas.BRONZE)
+        bronze = require_values(minutes.drop("minute"), schemas.BRONZE)
         lake.write_batch(bronze, tables.BRONZE, batch_id)
-        lake.write_batch(high_risk_alerts(payments, run_ts), tables.ALERTS, batch_id)
-        metrics = minute_metrics(payments, F.col("window.start"), run_ts)
-        lake.write_batch(metrics, tables.METRICS, batch_id)
+        lake.write_batch(high_risk_alerts(minutes, run_ts), tables.ALERTS, batch_id)
+        lake.write_batch(minute_metrics(minutes, F.col("minute"), run_ts), tables.METRICS, batch_id)
     finally:
-        payments.unpersist()
+        minutes.unpersist()
 
 
 def start_publishing(

@@ -1,8 +1,4 @@
-"""JSON values to column types, with the loose typing a dynamic producer allows.
-
-In every function SQL NULL stands for a missing key, and a JSON null is a
-variant null.
-"""
+"""JSON values to column types, with the loose typing a dynamic producer allows."""
 
 from __future__ import annotations
 
@@ -37,15 +33,14 @@ def truthy(value: Column) -> Column:
     )
 
 
-def number(value: Column) -> Column:
-    """Finite double of a variant number, numeric text or boolean, else NULL."""
-    text = value.cast("string")
-    parsed = F.replace(text, F.lit("_"), F.lit("")).try_cast("double")
-    finite = F.when(F.abs(parsed) < float("inf"), parsed)
-    return (
-        F.when(F.schema_of_variant(value) == "BOOLEAN", F.when(text == "true", 1.0).otherwise(0.0))
-        .when(text.rlike(_NUMBER), finite)
-    )
+def number(text: Column) -> Column:
+    """Double of a numeric text, else NULL. A text beyond the range of doubles gives infinity."""
+    return F.when(text.rlike(_NUMBER), F.replace(text, F.lit("_"), F.lit("")).try_cast("double"))
+
+
+def is_number(value: Column) -> Column:
+    """Neither NULL nor infinite."""
+    return F.coalesce(F.abs(value) < float("inf"), F.lit(False))
 
 
 def instant(text: Column) -> Column:

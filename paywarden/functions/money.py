@@ -19,24 +19,23 @@ def round_half_even(value: Column) -> Column:
     """Round a double to 2 places by its exact binary value, true ties to even.
 
     ``bround`` looks at the shortest decimal text of the double: it takes 2.675
-    for a tie although the stored value lies below it. Only values within one
-    unit in the last place of a tie can differ; for these the sign of
-    ``value * 200 - nearest odd integer`` is computed without rounding error.
+    for a tie although the stored value lies below it. Here the integer nearest
+    to ``value * 200`` tells the result if it is even; if it is odd, the value
+    is close to a tie, and the sign of its distance from the tie is computed
+    without rounding error.
     """
     doubled = F.rint(value * 200.0)
-    near_tie = (
-        (F.abs(value) < _EXACT_BOUND) & (doubled == value * 200.0) & (F.abs(doubled % 2.0) == 1.0)
-    )
     shifted = value * _SPLITTER
     high = shifted - (shifted - value)
     low = value - high
     excess = (high * 200.0 - doubled) + low * 200.0
     hundredths = (
-        F.when(excess > 0, (doubled + 1.0) / 2.0)
+        F.when(doubled % 2.0 == 0, doubled / 2.0)
+        .when(excess > 0, (doubled + 1.0) / 2.0)
         .when(excess < 0, (doubled - 1.0) / 2.0)
         .otherwise(F.rint(doubled / 2.0))
     )
-    return F.when(near_tie, hundredths / 100.0).otherwise(F.bround(value, 2))
+    return F.when(F.abs(value) < _EXACT_BOUND, hundredths / 100.0).otherwise(F.bround(value, 2))
 
 
 def exact_sum(amount: Column) -> Column:

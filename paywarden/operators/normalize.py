@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paywarden.functions.coerce import instant, number, truthy
+from paywarden.functions.coerce import instant, is_number, number
 from paywarden.functions.money import round_half_even
 from paywarden.operators.scoring import score_payments
 from paywarden.schemas import BRONZE, REQUIRED_FIELDS
@@ -15,8 +15,6 @@ AMOUNT_NOT_NUMERIC = "amount must be numeric"
 
 LATE_AFTER_SECONDS = 300
 
-_FLAGS = ("is_card_present", "is_new_device", "simulated_fraud_label")
-
 # The order in which a missing or unusable key is noticed.
 _FAILURE_ORDER = (
     "transaction_ts",
@@ -43,23 +41,16 @@ _FAILURE_ORDER = (
 def type_payments(parsed: DataFrame) -> DataFrame:
     """Coerce parsed keys to types and keep the first failure in ``coercion_error``.
 
-    ``transaction_ts`` becomes an instant, ``amount`` a double and the flags
-    booleans; texts stay as sent.
+    ``transaction_ts`` becomes an instant and ``amount`` a double; texts stay as sent.
     """
     carried = [name for name in parsed.columns if name not in REQUIRED_FIELDS + ("parse_error",)]
-    values = {name: F.col(name) for name in REQUIRED_FIELDS}
-    values["transaction_ts"] = instant(F.col("transaction_ts"))
-    values["amount"] = number(F.col("amount"))
-    for flag in _FLAGS:
-        values[flag] = truthy(F.col(flag))
-
     # Typed columns carry a prefix until the failure check has seen both forms.
     typed = parsed.select(
         *carried,
         "parse_error",
         *REQUIRED_FIELDS,
-        values["transaction_ts"].alias("_transaction_ts"),
-        values["amount"].alias("_amount"),
+        instant(F.col("transaction_ts")).alias("_transaction_ts"),
+        number(F.col("amount")).alias("_amount"),
     )
     checks = [F.col("parse_error")]
     for name in _FAILURE_ORDER:
@@ -67,17 +58,16 @@ def type_payments(parsed: DataFrame) -> DataFrame:
         if name == "transaction_ts":
             checks.append(F.when(F.col("_transaction_ts").isNull(), F.lit(INVALID_TIMESTAMP)))
         if name == "amount":
-            checks.append(F.when(F.col("_amount").isNull(), F.lit(AMOUNT_NOT_NUMERIC)))
-    values["transaction_ts"] = F.col("_transaction_ts")
-    values["amount"] = F.col("_amount")
+            checks.append(F.when(~is_number(F.col("_amount")), F.lit(AMOUNT_NOT_NUMERIC)))
+    replaced = ("transaction_ts", "amount")
     return typed.select(
         *carried,
-        *[values[name].alias(name) for name in REQUIRED_FIELDS],
+        *[F.col(f"_{name}" if name in replaced else name).alias(name) for name in REQUIRED_FIELDS],
         F.coalesce(*checks).alias("coercion_error"),
     )
 
 
-def normalize_payments(payments: DataFrame, as_of: Column) -> DataFrame:
+def normalize_payments(payments: DataFrame, as_of: Column | str) -> DataFrame:
     """Score typed payments and project them to the 24 bronze columns.
 
     ``as_of`` is the processing time: a column of the input or the current

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from paywarden.functions.coerce import truthy
 from paywarden.schemas import REQUIRED_FIELDS
 
-# Keys whose JSON type matters; all others are read as text.
-VARIANT_FIELDS = ("amount", "is_card_present", "is_new_device", "simulated_fraud_label")
-TEXT_FIELDS = tuple(name for name in REQUIRED_FIELDS if name not in VARIANT_FIELDS)
+FLAG_FIELDS = ("is_card_present", "is_new_device", "simulated_fraud_label")
+TEXT_FIELDS = tuple(name for name in REQUIRED_FIELDS if name not in FLAG_FIELDS)
 
 # Fixed value: the message for a payload that is JSON but no object.
 NOT_AN_OBJECT = "The Pub/Sub message must be a JSON object."
@@ -17,7 +17,7 @@ MALFORMED = "malformed JSON"
 NOT_UTF8 = "payload is not valid UTF-8"
 
 _PAYLOAD = "array<struct<{}>>".format(
-    ",".join(f"{name}:{'variant' if name in VARIANT_FIELDS else 'string'}" for name in REQUIRED_FIELDS)
+    ",".join(f"{name}:{'boolean' if name in FLAG_FIELDS else 'string'}" for name in REQUIRED_FIELDS)
 )
 _STRICT = {"allowSingleQuotes": "false"}
 
@@ -34,82 +34,82 @@ def decode_payload(messages: DataFrame, payload: str = "value") -> DataFrame:
     )
 
 
-def _document_error(message: Column) -> Column:
-    """Why a message is not one JSON object."""
-    is_one_value = F.json_array_length(F.concat(F.lit("["), message, F.lit("]"))) == 1
-    return F.when(is_one_value, F.lit(NOT_AN_OBJECT)).otherwise(F.lit(MALFORMED))
-
-
 def parse_messages(messages: DataFrame) -> DataFrame:
     """Add one column per required key and ``parse_error`` to rows with ``raw_message``.
 
-    A text column is NULL for a missing key and ``'None'`` for a JSON null. The
-    four typed keys stay variants. ``parse_error`` is NULL for a JSON object.
+    NULL stands for a missing key. Texts, among them the amount, have a JSON
+    null as ``'None'``; flags are the truth of their JSON value.
+    ``parse_error`` is NULL for a JSON object.
 
-    The text is parsed once. Putting it in brackets makes trailing text after
-    the object an error, and reading the single element with a generator keeps
-    later filters from being pushed below the parse and running it twice.
+    Most messages need one pass over the text with a fixed schema. A row where
+    that leaves a doubt, for example between a missing key and a null, is read
+    a second time as a variant. Putting the text in brackets makes anything
+    after the object an error, and reading the single element with a generator
+    keeps later filters from being pushed below the parse and running it twice.
     """
-    message = F.col("raw_message")
     carried = [name for name in messages.columns if name != "decode_error"]
     decode_error = (
         F.col("decode_error") if "decode_error" in messages.columns else F.lit(None).cast("string")
     )
+    bracketed = F.concat(F.lit("["), F.col("raw_message"), F.lit("]"))
     documents = messages.select(
         *carried,
         decode_error.alias("_decode_error"),
-        F.from_json(F.concat(F.lit("["), message, F.lit("]")), _PAYLOAD, _STRICT).alias("_documents"),
-    )
-    # A closing bracket right after an object may end the added bracket early.
-    closes_early = message.rlike(r"\}\s*\]") & F.expr(
-        "try_parse_json(concat('{\"m\":', raw_message, '}')) IS NULL"
+        F.from_json(bracketed, _PAYLOAD, _STRICT).alias("_documents"),
     )
+
     first = F.get("_documents", F.lit(0))
-    is_object = (
-        F.col("_decode_error").isNull()
-        & (F.size("_documents") == 1)
-        & first.isNotNull()
-        & ~closes_early
-    )
-    # A text key read as NULL is missing or a JSON null, and one read as
-    # true or false may be a boolean. Only such a row is parsed a second time.
-    unclear = F.lit(False)
+    unclear = F.col("_documents").isNull() | (F.size("_documents") != 1)
+    for name in REQUIRED_FIELDS:
+        unclear = unclear | first.getField(name).isNull()
     for name in TEXT_FIELDS:
-        text = first.getField(name)
-        unclear = unclear | text.isNull() | text.isin("true", "false")
-    checked = documents.select(
+        unclear = unclear | first.getField(name).isin("true", "false")
+    read_again = documents.select(
         *carried,
+        "_decode_error",
         "_documents",
-        F.when(
-            ~F.coalesce(is_object, F.lit(False)),
-            F.coalesce(F.col("_decode_error"), _document_error(message)),
-        ).alias("parse_error"),
-        F.when(unclear, F.expr("try_parse_json(raw_message)")).alias("_document"),
+        F.when(unclear, F.try_parse_json(bracketed)).alias("_bracketed"),
+        unclear.alias("_unclear"),
     )
-    cleared = checked.select(
-        *carried,
-        "parse_error",
-        F.when(
-            F.col("parse_error").isNull(),
-            F.when(F.col("_document").isNull(), F.col("_documents")).otherwise(
-                F.transform("_documents", _clear_texts)
-            ),
-        ).alias("_documents"),
+
+    # A closing bracket right after an object may end the added bracket early.
+    closes_early = F.col("raw_message").rlike(r"\}\s*\]") & F.expr(
+        "try_parse_json(concat('{\"m\":', raw_message, '}')) IS NULL"
+    )
+    element = F.try_variant_get("_bracketed", "$[0]", "variant")
+    second_error = F.when(
+        element.isNull() | F.try_variant_get("_bracketed", "$[1]", "variant").isNotNull(),
+        F.lit(MALFORMED),
+    ).when(~F.schema_of_variant(element).startswith("OBJECT"), F.lit(NOT_AN_OBJECT))
+    parse_error = F.coalesce(
+        F.col("_decode_error"),
+        F.when(closes_early, F.lit(MALFORMED)),
+        F.when(F.col("_unclear"), second_error),
+    )
+    checked = read_again.select(*carried, "_documents", "_bracketed", parse_error.alias("parse_error"))
+    final = F.when(F.col("_bracketed").isNull(), F.col("_documents")).otherwise(
+        F.transform(F.array(element), _read_variant)
     )
-    return cleared.select(*carried, "parse_error", F.inline_outer("_documents"))
+    return checked.select(
+        *carried, "parse_error", F.when(F.col("parse_error").isNull(), final).alias("_documents")
+    ).select(*carried, "parse_error", F.inline_outer("_documents"))
 
 
-def _clear_texts(document: Column) -> Column:
-    """The parsed document with JSON nulls and booleans written the way the producer's texts are."""
+def _read_variant(document: Column) -> Column:
+    """The required keys of a JSON object with the distinctions of a dynamic producer."""
     fields = []
     for name in REQUIRED_FIELDS:
-        value = document.getField(name)
+        value = F.try_variant_get(document, f"$.{name}", "variant")
+        text = value.cast("string")
+        is_boolean = F.schema_of_variant(value) == "BOOLEAN"
+        if name in FLAG_FIELDS:
+            field = F.when(value.isNotNull(), truthy(value))
+        elif name == "amount":
+            # A boolean counts as one or zero.
+            field = F.when(is_boolean, F.when(text == "true", "1").otherwise("0")).otherwise(text)
+        else:
+            field = F.when(is_boolean, F.initcap(text)).otherwise(text)
         if name in TEXT_FIELDS:
-            original = F.try_variant_get("_document", f"$.{name}", "variant")
-            value = (
-                F.when(F.is_variant_null(original), F.lit("None"))
-                .when(F.schema_of_variant(original) == "BOOLEAN", F.initcap(value))
-                .otherwise(value)
-            )
-        fields.append(value.alias(name))
+            field = F.when(F.is_variant_null(value), F.lit("None")).otherwise(field)
+        fields.append(field.alias(name))
     return F.struct(*fields)

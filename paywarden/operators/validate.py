@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paywarden.functions.coerce import instant, is_blank, number
+from paywarden.functions.coerce import instant, is_blank, is_number, number
 from paywarden.functions.texts import present
 from paywarden.operators.normalize import (
     AMOUNT_NOT_NUMERIC,
@@ -28,7 +28,7 @@ COUNTRY_EMPTY = "txn_country cannot be empty"
 FIELDS_MISSING = "Missing required fields: "
 
 
-def _rule_errors(amount: Column, event_time: Column, as_of: Column) -> list[Column]:
+def _rule_errors(amount: Column, event_time: Column, as_of: Column | str) -> list[Column]:
     """The six value checks in reporting order; NULL where a check passes."""
     status = F.col("txn_status")
     return [
@@ -41,7 +41,7 @@ def _rule_errors(amount: Column, event_time: Column, as_of: Column) -> list[Colu
     ]
 
 
-def validate_normalized(normalized: DataFrame, as_of: Column) -> DataFrame:
+def validate_normalized(normalized: DataFrame, as_of: Column | str) -> DataFrame:
     """Turn ``coercion_error`` and the value checks on bronze rows into ``errors``."""
     found = present(_rule_errors(F.col("amount"), F.col("transaction_ts"), as_of))
     errors = F.when(
@@ -51,7 +51,7 @@ def validate_normalized(normalized: DataFrame, as_of: Column) -> DataFrame:
     return normalized.select(*kept, errors.alias("errors"))
 
 
-def validate_raw(parsed: DataFrame, as_of: Column) -> DataFrame:
+def validate_raw(parsed: DataFrame, as_of: Column | str) -> DataFrame:
     """Check parsed events before normalisation: ``raw_message`` and ``errors``.
 
     Missing keys are reported together and end the check; otherwise every
@@ -68,7 +68,7 @@ def validate_raw(parsed: DataFrame, as_of: Column) -> DataFrame:
         missing.alias("_missing"),
     )
     timestamp_error = F.when(F.col("_transaction_ts").isNull(), F.lit(INVALID_TIMESTAMP))
-    number_error = F.when(F.col("_amount").isNull(), F.lit(AMOUNT_NOT_NUMERIC))
+    number_error = F.when(~is_number(F.col("_amount")), F.lit(AMOUNT_NOT_NUMERIC))
     checks = _rule_errors(F.col("_amount"), F.col("_transaction_ts"), as_of)
     errors = (
         F.when(F.col("parse_error").isNotNull(), F.array(F.col("parse_error")))
@@ -81,7 +81,7 @@ def validate_raw(parsed: DataFrame, as_of: Column) -> DataFrame:
     return typed.select(*carried, errors.alias("errors"))
 
 
-def process_messages(messages: DataFrame, as_of: Column) -> DataFrame:
+def process_messages(messages: DataFrame, as_of: Column | str) -> DataFrame:
     """Parse, normalise and validate: one row per message with bronze columns and ``errors``.
 
     ``as_of`` may refer to a column of ``messages``; the input columns are kept.
@@ -103,7 +103,7 @@ def valid_payments(processed: DataFrame) -> DataFrame:
     return routed.filter(F.size("errors") == 0).select(*columns)
 
 
-def dead_letters(processed: DataFrame, as_of: Column) -> DataFrame:
+def dead_letters(processed: DataFrame, as_of: Column | str) -> DataFrame:
     """Rows with errors as dead-letter records."""
     records = processed.select(
         F.date_trunc("second", as_of).alias("received_ts"),

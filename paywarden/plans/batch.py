@@ -18,13 +18,13 @@ from paywarden.streaming.jobs import (
 )
 
 
-def deduplicated_payments(messages: DataFrame, as_of: Column) -> DataFrame:
+def deduplicated_payments(messages: DataFrame, as_of: Column | str) -> DataFrame:
     """Valid payments, once per id and publish minute, with their ``window``; nothing is written."""
     return earliest_per_minute(valid_payments(process_messages(messages, as_of)))
 
 
 def process_period(
-    spark: SparkSession, messages: DataFrame, lake: Lake, period_id: int, as_of: Column, run_ts: Column
+    spark: SparkSession, messages: DataFrame, lake: Lake, period_id: int, as_of: Column | str, run_ts: Column
 ) -> None:
     """Write bronze, alerts, metrics and dead letters of one period of messages.
 

@@ -31,6 +31,13 @@ SETTINGS = {
 }
 
 
+# Settings that only take effect when the session is created.
+STATIC_SETTINGS = {
+    # Call sites of single column expressions; recording them costs more than planning.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Put the required settings on an existing session and return it."""
     for key, value in SETTINGS.items():
@@ -41,7 +48,7 @@ def configure(spark: SparkSession) -> SparkSession:
 def build_session(app_name: str = "paywarden", **overrides: str) -> SparkSession:
     """Create a session with the required settings; the master comes from spark-submit or ``overrides``."""
     builder = SparkSession.builder.appName(app_name)
-    for key, value in {**SETTINGS, **overrides}.items():
+    for key, value in {**SETTINGS, **STATIC_SETTINGS, **overrides}.items():
         builder = builder.config(key, value)
     return configure(builder.getOrCreate())
 

@@ -38,7 +38,7 @@ def read_messages(spark: SparkSession, path: str) -> DataFrame:
 
 def read_dead_letters(spark: SparkSession, path: str) -> DataFrame:
     """Dead-letter records as written by the dead-letter sink."""
-    return spark.read.schema(DEAD_LETTER).json(path)
+    return spark.read.schema(DEAD_LETTER).json(path).select(*DEAD_LETTER.fieldNames())
 
 
 def replay_messages(dead_letters: DataFrame) -> DataFrame:

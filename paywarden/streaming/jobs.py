@@ -39,7 +39,7 @@ STAGED = T.StructType(
 )
 
 
-def staged_messages(messages: DataFrame, as_of: Column) -> DataFrame:
+def staged_messages(messages: DataFrame, as_of: Column | str) -> DataFrame:
     """Processed messages with their route; the message text is kept for rejected rows only."""
     processed = process_messages(messages, as_of)
     rejected = F.size("errors") > 0

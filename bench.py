@@ -71,7 +71,7 @@ def main() -> None:
         "process_messages",
         lambda: staged_messages(messages, "publish_ts").write.format("noop").mode("overwrite").save(),
     )
-    timed("period_batch", lambda: process_period(spark, messages, lake, 0, "publish_ts", now))
+    timed("period_batch", lambda: process_period(spark, messages, lake, "all", "publish_ts", now))
     timed("silver", lambda: lake.replace(curate_transactions(bronze()), tables.SILVER))
     timed("merchant_kpis", lambda: lake.replace(merchant_hourly_kpis(silver()), tables.MERCHANT_KPIS))
     timed("country_hotspots", lambda: lake.replace(country_fraud_hotspots(silver()), tables.COUNTRY_HOTSPOTS))

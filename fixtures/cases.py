@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fixtures.payments import heartbeat, raw_messages, stream_events, typed_payments
+from fixtures.payments import heartbeat, raw_messages, typed_payments
 from paywarden.operators.alerts import high_risk_alerts
 from paywarden.operators.curate import curate_transactions
 from paywarden.operators.dedup import earliest_per_minute
@@ -27,10 +27,11 @@ from paywarden.schemas import BRONZE
 from paywarden.session import configure, shared_dir
 from paywarden.sources import lake as tables
 from paywarden.sources.lake import Lake
-from paywarden.sources.raw import read_dead_letters, replay_messages
+from paywarden.sources.raw import read_dead_letters, replay_messages, stream_from_files
 from paywarden.streaming.jobs import chained_metrics, drain, read_staged, start_processing
 
 RUN_TS = "2024-02-01 00:00:00"
+ALL_FILES = str(2**31 - 1)
 
 
 def _as_of() -> Column:
@@ -160,13 +161,13 @@ def messages_to_hotspots(spark: SparkSession, sf_dir: str) -> DataFrame:
 def period_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The batch job over a closed period, read back from its bronze table."""
     lake = Lake(shared_dir(spark, "period"))
-    process_period(spark, raw_messages(spark, sf_dir), lake, 0, _as_of(), _run_ts())
+    process_period(spark, raw_messages(spark, sf_dir), lake, "all", _as_of(), _run_ts())
     return lake.read(spark, tables.BRONZE)
 
 
 def _rebuilt(spark: SparkSession, sf_dir: str) -> Lake:
     lake = Lake(shared_dir(spark, "warehouse"))
-    lake.write_batch(scored_payments(spark, sf_dir), tables.BRONZE, 0)
+    lake.write_batch(scored_payments(spark, sf_dir), tables.BRONZE, "fixture")
     rebuild_warehouse(spark, lake, _run_date(), _run_ts())
     return lake
 
@@ -180,17 +181,16 @@ def warehouse_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def message_stream(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
-    """The raw messages as a stream over ``events``, closed by a heartbeat."""
-    heartbeat(spark).write.mode("overwrite").parquet(folder)
-    closing = spark.readStream.schema("raw_message string, publish_ts timestamp").parquet(folder)
-    return raw_messages(spark, sf_dir, stream_events(spark, sf_dir)).unionByName(closing)
+    """The raw messages, closed by a heartbeat, as files that one micro-batch takes."""
+    raw_messages(spark, sf_dir).unionByName(heartbeat(spark)).write.parquet(folder)
+    return stream_from_files(spark, folder, maxFilesPerTrigger=ALL_FILES)
 
 
 def drained(spark: SparkSession, sf_dir: str) -> Lake:
     """Run the streaming jobs until everything given is published."""
     lake = Lake(shared_dir(spark, "stream"))
-    messages = message_stream(spark, sf_dir, f"{lake.root}/heartbeat")
-    drain(spark, messages, lake, _as_of(), _run_ts(), maxFilesPerTrigger=str(2**31 - 1))
+    messages = message_stream(spark, sf_dir, f"{lake.root}/messages")
+    drain(spark, messages, lake, _as_of(), _run_ts(), maxFilesPerTrigger=ALL_FILES)
     return lake
 
 
@@ -209,9 +209,9 @@ def stream_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metrics from two chained stateful steps with a file sink of their own."""
     lake = Lake(shared_dir(spark, "stream"))
-    messages = message_stream(spark, sf_dir, f"{lake.root}/heartbeat")
+    messages = message_stream(spark, sf_dir, f"{lake.root}/messages")
     start_processing(messages, lake, _as_of(), {"availableNow": True}).awaitTermination()
-    staged = read_staged(spark, lake, "valid", maxFilesPerTrigger=str(2**31 - 1))
+    staged = read_staged(spark, lake, "valid", maxFilesPerTrigger=ALL_FILES)
     path = f"{lake.root}/metrics"
     (
         chained_metrics(staged, _run_ts())

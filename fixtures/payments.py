@@ -27,33 +27,17 @@ EVENTS = T.StructType(
 )
 
 
-def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
-
-
-def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events as a stream that takes all files into its first batch.
-
-    The braces make the path a pattern, as a stream rejects the plain path of a single file.
-    """
-    return (
-        spark.readStream.schema(EVENTS)
-        .option("maxFilesPerTrigger", str(2**31 - 1))
-        .parquet(f"{sf_dir}/{{events.parquet}}")
-    )
-
-
 def _pick(values: tuple[str, ...], index: Column) -> Column:
     return F.get(F.array(*[F.lit(v) for v in values]), index.cast("int"))
 
 
-def typed_payments(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
+def typed_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed payments with ``event_id``, ``copy`` and ``publish_ts``; copies share an id.
 
     The joins carry no hints: Spark broadcasts a side only below its size
     threshold and otherwise shuffles, splitting a customer with many events.
     """
-    events = read_events(spark, sf_dir) if events is None else events
+    events = spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
     customer = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", "c_nationkey")
     nation = spark.read.parquet(f"{sf_dir}/nation.parquet").select("n_nationkey", "n_name")
 
@@ -111,9 +95,9 @@ def typed_payments(spark: SparkSession, sf_dir: str, events: DataFrame | None =
     )
 
 
-def raw_messages(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
+def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``raw_message`` and ``publish_ts`` of every payment, with a fault in twelve of fifty event ids."""
-    typed = typed_payments(spark, sf_dir, events)
+    typed = typed_payments(spark, sf_dir)
     fault = F.col("event_id") % 50
 
     def quoted(value: Column) -> Column:

@@ -24,20 +24,20 @@ def deduplicated_payments(messages: DataFrame, as_of: Column | str) -> DataFrame
 
 
 def process_period(
-    spark: SparkSession, messages: DataFrame, lake: Lake, period_id: int, as_of: Column | str, run_ts: Column
+    spark: SparkSession, messages: DataFrame, lake: Lake, period: str, as_of: Column | str, run_ts: Column
 ) -> None:
     """Write bronze, alerts, metrics and dead letters of one period of messages.
 
     The parsed messages are written once, split by route, and each output reads
     its own route. Running a period again replaces its files.
     """
-    staged_path = f"{lake.staging_path}-period={period_id}"
+    staged_path = f"{lake.staging_path}-period={period}"
     staged_messages(messages, as_of).write.mode("overwrite").partitionBy("route").parquet(staged_path)
     staged = spark.read.schema(STAGED).parquet(staged_path)
 
     rejected = staged.filter(F.col("route") == INVALID)
     dead_letter_records(rejected).write.mode("overwrite").partitionBy("window").json(
-        f"{lake.dead_letter_path}-period={period_id}"
+        f"{lake.dead_letter_path}-period={period}"
     )
     valid = staged.filter(F.col("route") == VALID).drop("errors", "raw_message", "route")
-    publish_minutes(lake, earliest_per_minute(valid), period_id, run_ts)
+    publish_minutes(lake, earliest_per_minute(valid), f"period-{period}", run_ts)

@@ -13,7 +13,7 @@ from paywarden import schemas
 
 NAMESPACES = ("bronze", "silver", "gold", "ops")
 
-# Partition of one micro-batch; a repeated batch replaces exactly its own files.
+# Partition of one micro-batch or replayed period; writing it again replaces exactly its own files.
 BATCH = "batch_id"
 
 
@@ -45,7 +45,7 @@ class Table:
         kept = [f for f in self.schema if f.name == self.partition]
         keys = kept or [T.StructField(self.partition, T.DateType())]
         if self.per_batch:
-            keys = keys + [T.StructField(BATCH, T.LongType())]
+            keys = keys + [T.StructField(BATCH, T.StringType())]
         return T.StructType(data + keys)
 
 
@@ -152,9 +152,9 @@ class Lake:
         """Add rows."""
         self._writer(_laid_out(rows, table), table).mode("append").parquet(self.path(table))
 
-    def write_batch(self, rows: DataFrame, table: Table, batch_id: int) -> None:
-        """Write one micro-batch; writing the same batch again replaces its files."""
-        batch = rows.withColumn(BATCH, F.lit(batch_id).cast("bigint"))
+    def write_batch(self, rows: DataFrame, table: Table, batch_id: str) -> None:
+        """Write one batch; writing the same batch again replaces its files."""
+        batch = rows.withColumn(BATCH, F.lit(batch_id))
         (
             self._writer(_laid_out(batch, table), table)
             .mode("overwrite")

@@ -115,7 +115,7 @@ def chained_metrics(valid: DataFrame, run_ts: Column) -> DataFrame:
     return minute_metrics(windowed_payments(valid), F.window_time("window"), run_ts)
 
 
-def publish_minutes(lake: Lake, payments: DataFrame, batch_id: int, run_ts: Column) -> None:
+def publish_minutes(lake: Lake, payments: DataFrame, batch_id: str, run_ts: Column) -> None:
     """Write bronze, alerts and metrics of whole minutes into the partitions of one batch."""
     # Three writes read the rows; without this the de-duplication would run three times.
     minutes = payments.select(F.col("window.start").alias("minute"), *schemas.BRONZE.fieldNames())
@@ -144,10 +144,17 @@ def start_publishing(
     partition of its batch, so a batch that is run again changes nothing.
     """
     now = F.current_timestamp() if run_ts is None else run_ts
+
+    def publish(batch: DataFrame, number: int) -> None:
+        # The id stays with the checkpoint: a query on a new one counts its batches
+        # from zero again and must not replace those of the old one.
+        query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        publish_minutes(lake, batch, f"{query_id}-{number}", now)
+
     return (
         windowed_payments(read_staged(spark, lake, VALID, **options))
         .writeStream.outputMode("append")
-        .foreachBatch(lambda batch, batch_id: publish_minutes(lake, batch, batch_id, now))
+        .foreachBatch(publish)
         .option("checkpointLocation", lake.checkpoint_path("publishing"))
         .trigger(**_trigger(trigger))
         .start()

@@ -45,7 +45,7 @@ def test_the_stream_gives_what_the_batch_gives(spark, tmp_path):
     raw.unionByName(heartbeat(spark)).write.parquet(str(source))
     stream, batch = Lake(str(tmp_path / "stream")), Lake(str(tmp_path / "batch"))
     drain(spark, stream_from_files(spark, str(source)), stream, AS_OF, run_ts())
-    process_period(spark, raw, batch, 0, AS_OF, run_ts())
+    process_period(spark, raw, batch, "0", AS_OF, run_ts())
 
     for table in (tables.BRONZE, tables.ALERTS, tables.METRICS):
         found = rows_of(stream.read(spark, table))
@@ -114,7 +114,7 @@ def test_a_period_run_again_is_there_once(spark, tmp_path):
     lake = Lake(str(tmp_path))
     raw = messages(spark, [event(), event(amount=0)]).drop("n")
     for _ in range(2):
-        process_period(spark, raw, lake, 7, AS_OF, run_ts())
+        process_period(spark, raw, lake, "7", AS_OF, run_ts())
     assert lake.read(spark, tables.BRONZE).count() == 1
     assert lake.read(spark, tables.METRICS).count() == 1
     assert read_dead_letters(spark, f"{lake.dead_letter_path}-period=7").count() == 1
@@ -123,7 +123,7 @@ def test_a_period_run_again_is_there_once(spark, tmp_path):
 def test_the_lazy_batch_form_equals_the_written_one(spark, tmp_path):
     lake = Lake(str(tmp_path))
     raw = raw_messages(spark, SMALL)
-    process_period(spark, raw, lake, 0, AS_OF, run_ts())
+    process_period(spark, raw, lake, "0", AS_OF, run_ts())
     lazy = deduplicated_payments(raw, AS_OF).select(*BRONZE.fieldNames())
     assert rows_of(lazy) == rows_of(lake.read(spark, tables.BRONZE))
 

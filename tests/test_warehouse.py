@@ -142,7 +142,7 @@ def test_audit_counts(spark):
 def test_a_batch_written_twice_is_there_once(spark, tmp_path):
     lake = Lake(str(tmp_path))
     rows = scored_payments(spark, SMALL).drop("publish_ts")
-    for batch_id in (0, 1, 1):
+    for batch_id in ("a", "b", "b"):
         lake.write_batch(rows, tables.BRONZE, batch_id)
     assert lake.read(spark, tables.BRONZE).count() == 2 * rows.count()
     assert lake.read(spark, tables.BRONZE).columns == BRONZE.fieldNames()
@@ -150,7 +150,7 @@ def test_a_batch_written_twice_is_there_once(spark, tmp_path):
 
 def test_the_rebuild_replaces_tables_and_appends_to_the_audit(spark, tmp_path):
     lake = Lake(str(tmp_path))
-    lake.write_batch(scored_payments(spark, SMALL), tables.BRONZE, 0)
+    lake.write_batch(scored_payments(spark, SMALL), tables.BRONZE, "a")
     for _ in range(2):
         audit = rebuild_warehouse(spark, lake)
     assert audit.count() == 8
@@ -165,7 +165,7 @@ def test_catalog_tables_see_written_partitions(spark, tmp_path):
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {namespace} LOCATION '{tmp_path}/db_{namespace}'")
     lake.create_tables(spark)
     lake.create_tables(spark)
-    lake.write_batch(scored_payments(spark, SMALL).drop("publish_ts"), tables.BRONZE, 0)
+    lake.write_batch(scored_payments(spark, SMALL).drop("publish_ts"), tables.BRONZE, "a")
     lake.recover_partitions(spark, tables.BRONZE)
     assert spark.table("bronze.payment_transactions").count() == 1050
     for table in tables.TABLES:

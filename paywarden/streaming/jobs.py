@@ -148,8 +148,15 @@ def start_publishing(
     def publish(batch: DataFrame, number: int) -> None:
         # The id stays with the checkpoint: a query on a new one counts its batches
         # from zero again and must not replace those of the old one.
-        query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        publish_minutes(lake, batch, f"{query_id}-{number}", now)
+        session = batch.sparkSession
+        query_id = session.sparkContext.getLocalProperty("sql.streaming.queryId")
+        # A stream plans its state without AQE. The writes below are batch jobs
+        # that need it, or the rebalance before them would be left out.
+        session.conf.set("spark.sql.adaptive.enabled", "true")
+        try:
+            publish_minutes(lake, batch, f"{query_id}-{number}", now)
+        finally:
+            session.conf.set("spark.sql.adaptive.enabled", "false")
 
     return (
         windowed_payments(read_staged(spark, lake, VALID, **options))

@@ -59,6 +59,12 @@ def test_the_stream_gives_what_the_batch_gives(spark, tmp_path):
     assert set(record) == {"received_ts", "error_count", "errors", "raw_message"}
     assert record["received_ts"].endswith("Z")
 
+    # The rows of a date and batch end up in one file, whatever the number of state partitions.
+    files = Path(stream.path(tables.BRONZE)).rglob("*.parquet")
+    folders = [f.parent for f in files]
+    assert folders and len(folders) == len(set(folders))
+    assert all("batch_id=None" not in str(f) for f in folders)
+
     # The chained form of the metrics has a state of its own and the same result.
     path = str(tmp_path / "metrics")
     query = (

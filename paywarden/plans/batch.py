@@ -29,7 +29,7 @@ def process_period(
     """Write bronze, alerts, metrics and dead letters of one period of messages.
 
     The parsed messages are written once, split by route, and each output reads
-    its own route. Running a period again replaces its files.
+    its own route. Running the same period again replaces its files.
     """
     staged_path = f"{lake.staging_path}-period={period}"
     staged_messages(messages, as_of).write.mode("overwrite").partitionBy("route").parquet(staged_path)

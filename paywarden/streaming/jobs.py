@@ -152,11 +152,12 @@ def start_publishing(
         query_id = session.sparkContext.getLocalProperty("sql.streaming.queryId")
         # A stream plans its state without AQE. The writes below are batch jobs
         # that need it, or the rebalance before them would be left out.
+        before = session.conf.get("spark.sql.adaptive.enabled")
         session.conf.set("spark.sql.adaptive.enabled", "true")
         try:
             publish_minutes(lake, batch, f"{query_id}-{number}", now)
         finally:
-            session.conf.set("spark.sql.adaptive.enabled", "false")
+            session.conf.set("spark.sql.adaptive.enabled", before)
 
     return (
         windowed_payments(read_staged(spark, lake, VALID, **options))

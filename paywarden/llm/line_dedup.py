@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paywarden.llm.lines import rows_per_line, with_line_hashes, with_removed_lines
+from paywarden.llm.lines import lines_of, rows_per_line, with_line_hashes, with_removed_lines
 from paywarden.llm.storage import saved
 
 MAX_RATIO = 0.2
@@ -52,7 +52,9 @@ def drop_boilerplate(pages: DataFrame, max_ratio: float = MAX_RATIO, min_pages:
     """Pages of ``page_id``, ``host`` and ``text`` without boilerplate, with line counts."""
     given = pages.select("page_id", "host", "text")
     removals = boilerplate(given, max_ratio, min_pages)
-    marked = with_removed_lines(with_line_hashes(given, "text"), "host", "page_id", "text", removals)
+    lined = with_line_hashes(given, "text")
+    marked = with_removed_lines(lined, lined.select("page_id", "text_hash", "host", "text"), "host", "page_id", removals)
+    marked = marked.withColumn("lines", lines_of(F.col("text")))
     every = F.when(F.size("lines") > 0, F.sequence(F.lit(0), F.size("lines") - 1)).otherwise(
         F.array().cast("array<int>")
     )

@@ -27,13 +27,13 @@ def normalised(line: Column) -> Column:
 
 
 def with_line_hashes(rows: DataFrame, text: str) -> DataFrame:
-    """Add ``lines``, and ``hashes`` with a 64-bit hash per line, null for a blank line."""
+    """Add ``lines``, ``hashes`` with a 64-bit hash per line, null for a blank line, and ``text_hash``."""
 
     def hashed(line: Column) -> Column:
         return let(normalised(line), lambda n: F.when(n != "", F.xxhash64(n)))
 
     listed = rows.withColumn("lines", lines_of(F.col(text)))
-    return listed.withColumn("hashes", F.transform("lines", hashed))
+    return listed.withColumn("hashes", F.transform("lines", hashed)).withColumn("text_hash", F.xxhash64(text))
 
 
 def rows_per_line(rows: DataFrame, group: str) -> DataFrame:
@@ -50,15 +50,17 @@ def rows_per_line(rows: DataFrame, group: str) -> DataFrame:
     )
 
 
-def with_removed_lines(rows: DataFrame, group: str, key: str, text: str, removals: DataFrame) -> DataFrame:
-    """Add ``removed``, the positions (from 0) of the lines of each row that ``removals`` lists.
+def with_removed_lines(rows: DataFrame, results: DataFrame, group: str, key: str, removals: DataFrame) -> DataFrame:
+    """Add ``removed`` to ``results``: the positions (from 0) of each row's lines that ``removals`` lists.
 
-    ``removals`` is a written table of ``group`` and ``hash``. Rows are told
-    apart by key and a hash of the text; repeated rows agree on their lines.
-    Only matched positions are shuffled, not texts that have none.
+    ``rows`` has group, key, ``text_hash`` and ``hashes``; ``results`` has key,
+    ``text_hash`` and whatever else is to be kept, so the caller decides what
+    the join shuffles. ``removals`` is a written table of ``group`` and
+    ``hash``. Rows are told apart by key and text hash; repeated rows agree on
+    their lines. Of ``rows``, only matched positions are shuffled.
     """
     listed = removals.select(F.col(group).alias("_group"), F.col("hash").alias("_hash"))
-    row = [F.col(key).alias("_key"), F.xxhash64(text).alias("_text")]
+    row = [F.col(key).alias("_key"), F.col("text_hash").alias("_text")]
     placed = rows.select(*row, group, F.posexplode("hashes").alias("_pos", "_line")).where("_line is not null")
     same = (F.col("_line") == F.col("_hash")) & F.col(group).eqNullSafe(F.col("_group"))
     found = (
@@ -66,7 +68,6 @@ def with_removed_lines(rows: DataFrame, group: str, key: str, text: str, removal
         .groupBy("_key", "_text")
         .agg(F.collect_set("_pos").alias("removed"))
     )
-    found = found.select(F.col("_key").alias("_k"), F.col("_text").alias("_t"), "removed")
-    here = F.col(key).eqNullSafe(F.col("_k")) & (F.xxhash64(text) == F.col("_t"))
+    here = F.col(key).eqNullSafe(F.col("_key")) & (F.col("text_hash") == F.col("_text"))
     none = F.array().cast("array<int>")
-    return rows.join(found, here, "left").withColumn("removed", F.coalesce("removed", none)).drop("_k", "_t")
+    return results.join(found, here, "left").withColumn("removed", F.coalesce("removed", none)).drop("_key", "_text")

@@ -91,18 +91,16 @@ def judge_documents(
     given = docs.select("doc_id", "source", "text")
     removals = frequent_lines(given, max_documents)
     lined = with_line_hashes(given, "text")
-    judged = with_removed_lines(lined, "source", "doc_id", "text", removals)
-
-    def words_at(position: Column) -> Column:
-        return F.size(words_of(F.get(F.col("lines"), position)))
-
-    removed_words = F.aggregate(
-        F.transform("removed", words_at), F.lit(0).cast("bigint"), lambda total, n: total + n
+    line_words = F.transform("lines", lambda line: F.size(words_of(line)))
+    # The measures are taken before the join, which then shuffles numbers and no texts.
+    measured = document_measures(lined).withColumn("line_words", line_words).drop("text", "lines", "hashes", "source")
+    judged = with_removed_lines(lined, measured, "source", "doc_id", removals)
+    gone = F.aggregate(
+        "removed", F.lit(0).cast("bigint"), lambda total, at: total + F.get(F.col("line_words"), at)
     )
-    measured = document_measures(judged.withColumn("_gone", removed_words))
     failed = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PERCENT)
-    kept_words = F.col("n_words") - F.col("_gone")
-    return measured.select(
+    kept_words = F.col("n_words") - F.col("gone")
+    return judged.withColumn("gone", gone).select(
         "doc_id",
         "n_words",
         "word_chars",

@@ -1 +1,11 @@
-"""Operators for preparing training text, and the queries that apply them."""
+"""Operators for preparing training text, and the queries that apply them.
+
+Functions that run in tasks are sent with their code, so executors need no
+copy of this package.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

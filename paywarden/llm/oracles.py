@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from paywarden.llm import line_dedup, mixing, quality_rules, sharding
+from paywarden.llm import license_scan, line_dedup, mixing, quality_rules, sharding
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SPACES = "concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))"
@@ -83,6 +83,42 @@ SELECT page_id, host, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS
 FROM texts LEFT JOIN summed USING (id)
 """
 
+_TOKEN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_PHRASES = ", ".join(f"row('{label}', {phrase.split()!r})" for label, phrase in license_scan.PHRASES)
+_TEMPLATES = ", ".join(
+    f"row('{label}', {words!r}, {license_scan.needed(len(words), license_scan.CONTAINMENT)})"
+    for label, words in ((label, sorted(set(text.split()))) for label, text in license_scan.TEMPLATES)
+)
+
+OP6 = rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS id, doc_id, translate(coalesce(text, ''), '{UPPER}', '{LOWER}') AS t FROM documents
+), worded AS (
+  SELECT id, doc_id, t, regexp_extract_all(t, '{_TOKEN}') AS words FROM docs
+), phrases AS (SELECT unnest([{_PHRASES}], recursive := false) AS p
+), starts AS (
+  SELECT id, words, unnest(range(1, len(words) + 1)) AS i FROM worded
+  WHERE contains(t, 'license')
+), places AS (
+  SELECT id, i - 1 AS at_word, p[1] AS label FROM starts, phrases
+  WHERE words[i] = p[2][1] AND words[i:i + len(p[2]) - 1] = p[2]
+), base AS (
+  SELECT id, count(*) AS n_base, min(at_word) AS first_word, max(at_word) AS last_word,
+         list(DISTINCT label) AS labels FROM places GROUP BY id
+), templates AS (SELECT unnest([{_TEMPLATES}], recursive := false) AS m
+), met AS (
+  SELECT id, list(DISTINCT m[1]) AS labels, max(len(list_intersect(list_distinct(regexp_extract_all(line, '{_TOKEN}')), m[2])) / len(m[2])::DOUBLE) AS share
+  FROM (SELECT id, unnest(string_split(t, chr(10))) AS line FROM docs), templates
+  WHERE len(list_intersect(list_distinct(regexp_extract_all(line, '{_TOKEN}')), m[2])) >= m[3]
+  GROUP BY id
+)
+SELECT doc_id, len(words) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       coalesce(array_to_string(list_sort(base.labels), ','), '') AS base_labels,
+       coalesce(array_to_string(list_sort(list_distinct(coalesce(base.labels, []) || coalesce(met.labels, []))), ','), '') AS labels,
+       CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(share, 0.0::DOUBLE) END AS score
+FROM worded LEFT JOIN base USING (id) LEFT JOIN met USING (id)
+"""
+
 # The checksum runs over half bytes, lowest first; its table has 16 entries.
 _CRC_TABLE = "[" + ", ".join(
     str(value)
@@ -153,6 +189,7 @@ FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
 ORACLES: dict[str, str] = {
     "op4_quality_rules": OP4,
     "op5_line_dedup": OP5,
+    "op6_license_scan": OP6,
     "op7_sharding": OP7,
     "op8_mixing": OP8,
 }

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from paywarden.llm.license_scan import scan_licenses
 from paywarden.llm.line_dedup import drop_boilerplate, host_of, page_text
 from paywarden.llm.mixing import plan_mix
+from paywarden.llm import quality_ranking, toxicity
 from paywarden.llm.quality_rules import judge_documents
 from paywarden.llm.sharding import assign_shards, number_slots
 
@@ -19,6 +21,32 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def in_fold(doc_id: Column, folds: int, held: int) -> Column:
+    """Whether the checksum of the id's text leaves ``held``; a null id is in no held-out fold."""
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds == held, F.lit(False))
+
+
+def with_folds(scored: DataFrame, folds: int, held: int, threshold: float) -> DataFrame:
+    return scored.select(
+        "doc_id",
+        in_fold(F.col("doc_id"), folds, held).alias("held_out"),
+        "score",
+        (F.col("score") >= threshold).cast("int").alias("predicted"),
+    )
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(~in_fold(F.col("doc_id"), 3, 1))
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return with_folds(toxicity.with_toxicity(docs, labels), 3, 1, toxicity.THRESHOLD)
+
+
+def op3_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(~in_fold(F.col("doc_id"), 4, 2))
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return with_folds(quality_ranking.score_quality(docs, labels), 4, 2, quality_ranking.THRESHOLD)
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_documents(documents(spark, sf_dir))
 
@@ -28,6 +56,10 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_boilerplate(pages.select("page_id", host_of(F.col("url")).alias("host"), page_text(F.col("html")).alias("text")))
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(documents(spark, sf_dir))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce("text", F.lit("")).cast("binary")
     docs = documents(spark, sf_dir).select(
@@ -46,5 +78,5 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op4_quality_rules, op5_line_dedup, op7_sharding, op8_mixing)
+    f.__name__: f for f in (op2_toxicity, op3_quality_ranking, op4_quality_rules, op5_line_dedup, op6_license_scan, op7_sharding, op8_mixing)
 }

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from paywarden.llm.decontamination import find_overlaps
+from paywarden.llm.jaccard_join import similar_components
 from paywarden.llm.license_scan import scan_licenses
 from paywarden.llm.line_dedup import drop_boilerplate, host_of, page_text
 from paywarden.llm.mixing import plan_mix
@@ -77,6 +79,16 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return planned.select("doc_id", "size", "source_size", "target", taken)
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_components(documents(spark, sf_dir))
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = find_overlaps(documents(spark, sf_dir).select("doc_id", "text"), benchmark)
+    return found.select("doc_id", (F.size("items") > 0).alias("contaminated"), "items", "starts", "lengths")
+
+
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op2_toxicity, op3_quality_ranking, op4_quality_rules, op5_line_dedup, op6_license_scan, op7_sharding, op8_mixing)
+    f.__name__: f for f in (op2_toxicity, op3_quality_ranking, op4_quality_rules, op5_line_dedup, op6_license_scan, op7_sharding, op8_mixing, op9_jaccard_join, op10_decontamination)
 }

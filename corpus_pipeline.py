@@ -7,15 +7,35 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from paywarden.llm.decontamination import remove_contaminated
+from paywarden.llm.jaccard_join import deduplicate
 from paywarden.llm.mixing import emit_mix
+from paywarden.llm.queries import toxicity_labels
 from paywarden.llm.sharding import assign_shards, number_slots
 from paywarden.llm.storage import saved
+from paywarden.llm.toxicity import THRESHOLD, with_toxicity
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 SHARDS = 24
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity score stays below the threshold."""
+    scored = with_toxicity(docs, toxicity_labels(spark, sf_dir), "_toxicity")
+    return scored.where(F.col("_toxicity") < THRESHOLD).select(*docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of documents that link by their shingles."""
+    return deduplicate(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that overlap no item of the benchmark."""
+    return remove_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as its source's target weight asks for."""
     return emit_mix(docs)
@@ -29,6 +49,9 @@ def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", drop_toxic),
+    ("n-gram Jaccard join", drop_near_copies),
+    ("benchmark decontamination", decontaminate),
     ("mixing sources to target weights", mix_sources),
     ("sharding", shard),
 ]

@@ -403,3 +403,41 @@ def described_components(docs: DataFrame) -> DataFrame:
 def similar_components(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id`` of each row of ``docs``."""
     return described_components(docs).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
+def with_class(docs: DataFrame, column: str) -> DataFrame:
+    """``docs`` with the class of each row's text."""
+
+    def classified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, first, n, bounds, hashes in shingle_sets(batches):
+            rows = batch.slice(first, n)
+            yield pa.RecordBatch.from_arrays(
+                [*rows.columns, pa.array(signatures(bounds, hashes)[0])], [*rows.schema.names, column]
+            )
+
+    return docs.mapInArrow(classified, StructType([*docs.schema.fields, StructField(column, LongType())]))
+
+
+def deduplicate(docs: DataFrame) -> DataFrame:
+    """One row of each component, that of the smallest id, with the columns of ``docs``.
+
+    Rows without shingles or id are in no component and stay. Only the ids of
+    rows that leave are joined; if ids are repeated, rows are told apart by
+    their texts, too.
+    """
+    placed = saved(described_components(docs), "jaccard-placed")
+    linked_rows = placed.where("doc_id is not null and n > 0")
+    ids = linked_rows.agg(F.count("doc_id"), F.count_distinct("doc_id")).first()
+    if ids[0] == ids[1]:
+        leaving = saved(linked_rows.where("doc_id <> component_id").select("doc_id"), "jaccard-leaving")
+        return docs.join(small(leaving), "doc_id", "left_anti").select(*docs.columns)
+    first = linked_rows.where("doc_id = component_id").groupBy("doc_id").agg(F.min("class").alias("class"))
+    rows = with_class(docs.select(F.struct(*docs.columns).alias("_row"), "doc_id", "text"), "class")
+    alone = F.col("doc_id").isNull() | F.col("class").isin(empty_class())
+    kept = rows.where(~alone).join(first, ["doc_id", "class"], "left_semi").dropDuplicates(["doc_id", "class"])
+    return kept.select("_row").union(rows.where(alone).select("_row")).select("_row.*")
+
+
+def empty_class() -> int:
+    """The class of a text without shingles."""
+    return int(signatures(np.zeros(2, np.int64), np.empty(0, np.uint64))[0][0])

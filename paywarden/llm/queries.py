@@ -14,6 +14,7 @@ from paywarden.llm.line_dedup import drop_boilerplate, host_of, page_text
 from paywarden.llm.mixing import plan_mix
 from paywarden.llm import quality_ranking, toxicity
 from paywarden.llm.quality_rules import judge_documents
+from paywarden.llm.secret_scan import scan_secrets
 from paywarden.llm.sharding import assign_shards, number_slots
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,8 +38,17 @@ def with_folds(scored: DataFrame, folds: int, held: int, threshold: float) -> Da
     )
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_secrets(documents(spark, sf_dir))
+
+
+def toxicity_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labels that toxicity may learn from."""
+    return spark.read.parquet(f"{sf_dir}/labels.parquet").where(~in_fold(F.col("doc_id"), 3, 1))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(~in_fold(F.col("doc_id"), 3, 1))
+    labels = toxicity_labels(spark, sf_dir)
     docs = documents(spark, sf_dir).select("doc_id", "text")
     return with_folds(toxicity.with_toxicity(docs, labels), 3, 1, toxicity.THRESHOLD)
 
@@ -90,5 +100,17 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op2_toxicity, op3_quality_ranking, op4_quality_rules, op5_line_dedup, op6_license_scan, op7_sharding, op8_mixing, op9_jaccard_join, op10_decontamination)
+    query.__name__: query
+    for query in (
+        op1_secret_scan,
+        op2_toxicity,
+        op3_quality_ranking,
+        op4_quality_rules,
+        op5_line_dedup,
+        op6_license_scan,
+        op7_sharding,
+        op8_mixing,
+        op9_jaccard_join,
+        op10_decontamination,
+    )
 }

@@ -50,7 +50,7 @@ from paywarden.llm.text_arrays import BLANK_BYTES, FOLDED, mixed, runs_of, slice
 SHINGLE = 5
 PERCENT = 80
 # Buckets of the sieve for each shuffle partition.
-BUCKETS_PER_PARTITION = 8
+BUCKETS_PER_PARTITION = 32
 # Shingles that a task gathers before it sends them.
 GATHERED = 2_000_000
 SKETCH_BITS = 20
@@ -306,12 +306,12 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def room(n: Column, other: Column, at: Column, other_at: Column) -> Column:
-    """Whether sizes and positions of a shared prefix shingle allow the needed intersection.
+    """Whether sizes and positions allow the needed intersection if this is the first shingle a pair shares.
 
-    The shingles behind the shared one, with it, bound what is shared from
-    there on; before it at most the smaller position is shared.
+    Then all they share stands at it or behind it. A pair that links is found
+    through its first shared shingle, so rows of later ones need not pass.
     """
-    behind = F.least(n - at, other - other_at) + F.least(at, other_at)
+    behind = F.least(n - at, other - other_at)
     lengths = F.least(n, other) * 100 >= F.greatest(n, other) * PERCENT
     return lengths & (behind * (100 + PERCENT) >= (n + other) * PERCENT)
 
@@ -358,17 +358,20 @@ def remaining(met: DataFrame, members: DataFrame, first: DataFrame, sets: DataFr
     placed = met.select("shingle", "lead", "n", "at").join(spread, "lead")
     mixed_lists = (
         placed.groupBy("shingle")
-        .agg(F.min("low").alias("low"), F.max("high").alias("high"))
-        .where("low <> high")
-        .select("shingle")
+        .agg(F.min("low").alias("least"), F.max("high").alias("most"), F.min(F.struct("lead", "low")).alias("first"))
+        .where("least <> most")
+        .select("shingle", F.col("first.low").alias("main"))
     )
-    left = saved(placed.join(mixed_lists, "shingle", "left_semi"), "jaccard-left")
-    x, y = left.alias("x"), left.alias("y")
+    settled = (F.col("low") == F.col("main")) & (F.col("high") == F.col("main"))
+    left = saved(placed.join(mixed_lists, "shingle").withColumn("settled", settled), "jaccard-left")
+    # Groups inside a list's main component are not compared with each other.
+    x, y = left.where("not settled").alias("x"), left.alias("y")
     apart = (F.col("x.low") != F.col("y.low")) | (F.col("x.high") != F.col("y.high")) | (
         F.col("x.low") != F.col("x.high")
     )
+    once = F.col("y.settled") | (F.col("x.lead") < F.col("y.lead"))
     fits = room(F.col("x.n"), F.col("y.n"), F.col("x.at"), F.col("y.at"))
-    same = (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.lead") < F.col("y.lead"))
+    same = (F.col("x.shingle") == F.col("y.shingle")) & once
     groups = x.join(y, same & apart & fits).select(F.col("x.lead").alias("g"), F.col("y.lead").alias("h")).distinct()
     within = spread.where("low <> high").select(F.col("lead").alias("g"), F.col("lead").alias("h"))
     a = named.select(F.col("class").alias("a"), F.col("lead").alias("g"), F.col("component").alias("ca"))

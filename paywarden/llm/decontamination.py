@@ -3,11 +3,11 @@
 A mask selects some of the positions of a run of words and ignores the others,
 so two runs that differ only in ignored words have the same hash. The hashes of
 all runs of the benchmark under each mask are looked up for all runs of the
-training texts. Around a hit, text and item are laid over each other and the
-best stretch is searched in which matches count 1 and substitutions
-``-PENALTY``; a stretch of at least ``MIN_OVERLAP`` words (or the whole item if
-it is shorter) of which ``MIN_MATCHED`` match is an overlap. The masks hit every stretch of ``MIN_OVERLAP``
-words with up to two substitutions.
+training texts. Around a hit, text and item are laid over each other: a window
+of ``MIN_OVERLAP`` words (the whole item if it is shorter) of which
+``MIN_MATCHED`` match is an overlap, and overlapping windows are one. The masks
+hit every window of ``MIN_OVERLAP`` words with up to two substitutions, which
+is as many as the share allows.
 
 Words are runs of letters and digits, A-Z in lower case. Items of fewer than
 ``MIN_ITEM`` words are no evidence and are left out; items shorter than a mask
@@ -37,7 +37,6 @@ from paywarden.llm.text_arrays import FOLDED, NOT_ALNUM, Words, mixed, slices, w
 MASKS = ("111111", "1101100011", "11010010011", "10110010101")
 MIN_OVERLAP = 13
 MIN_ITEM = 5
-PENALTY = 2
 MIN_MATCHED = 0.8
 BLOCK_WORDS = 2_000_000
 
@@ -122,18 +121,17 @@ class Block:
             end = min(words.first[text + 1], self.first[which + 1] + by)
             same = words.hashes[first:end] == self.words[first - by : end - by]
             start, length = best_stretch(same)
-            whole = self.first[which + 1] - self.first[which]
-            if length >= min(MIN_OVERLAP, whole) and same[start : start + length].mean() >= MIN_MATCHED:
-                yield int(text), int(self.ids[which]), int(first + start - words.first[text]), length
-
-
-def best_stretch(same: np.ndarray) -> tuple[int, int]:
-    """Start and length of the stretch with the largest sum of 1 per match and ``-PENALTY`` per substitution."""
-    total = np.concatenate([[0], np.cumsum(np.where(same, 1, -PENALTY))])
-    lowest = np.minimum.accumulate(total)
-    end = int(np.argmax(total - lowest))
-    start = int(np.flatnonzero(total[: end + 1] == lowest[end])[-1])
-    return start, end - start
+            window = int(min(MIN_OVERLAP, self.first[which + 1] - self.first[which]))
+            starts = matched_windows(same, window)
+            if len(starts):
+                start, stop = int(starts[0]), int(starts[-1]) + window
+                yield int(text), int(self.ids[which]), int(first + start - words.first[text]), stop - start
+
+
+def matched_windows(same: np.ndarray, window: int) -> np.ndarray:
+    """Starts of the windows of which ``MIN_MATCHED`` match."""
+    total = np.concatenate([[0], np.cumsum(same)])
+    return np.flatnonzero(total[window:] - total[:-window] >= MIN_MATCHED * window)
 
 
 def benchmark_blocks(benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> Iterator[Block]:

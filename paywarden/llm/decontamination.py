@@ -120,7 +120,6 @@ class Block:
             first = max(words.first[text], self.first[which] + by)
             end = min(words.first[text + 1], self.first[which + 1] + by)
             same = words.hashes[first:end] == self.words[first - by : end - by]
-            start, length = best_stretch(same)
             window = int(min(MIN_OVERLAP, self.first[which + 1] - self.first[which]))
             starts = matched_windows(same, window)
             if len(starts):

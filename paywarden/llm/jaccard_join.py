@@ -52,7 +52,7 @@ PERCENT = 80
 # Buckets of the sieve for each shuffle partition.
 BUCKETS_PER_PARTITION = 32
 # Shingles that a task gathers before it sends them.
-GATHERED = 2_000_000
+GATHERED = 600_000
 SKETCH_BITS = 20
 SKETCH_PARTS = 256
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)

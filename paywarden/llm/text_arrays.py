@@ -2,7 +2,7 @@
 
 Texts arrive as Arrow arrays; their UTF-8 bytes are classified, hashed and
 cut into words without a Python object per word. Batches are cut into slices
-of a few megabytes, so memory does not depend on the batch size; one text
+of half a megabyte, so memory does not depend on the batch size; one text
 longer than that is a slice of its own.
 """
 
@@ -14,7 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 
 _BASE = 0x9E3779B97F4A7C15
 _SHIFT = np.uint64(29)

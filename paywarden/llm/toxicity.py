@@ -31,7 +31,7 @@ from paywarden.llm.text_arrays import NOT_ALNUM, FOLDED, Words, mixed, slices, w
 
 FEATURE_BITS = 26
 MAX_PER_CLASS = 4000
-MIN_TEXTS = 3
+MIN_TEXTS = 4
 ROUNDS = 6
 ALPHA, BETA, L1, L2 = 0.6, 1.0, 16.0, 1.0
 # The rarer class weighs more, up to this factor.
@@ -83,7 +83,6 @@ def feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class State:
     """FTRL state of the known features; the bias is the last coordinate."""
 
-    features: np.ndarray
     z: np.ndarray
     n: np.ndarray
 
@@ -109,9 +108,9 @@ def coordinates(known: np.ndarray, features: np.ndarray) -> np.ndarray:
     return np.append(at, len(known))
 
 
-def fit(known: np.ndarray, rows: list[tuple[float, np.ndarray]]) -> State:
+def fit(known: int, rows: list[tuple[float, np.ndarray]]) -> State:
     """``ROUNDS`` passes over the rows, each in another order."""
-    state = State(known, np.zeros(len(known) + 1), np.zeros(len(known) + 1))
+    state = State(np.zeros(known + 1), np.zeros(known + 1))
     random = np.random.default_rng(5)
     ones = sum(label for label, _ in rows)
     odds = (len(rows) - ones) / max(ones, 1)
@@ -123,7 +122,21 @@ def fit(known: np.ndarray, rows: list[tuple[float, np.ndarray]]) -> State:
     return state
 
 
-def fit_group(known: Broadcast):
+def known_coordinates(known: Broadcast):
+    """A function for ``mapInArrow`` that replaces the features of each text by coordinates of the known ones."""
+
+    def replaced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                features = batch.column("features")[row].values.to_numpy()
+                listed = pa.array([coordinates(known.value, features).astype(np.int32)], pa.list_(pa.int32()))
+                given = [batch.column(c).slice(row, 1) for c in ("doc_id", "label")]
+                yield pa.RecordBatch.from_arrays([*given, listed], ["doc_id", "label", "features"])
+
+    return replaced
+
+
+def fit_group(known: int):
     """A function for ``applyInArrow`` that fits on the sample: the non-zero weights by coordinate."""
 
     def fitted(table):
@@ -131,11 +144,8 @@ def fit_group(known: Broadcast):
         bounds, values = listed.offsets.to_numpy(), listed.values.to_numpy()
         labels, ids = table.column("label").to_numpy(), table.column("doc_id").to_numpy(zero_copy_only=False)
         # Tasks may bring the rows in any order; sorted by id the fit is repeatable.
-        rows = [
-            (labels[i], coordinates(known.value, values[bounds[i] : bounds[i + 1]]))
-            for i in np.argsort(ids, kind="stable")
-        ]
-        weights = fit(known.value, rows).weights()
+        rows = [(labels[i], values[bounds[i] : bounds[i + 1]]) for i in np.argsort(ids, kind="stable")]
+        weights = fit(known, rows).weights()
         at = np.flatnonzero(weights)
         return pa.table({"at": at, "weight": weights[at]})
 
@@ -158,8 +168,9 @@ def train(examples: DataFrame) -> Weights | None:
     known = np.sort(frequent.select("f").toArrow().column("f").to_numpy())
     shared = spark.sparkContext.broadcast(known)
     # One group, because FTRL is sequential; its size is bounded by the sample.
-    grouped = prepared.withColumn("sample", F.lit(0)).groupBy("sample")
-    fitted = grouped.applyInArrow(fit_group(shared), "at long, weight double").toArrow()
+    placed = prepared.mapInArrow(known_coordinates(shared), schema)
+    grouped = placed.withColumn("sample", F.lit(0)).groupBy("sample")
+    fitted = grouped.applyInArrow(fit_group(len(known)), "at long, weight double").toArrow()
     at, values = fitted.column("at").to_numpy(), fitted.column("weight").to_numpy()
     words = at < len(known)
     return Weights(known[at[words]], values[words], float(values[~words].sum()))

@@ -14,8 +14,9 @@ start, known by size and a 128-bit sum of its shingle hashes.
    order, so prefixes stay exact whatever the sketch's error.
 3. Grouped prefix join. Classes with the same prefix and size are one group.
    Groups meet through a shared shingle of their prefixes if size and position
-   leave room for the needed intersection. Each group is verified against the
-   first group of each of its shingles, then every pair of groups that is not
+   leave room for the needed intersection. Each group is verified against one
+   group of each of its shingles, that with the fewest rarer shingles before it
+   (of near copies the one least edited), then every pair of groups that is not
    yet in one component; groups are expanded and their members verified.
 4. Components of the links, and of the copies of each class.
 
@@ -328,7 +329,7 @@ def links_of(sets: DataFrame) -> DataFrame:
     members = saved(members.select("class", "lead"), "jaccard-members")
     postings = groups.select("lead", "n", F.posexplode("prefix").alias("at", "shingle"))
     lists = postings.groupBy("shingle").agg(
-        F.count(F.lit(1)).alias("held"), F.min(F.struct("lead", "n", "at")).alias("head")
+        F.count(F.lit(1)).alias("held"), F.min(F.struct("at", "lead", "n")).alias("head")
     )
     met = saved(
         postings.join(lists.where("held > 1"), "shingle").select("shingle", "lead", "n", "at", "head"),
@@ -358,7 +359,7 @@ def remaining(met: DataFrame, members: DataFrame, first: DataFrame, sets: DataFr
     placed = met.select("shingle", "lead", "n", "at").join(spread, "lead")
     mixed_lists = (
         placed.groupBy("shingle")
-        .agg(F.min("low").alias("least"), F.max("high").alias("most"), F.min(F.struct("lead", "low")).alias("first"))
+        .agg(F.min("low").alias("least"), F.max("high").alias("most"), F.min(F.struct("at", "lead", "low")).alias("first"))
         .where("least <> most")
         .select("shingle", F.col("first.low").alias("main"))
     )

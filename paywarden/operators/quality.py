@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from paywarden.functions.coerce import is_blank
 from paywarden.schemas import AUDIT
 
 # Check name, status of a failed check, detail text.
@@ -31,7 +32,7 @@ SCORE_LIMIT = 100
 
 
 def _is_missing(name: str) -> Column:
-    return F.trim(F.coalesce(F.col(name), F.lit(""))) == ""
+    return is_blank(F.coalesce(F.col(name), F.lit("")))
 
 
 def audit_transactions(

@@ -9,6 +9,7 @@ from paywarden.operators.dedup import earliest_per_minute
 from paywarden.operators.validate import process_messages, valid_payments
 from paywarden.sources.lake import Lake
 from paywarden.streaming.jobs import (
+    TIMESTAMP_FORMAT,
     INVALID,
     STAGED,
     VALID,
@@ -32,12 +33,17 @@ def process_period(
     its own route. Running the same period again replaces its files.
     """
     staged_path = f"{lake.staging_path}-period={period}"
-    staged_messages(messages, as_of).write.mode("overwrite").partitionBy("route").parquet(staged_path)
+    staged_messages(messages, as_of).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("route").parquet(staged_path)
     staged = spark.read.schema(STAGED).parquet(staged_path)
 
     rejected = staged.filter(F.col("route") == INVALID)
-    dead_letter_records(rejected).write.mode("overwrite").partitionBy("window").json(
-        f"{lake.dead_letter_path}-period={period}"
+    (
+        dead_letter_records(rejected)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
+        .option("timestampFormat", TIMESTAMP_FORMAT)
+        .partitionBy("window")
+        .json(f"{lake.dead_letter_path}-period={period}")
     )
     valid = staged.filter(F.col("route") == VALID).drop("errors", "raw_message", "route")
     publish_minutes(lake, earliest_per_minute(valid), f"period-{period}", run_ts)

@@ -127,12 +127,13 @@ class Lake:
         for namespace in NAMESPACES:
             spark.sql(f"CREATE DATABASE IF NOT EXISTS {namespace}")
         for table in TABLES:
+            location = self.path(table).replace("\\", "\\\\").replace("'", "\\'")
             columns = ", ".join(
                 f"{f.name} {f.dataType.simpleString()}" for f in table.stored_schema
             )
             spark.sql(
                 f"CREATE TABLE IF NOT EXISTS {table.full_name} ({columns}) USING parquet "
-                f"PARTITIONED BY ({', '.join(table.partitions)}) LOCATION '{self.path(table)}'"
+                f"PARTITIONED BY ({', '.join(table.partitions)}) LOCATION '{location}'"
             )
 
     def recover_partitions(self, spark: SparkSession, table: Table) -> None:
@@ -146,7 +147,12 @@ class Lake:
 
     def replace(self, rows: DataFrame, table: Table) -> None:
         """Rebuild the whole table."""
-        self._writer(_laid_out(rows, table), table).mode("overwrite").parquet(self.path(table))
+        (
+            self._writer(_laid_out(rows, table), table)
+            .mode("overwrite")
+            .option("partitionOverwriteMode", "static")
+            .parquet(self.path(table))
+        )
 
     def append(self, rows: DataFrame, table: Table) -> None:
         """Add rows."""

@@ -5,14 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Whole hundredths and the split below are exact under this bound.
-_EXACT_BOUND = 1e12
 # 2^27 + 1 splits a double into two halves of 26 bits, so that each half times
 # 200 is exact.
 _SPLITTER = 134217729.0
+# From here on a double has at most 12 binary places, so its fraction times 100 is exact.
+_FEW_PLACES = 2.0**40
+# From here on doubles lie further apart than hundredths, and each is its own rounding.
+_COARSE = 2.0**46
 
-# Amounts under this bound fit decimal(18,2).
-_DECIMAL_BOUND = 1e15
+# Amounts under this bound fit decimal(18,2), which Spark keeps in one long.
+_NARROW_BOUND = 1e15
+# Amounts under this bound fit decimal(28,2); ten billion of them fit their sum.
+_WIDE_BOUND = 1e25
 
 
 def round_half_even(value: Column) -> Column:
@@ -22,7 +26,8 @@ def round_half_even(value: Column) -> Column:
     for a tie although the stored value lies below it. Here the integer nearest
     to ``value * 200`` tells the result if it is even; if it is odd, the value
     is close to a tie, and the sign of its distance from the tie is computed
-    without rounding error.
+    without rounding error. Large values have so few binary places that their
+    whole part and fraction are rounded exactly on their own.
     """
     doubled = F.rint(value * 200.0)
     shifted = value * _SPLITTER
@@ -35,19 +40,29 @@ def round_half_even(value: Column) -> Column:
         .when(excess < 0, (doubled - 1.0) / 2.0)
         .otherwise(F.rint(doubled / 2.0))
     )
-    return F.when(F.abs(value) < _EXACT_BOUND, hundredths / 100.0).otherwise(F.bround(value, 2))
+    fraction = value % 1.0
+    # The whole part gives an even number of hundredths, so ties go the same way.
+    large = (value - fraction) * 100.0 + F.rint(fraction * 100.0)
+    return (
+        F.when(F.abs(value) >= _COARSE, value)
+        .when(F.abs(value) >= _FEW_PLACES, large / 100.0)
+        .otherwise(hundredths / 100.0)
+    )
 
 
 def exact_sum(amount: Column) -> Column:
-    """Sum of amounts in hundredths, independent of row order.
+    """Sum of amounts in hundredths, independent of row order up to 1e25 an amount.
 
-    The sum runs over decimals. An amount too large for them is added as a
-    double instead of failing the job or being dropped.
+    The sums run over decimals, those of usual size apart from larger ones. An
+    amount too large for both is added as a double instead of failing the job
+    or being dropped.
     """
-    fits = F.abs(amount) < _DECIMAL_BOUND
-    small = F.sum(F.when(fits, amount.cast("decimal(18,2)"))).cast("double")
-    large = F.sum(F.when(~fits, amount))
-    return F.coalesce(small + large, small, large)
+    size = F.abs(amount)
+    usual = F.sum(F.when(size < _NARROW_BOUND, amount.cast("decimal(18,2)")))
+    large = F.sum(F.when((size >= _NARROW_BOUND) & (size < _WIDE_BOUND), amount.cast("decimal(28,2)")))
+    huge = F.sum(F.when(size >= _WIDE_BOUND, amount))
+    exact = F.coalesce(usual + large, usual, large).cast("double")
+    return F.coalesce(exact + huge, exact, huge)
 
 
 def round_half_up(value: Column) -> Column:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from fixtures.payments import heartbeat, raw_messages  # noqa: E402
+from fixtures.payments import raw_messages  # noqa: E402
 from paywarden.operators.curate import curate_transactions  # noqa: E402
 from paywarden.operators.kpis import country_fraud_hotspots, merchant_hourly_kpis  # noqa: E402
 from paywarden.plans.batch import process_period  # noqa: E402
@@ -47,7 +47,7 @@ def main() -> None:
     lake = Lake(shared_dir(spark, "bench"))
     streamed = Lake(shared_dir(spark, "bench-stream"))
     source = f"{lake.root}/messages"
-    raw = raw_messages(spark, SF_DIR).unionByName(heartbeat(spark))
+    raw = raw_messages(spark, SF_DIR)
     raw.repartition(int(CPUS)).write.parquet(source)
     messages = read_messages(spark, source)
     count = messages.count()

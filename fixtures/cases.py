@@ -31,7 +31,7 @@ from paywarden.sources.raw import read_dead_letters, replay_messages, stream_fro
 from paywarden.streaming.jobs import chained_metrics, drain, read_staged, start_processing
 
 RUN_TS = "2024-02-01 00:00:00"
-ALL_FILES = str(2**31 - 1)
+MESSAGE_FILES = 3
 
 
 def _as_of() -> Column:
@@ -165,6 +165,22 @@ def period_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.read(spark, tables.BRONZE)
 
 
+def period_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A period run over all messages twice as often and then over the given ones: the last run stands."""
+    lake = Lake(shared_dir(spark, "period"))
+    messages = raw_messages(spark, sf_dir)
+    more = messages.withColumn("publish_ts", F.col("publish_ts") + F.expr("interval 30 days"))
+    process_period(spark, messages.unionByName(more), lake, "all", _as_of(), _run_ts())
+    process_period(spark, messages, lake, "all", _as_of(), _run_ts())
+    return lake.read(spark, tables.BRONZE)
+
+
+def period_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lake = Lake(shared_dir(spark, "period"))
+    process_period(spark, raw_messages(spark, sf_dir), lake, "all", _as_of(), _run_ts())
+    return lake.read(spark, tables.ALERTS)
+
+
 def _rebuilt(spark: SparkSession, sf_dir: str) -> Lake:
     lake = Lake(shared_dir(spark, "warehouse"))
     lake.write_batch(scored_payments(spark, sf_dir), tables.BRONZE, "fixture")
@@ -176,21 +192,32 @@ def warehouse_merchants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rebuilt(spark, sf_dir).read(spark, tables.MERCHANT_KPIS)
 
 
+def warehouse_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rebuilt(spark, sf_dir).read(spark, tables.SILVER)
+
+
+def warehouse_hotspots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rebuilt(spark, sf_dir).read(spark, tables.COUNTRY_HOTSPOTS)
+
+
 def warehouse_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rebuilt(spark, sf_dir).read(spark, tables.AUDIT)
 
 
 def message_stream(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
-    """The raw messages, closed by a heartbeat, as files that one micro-batch takes."""
-    raw_messages(spark, sf_dir).unionByName(heartbeat(spark)).write.parquet(folder)
-    return stream_from_files(spark, folder, maxFilesPerTrigger=ALL_FILES)
+    """The raw messages in files that each hold rows of all times, one for each micro-batch.
+
+    Most rows are late by over 300 s after the first file.
+    """
+    raw_messages(spark, sf_dir).repartition(MESSAGE_FILES).write.parquet(folder)
+    return stream_from_files(spark, folder, maxFilesPerTrigger="1")
 
 
 def drained(spark: SparkSession, sf_dir: str) -> Lake:
     """Run the streaming jobs until everything given is published."""
     lake = Lake(shared_dir(spark, "stream"))
     messages = message_stream(spark, sf_dir, f"{lake.root}/messages")
-    drain(spark, messages, lake, _as_of(), _run_ts(), maxFilesPerTrigger=ALL_FILES)
+    drain(spark, messages, lake, _as_of(), _run_ts(), maxFilesPerTrigger="3")
     return lake
 
 
@@ -207,11 +234,18 @@ def stream_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drained(spark, sf_dir).read(spark, tables.METRICS)
+
+
+def stream_chained_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metrics from two chained stateful steps with a file sink of their own."""
     lake = Lake(shared_dir(spark, "stream"))
-    messages = message_stream(spark, sf_dir, f"{lake.root}/messages")
+    folder = f"{lake.root}/messages"
+    # Without a later pass over the date, all has to come in one micro-batch and be followed by a later row.
+    raw_messages(spark, sf_dir).unionByName(heartbeat(spark)).write.parquet(folder)
+    messages = stream_from_files(spark, folder)
     start_processing(messages, lake, _as_of(), {"availableNow": True}).awaitTermination()
-    staged = read_staged(spark, lake, "valid", maxFilesPerTrigger=ALL_FILES)
+    staged = read_staged(spark, lake, "valid")
     path = f"{lake.root}/metrics"
     (
         chained_metrics(staged, _run_ts())
@@ -244,11 +278,16 @@ CASES = {
     "dq_missing_attrs": dq_missing_attrs,
     "messages_to_hotspots": messages_to_hotspots,
     "period_bronze": period_bronze,
+    "period_alerts": period_alerts,
+    "period_rerun": period_rerun,
+    "warehouse_silver": warehouse_silver,
+    "warehouse_hotspots": warehouse_hotspots,
     "warehouse_merchants": warehouse_merchants,
     "warehouse_audit": warehouse_audit,
     "stream_bronze": stream_bronze,
     "stream_alerts": stream_alerts,
     "stream_metrics": stream_metrics,
+    "stream_chained_metrics": stream_chained_metrics,
     "stream_dead_letters": stream_dead_letters,
 }
 

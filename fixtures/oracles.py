@@ -290,10 +290,15 @@ SELECT transaction_id, {_stamp('publish_ts')}, {_errors(raw=True)} AS errors FRO
     "dq_missing_attrs": f"{TYPED_SILVER} {_audit('silver', extras=True)}",
     "messages_to_hotspots": f"{MESSAGES_SILVER} {_HOTSPOTS}",
     "period_bronze": f"{MESSAGES_MINUTE} SELECT {_BRONZE_COLUMNS} FROM bronze",
+    "period_alerts": f"{MESSAGES_MINUTE} {_ALERTS}",
+    "period_rerun": f"{MESSAGES_MINUTE} SELECT {_BRONZE_COLUMNS} FROM bronze",
+    "warehouse_silver": f"{TYPED_SILVER} SELECT {_SILVER_COLUMNS} FROM silver",
+    "warehouse_hotspots": f"{TYPED_SILVER} {_HOTSPOTS}",
     "warehouse_merchants": f"{TYPED_SILVER} {_MERCHANTS}",
     "warehouse_audit": f"{TYPED_SILVER} {_audit('silver')}",
     "stream_bronze": f"{MESSAGES_MINUTE} SELECT {_BRONZE_COLUMNS} FROM bronze",
     "stream_alerts": f"{MESSAGES_MINUTE} {_ALERTS}",
     "stream_metrics": f"{MESSAGES_MINUTE} {_metrics()}",
+    "stream_chained_metrics": f"{MESSAGES_MINUTE} {_metrics()}",
     "stream_dead_letters": f"{_with(_TYPED)} {_DEAD_LETTERS}",
 }

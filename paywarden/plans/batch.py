@@ -14,7 +14,7 @@ from paywarden.streaming.jobs import (
     STAGED,
     VALID,
     dead_letter_records,
-    publish_minutes,
+    replace_minutes,
     staged_messages,
 )
 
@@ -30,7 +30,8 @@ def process_period(
     """Write bronze, alerts, metrics and dead letters of one period of messages.
 
     The parsed messages are written once, split by route, and each output reads
-    its own route. Running the same period again replaces its files.
+    its own route. Running the same period again replaces
+    all of it, also with fewer rows or none.
     """
     staged_path = f"{lake.staging_path}-period={period}"
     staged_messages(messages, as_of).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("route").parquet(staged_path)
@@ -45,5 +46,5 @@ def process_period(
         .partitionBy("window")
         .json(f"{lake.dead_letter_path}-period={period}")
     )
-    valid = staged.filter(F.col("route") == VALID).drop("errors", "raw_message", "route")
-    publish_minutes(lake, earliest_per_minute(valid), f"period-{period}", run_ts)
+    valid = staged.filter(F.col("route") == VALID)
+    replace_minutes(spark, lake, valid, f"period-{period}", run_ts)

@@ -38,8 +38,12 @@ def rebuild_warehouse(
     run_date: Column | None = None,
     created_ts: Column | None = None,
     extras: bool = False,
+    catalog: bool = False,
 ) -> DataFrame:
-    """Run the three stages in order and return the audit log."""
+    """Run the three stages in order and return the audit log.
+
+    ``catalog`` also defines the tables in the session's catalog as they stand then.
+    """
     refresh_silver(spark, lake)
     refresh_gold(spark, lake)
     append_audit(
@@ -49,4 +53,6 @@ def rebuild_warehouse(
         F.current_timestamp() if created_ts is None else created_ts,
         extras,
     )
+    if catalog:
+        lake.publish_tables(spark)
     return lake.read(spark, tables.AUDIT)

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
+from datetime import date
+from urllib.parse import quote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,8 +16,11 @@ from paywarden import schemas
 
 NAMESPACES = ("bronze", "silver", "gold", "ops")
 
-# Partition of one micro-batch or replayed period; writing it again replaces exactly its own files.
+# A replayed period or the publish date of a stream; it is the folder that is replaced as a whole.
 BATCH = "batch_id"
+# One micro-batch in it; writing it again replaces exactly its own files.
+RUN = "run_id"
+CLOSED_RUN = "closed"
 
 
 @dataclass(frozen=True)
@@ -29,6 +35,8 @@ class Table:
     # Source of a partition column that the schema does not have.
     derived_from: str | None = None
     per_batch: bool = False
+    # Rebuilt as a whole, in one of two folders in turn.
+    versioned: bool = False
 
     @property
     def full_name(self) -> str:
@@ -36,7 +44,7 @@ class Table:
 
     @property
     def partitions(self) -> list[str]:
-        return [self.partition, BATCH] if self.per_batch else [self.partition]
+        return [BATCH, RUN, self.partition] if self.per_batch else [self.partition]
 
     @property
     def stored_schema(self) -> T.StructType:
@@ -45,7 +53,7 @@ class Table:
         kept = [f for f in self.schema if f.name == self.partition]
         keys = kept or [T.StructField(self.partition, T.DateType())]
         if self.per_batch:
-            keys = keys + [T.StructField(BATCH, T.StringType())]
+            keys = [T.StructField(BATCH, T.StringType()), T.StructField(RUN, T.StringType()), *keys]
         return T.StructType(data + keys)
 
 
@@ -82,6 +90,7 @@ SILVER = Table(
     schemas.SILVER,
     "transaction_date",
     ("risk_level", "txn_country", "merchant_category"),
+    versioned=True,
 )
 MERCHANT_KPIS = Table(
     "gold",
@@ -90,6 +99,7 @@ MERCHANT_KPIS = Table(
     "window_date",
     ("merchant_category", "merchant_id"),
     derived_from="window_hour",
+    versioned=True,
 )
 COUNTRY_HOTSPOTS = Table(
     "gold",
@@ -97,6 +107,7 @@ COUNTRY_HOTSPOTS = Table(
     schemas.COUNTRY_HOTSPOTS,
     "transaction_date",
     ("txn_country",),
+    versioned=True,
 )
 TABLES = (BRONZE, ALERTS, METRICS, AUDIT, SILVER, MERCHANT_KPIS, COUNTRY_HOTSPOTS)
 
@@ -122,19 +133,41 @@ class Lake:
     def checkpoint_path(self, query: str) -> str:
         return f"{self.root.rstrip('/')}/_checkpoints/{query}"
 
+    def minutes_path(self, batch_id: str) -> str:
+        return f"{self.root.rstrip('/')}/bronze/_minutes/{quote(batch_id, safe='')}"
+
+    def mark_closed(self, spark: SparkSession, day: date) -> None:
+        """Note that a publish date is closed."""
+        note = spark.range(1).select(F.lit(day).alias("closed_date"))
+        self._writer(note, []).mode("append").json(f"{self.root.rstrip('/')}/_closed_dates")
+
+    def closed_dates(self, spark: SparkSession) -> set[date]:
+        """The closed publish dates, one for each day of the lake's life at most."""
+        notes = _if_written(
+            lambda: spark.read.schema("closed_date date").json(f"{self.root.rstrip('/')}/_closed_dates")
+        )
+        return set() if notes is None else {row[0] for row in notes.distinct().collect()}
+
     def create_tables(self, spark: SparkSession) -> None:
         """Define namespaces and tables in the catalog where they are absent."""
         for namespace in NAMESPACES:
             spark.sql(f"CREATE DATABASE IF NOT EXISTS {namespace}")
         for table in TABLES:
-            location = self.path(table).replace("\\", "\\\\").replace("'", "\\'")
-            columns = ", ".join(
-                f"{f.name} {f.dataType.simpleString()}" for f in table.stored_schema
-            )
-            spark.sql(
-                f"CREATE TABLE IF NOT EXISTS {table.full_name} ({columns}) USING parquet "
-                f"PARTITIONED BY ({', '.join(table.partitions)}) LOCATION '{location}'"
-            )
+            self._define(spark, table, max(self._version(spark, table), 0))
+
+    def publish_tables(self, spark: SparkSession) -> None:
+        """Let the catalog see all that was written by path.
+
+        A rebuilt table is defined anew over the folder that now holds it; only
+        its definition is dropped for that, as the files are not the catalog's.
+        """
+        self.create_tables(spark)
+        for table in TABLES:
+            if table.versioned:
+                spark.sql(f"DROP TABLE {table.full_name}")
+                self._define(spark, table, max(self._version(spark, table), 0))
+            if _if_written(lambda table=table: self.read(spark, table)) is not None:
+                self.recover_partitions(spark, table)
 
     def recover_partitions(self, spark: SparkSession, table: Table) -> None:
         """Let the catalog see partitions that were written by path."""
@@ -142,34 +175,87 @@ class Lake:
 
     def read(self, spark: SparkSession, table: Table) -> DataFrame:
         """The table with exactly its documented columns; filters on the partition prune folders."""
-        stored = spark.read.schema(table.stored_schema).parquet(self.path(table))
+        path = self._folder(table, self._version(spark, table))
+        stored = spark.read.schema(table.stored_schema).parquet(path)
         return stored.select(*table.schema.fieldNames())
 
     def replace(self, rows: DataFrame, table: Table) -> None:
-        """Rebuild the whole table."""
-        (
-            self._writer(_laid_out(rows, table), table)
-            .mode("overwrite")
-            .option("partitionOverwriteMode", "static")
-            .parquet(self.path(table))
-        )
+        """Rebuild the whole table; until its files are complete, readers get the old one.
+
+        The rows go to the folder that is not in use, and the version is noted
+        afterwards. A rebuild that fails leaves the old version noted.
+        """
+        spark = rows.sparkSession
+        version = self._version(spark, table) + 1
+        self._overwrite(_laid_out(rows, table), table.partitions, self._folder(table, version))
+        # Two notes in turn: while one is overwritten the other one holds.
+        note = spark.range(1).select(F.lit(version).cast("long").alias("version"))
+        self._overwrite(note, [], f"{self._notes(table)}/slot={version % 2}", "json")
 
     def append(self, rows: DataFrame, table: Table) -> None:
         """Add rows."""
-        self._writer(_laid_out(rows, table), table).mode("append").parquet(self.path(table))
-
-    def write_batch(self, rows: DataFrame, table: Table, batch_id: str) -> None:
-        """Write one batch; writing the same batch again replaces its files."""
-        batch = rows.withColumn(BATCH, F.lit(batch_id))
+        self._writer(_laid_out(rows, table), table.partitions).mode("append").parquet(self.path(table))
+
+    def write_batch(
+        self, rows: DataFrame, table: Table, batch_id: Column | str, run_id: str = "all"
+    ) -> None:
+        """Add one run to the batches its rows belong to; the same run again replaces its files."""
+        batch = F.lit(batch_id) if isinstance(batch_id, str) else batch_id
+        named = rows.withColumns({BATCH: batch, RUN: F.lit(run_id)})
         (
-            self._writer(_laid_out(batch, table), table)
+            self._writer(_laid_out(named, table), table.partitions)
             .mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .parquet(self.path(table))
         )
 
-    def _writer(self, rows: DataFrame, table: Table):
-        return rows.write.partitionBy(*table.partitions).options(**self.options)
+    def replace_batch(self, rows: DataFrame, table: Table, batch_id: str) -> None:
+        """Make ``rows`` all that the batch holds: earlier runs and dates of it are gone, also for no rows."""
+        named = rows.withColumn(RUN, F.lit(CLOSED_RUN))
+        keys = [key for key in table.partitions if key != BATCH]
+        folder = f"{self.path(table)}/{BATCH}={quote(batch_id, safe='')}"
+        self._overwrite(_laid_out(named, table, keys), keys, folder)
+
+    def _folder(self, table: Table, version: int) -> str:
+        return f"{self.path(table)}/version={version % 2}" if table.versioned else self.path(table)
+
+    def _notes(self, table: Table) -> str:
+        return f"{self.root.rstrip('/')}/_versions/{table.full_name}"
+
+    def _version(self, spark: SparkSession, table: Table) -> int:
+        """The version of a rebuilt table that is in use, -1 before its first rebuild."""
+        if not table.versioned:
+            return -1
+        notes = _if_written(lambda: spark.read.schema("version long").json(self._notes(table)))
+        latest = None if notes is None else notes.agg(F.max("version")).first()[0]
+        return -1 if latest is None else latest
+
+    def _define(self, spark: SparkSession, table: Table, version: int) -> None:
+        location = self._folder(table, version).replace("\\", "\\\\").replace("'", "\\'")
+        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in table.stored_schema)
+        spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {table.full_name} ({columns}) USING parquet "
+            f"PARTITIONED BY ({', '.join(table.partitions)}) LOCATION '{location}'"
+        )
+
+    def _overwrite(self, rows: DataFrame, keys: list[str], folder: str, form: str = "parquet") -> None:
+        # Static, whatever the session says: nothing of the old folder may stay.
+        writer = self._writer(rows, keys).mode("overwrite").option("partitionOverwriteMode", "static")
+        writer.format(form).save(folder)
+
+    def _writer(self, rows: DataFrame, keys: list[str]):
+        writer = rows.write.options(**self.options)
+        return writer.partitionBy(*keys) if keys else writer
+
+
+def _if_written(read: Callable[[], DataFrame]) -> DataFrame | None:
+    """What ``read`` gives, None if its folder does not exist."""
+    try:
+        return read()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
 
 
 def require_values(rows: DataFrame, schema: T.StructType) -> DataFrame:
@@ -189,7 +275,7 @@ def _partition_value(table: Table) -> Column:
     return F.to_date(table.derived_from) if table.derived_from else F.col(table.partition)
 
 
-def _laid_out(rows: DataFrame, table: Table) -> DataFrame:
+def _laid_out(rows: DataFrame, table: Table, keys: list[str] | None = None) -> DataFrame:
     """One partition's rows together, in files of the advisory size, sorted by the cluster columns.
 
     The rebalance keeps a task from writing a sliver into every date, and AQE
@@ -198,5 +284,5 @@ def _laid_out(rows: DataFrame, table: Table) -> DataFrame:
     """
     dated = rows.withColumn(table.partition, _partition_value(table))
     return dated.hint("rebalance", table.partition).sortWithinPartitions(
-        *table.partitions, *table.cluster
+        *(table.partitions if keys is None else keys), *table.cluster
     )

@@ -6,10 +6,18 @@
 2. ``start_dead_letters`` copies the rejected route to JSON lines.
 3. ``start_publishing`` de-duplicates the valid route in state and writes
    bronze, alerts and metrics.
+
+A valid message that comes after the watermark has passed its minute is not
+published by the stream, but it is staged. ``close_date`` publishes a date again
+from all its staged rows, once it is over, and so takes in such rows however the
+stream was cut into micro-batches. Until then they are counted as
+``numRowsDroppedByWatermark`` in the progress of the publishing query.
 """
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,7 +29,7 @@ from paywarden.operators.dedup import ALLOWED_LATENESS, earliest_per_minute
 from paywarden.operators.metrics import minute_metrics
 from paywarden.operators.validate import process_messages
 from paywarden.sources import lake as tables
-from paywarden.sources.lake import Lake, require_values
+from paywarden.sources.lake import Lake, Table, require_values
 
 VALID = "valid"
 INVALID = "invalid"
@@ -35,6 +43,7 @@ STAGED = T.StructType(
         T.StructField("errors", T.ArrayType(T.StringType())),
         T.StructField("raw_message", T.StringType()),
         T.StructField("route", T.StringType()),
+        T.StructField("publish_date", T.DateType()),
     ]
 )
 
@@ -47,6 +56,7 @@ def staged_messages(messages: DataFrame, as_of: Column | str) -> DataFrame:
         {
             "route": F.when(rejected, INVALID).otherwise(VALID),
             "raw_message": F.when(rejected, F.col("raw_message")),
+            "publish_date": F.to_date("publish_ts"),
         }
     ).select(*STAGED.fieldNames())
 
@@ -59,7 +69,7 @@ def start_processing(
     return (
         staged_messages(messages, now)
         .writeStream.format("parquet")
-        .partitionBy("route")
+        .partitionBy("route", "publish_date")
         .option("path", lake.staging_path)
         .option("checkpointLocation", lake.checkpoint_path("processing"))
         .trigger(**_trigger(trigger))
@@ -106,8 +116,12 @@ def start_dead_letters(
 
 def windowed_payments(valid: DataFrame) -> DataFrame:
     """The stateful de-duplication: rows of a minute appear once the watermark has passed it."""
-    columns = ["publish_ts", *schemas.BRONZE.fieldNames()]
-    return earliest_per_minute(valid.select(*columns).withWatermark("publish_ts", ALLOWED_LATENESS))
+    return earliest_per_minute(payment_columns(valid).withWatermark("publish_ts", ALLOWED_LATENESS))
+
+
+def payment_columns(staged: DataFrame) -> DataFrame:
+    """What bronze and its de-duplication need of staged rows."""
+    return staged.select("publish_ts", *schemas.BRONZE.fieldNames())
 
 
 def chained_metrics(valid: DataFrame, run_ts: Column) -> DataFrame:
@@ -115,20 +129,74 @@ def chained_metrics(valid: DataFrame, run_ts: Column) -> DataFrame:
     return minute_metrics(windowed_payments(valid), F.window_time("window"), run_ts)
 
 
-def publish_minutes(lake: Lake, payments: DataFrame, batch_id: str, run_ts: Column) -> None:
-    """Write bronze, alerts and metrics of whole minutes into the partitions of one batch."""
-    # Three writes read the rows; without this the de-duplication would run three times.
+def publish_minutes(lake: Lake, payments: DataFrame, run_id: str, run_ts: Column) -> None:
+    """Write bronze, alerts and metrics of whole minutes as one run of each of their publish dates.
+
+    A date that was closed meanwhile is left alone: its staged rows are published already.
+    """
     minutes = payments.select(F.col("window.start").alias("minute"), *schemas.BRONZE.fieldNames())
+    publish_date = F.to_date("minute")
+    # Several writes read the rows of the micro-batch; without this the de-duplication would run for each.
     minutes.persist()
     try:
-        bronze = require_values(minutes.drop("minute"), schemas.BRONZE)
-        lake.write_batch(bronze, tables.BRONZE, batch_id)
-        lake.write_batch(high_risk_alerts(minutes, run_ts), tables.ALERTS, batch_id)
-        lake.write_batch(minute_metrics(minutes, F.col("minute"), run_ts), tables.METRICS, batch_id)
+        # One date as a rule, a few after an outage.
+        found = {row[0] for row in minutes.select(publish_date).distinct().collect()}
+        for day in sorted(found - lake.closed_dates(minutes.sparkSession)):
+            batch_id = str(day)
+            outputs = minute_outputs(minutes.filter(publish_date == F.lit(day)), run_ts)
+            for table, rows in outputs.items():
+                lake.write_batch(rows, table, batch_id, run_id)
     finally:
         minutes.unpersist()
 
 
+def minute_outputs(minutes: DataFrame, run_ts: Column) -> dict[Table, DataFrame]:
+    """Bronze, alerts and metrics of de-duplicated payments with their ``minute``."""
+    return {
+        tables.BRONZE: require_values(minutes.drop("minute"), schemas.BRONZE),
+        tables.ALERTS: high_risk_alerts(minutes, run_ts),
+        tables.METRICS: minute_metrics(minutes, F.col("minute"), run_ts),
+    }
+
+
+def replace_minutes(
+    spark: SparkSession, lake: Lake, staged: DataFrame, batch_id: str, run_ts: Column
+) -> None:
+    """Make the staged valid rows all that the batch holds of bronze, alerts and metrics.
+
+    The de-duplicated rows are written once and read back by each output with
+    only its columns, so nothing of a long period is held by the executors.
+    """
+    payments = earliest_per_minute(payment_columns(staged))
+    minutes = payments.select(F.col("window.start").alias("minute"), *schemas.BRONZE.fieldNames())
+    path = lake.minutes_path(batch_id)
+    minutes.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    written = spark.read.schema(minutes.schema).parquet(path)
+    for table, rows in minute_outputs(written, run_ts).items():
+        lake.replace_batch(rows, table, batch_id)
+
+
+def close_date(spark: SparkSession, lake: Lake, day: date, run_ts: Column | None = None) -> None:
+    """Publish a date that is over again, from all valid rows staged for it.
+
+    Rows that the stream dropped as late come in, and the date's micro-batches
+    become one batch. The stream publishes nothing more for the date; rows staged
+    later than this come in when the date is closed again.
+    """
+    lake.mark_closed(spark, day)
+    staged = spark.read.schema(STAGED).parquet(lake.staging_path)
+    rows = staged.filter((F.col("route") == VALID) & (F.col("publish_date") == F.lit(day)))
+    now = F.current_timestamp() if run_ts is None else run_ts
+    replace_minutes(spark, lake, rows, str(day), now)
+
+
+def staged_dates(spark: SparkSession, lake: Lake) -> list[date]:
+    """Publish dates that have valid rows."""
+    staged = spark.read.schema(STAGED).parquet(lake.staging_path)
+    found = staged.filter(F.col("route") == VALID).select("publish_date").distinct().dropna()
+    return sorted(row[0] for row in found.collect())
+
+
 def start_publishing(
     spark: SparkSession,
     lake: Lake,
@@ -140,8 +208,8 @@ def start_publishing(
 
     In append mode a minute leaves the state whole and in one micro-batch. The
     metrics of that minute are therefore complete when computed inside the
-    batch, without state or a watermark of their own. Each output goes to a
-    partition of its batch, so a batch that is run again changes nothing.
+    batch, without state or a watermark of their own. Each output goes to the
+    partitions of its run, so a batch that is run again changes nothing.
     """
     now = F.current_timestamp() if run_ts is None else run_ts
 
@@ -177,12 +245,15 @@ def drain(
     run_ts: Column | None = None,
     **staged_options: str,
 ) -> None:
-    """Run the three queries over everything that is available, one after the other, and stop."""
+    """Run the three queries over everything that is available, close its dates, and stop."""
     once = {"availableNow": True}
     start_processing(messages, lake, as_of, once).awaitTermination()
     start_dead_letters(spark, lake, once, **staged_options).awaitTermination()
     start_publishing(spark, lake, run_ts, once, **staged_options).awaitTermination()
+    for day in staged_dates(spark, lake):
+        close_date(spark, lake, day, run_ts)
 
 
 def _trigger(trigger: dict | None) -> dict:
-    return {"processingTime": "0 seconds"} if trigger is None else trigger
+    # A minute is the window; shorter triggers would only write smaller files.
+    return {"processingTime": "1 minute"} if trigger is None else trigger

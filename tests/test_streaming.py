@@ -1,6 +1,7 @@
 """The streaming jobs against the batch form, with late rows and restarts."""
 
 import json
+from datetime import date
 from pathlib import Path
 
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from paywarden.sources.lake import Lake
 from paywarden.sources.raw import read_dead_letters, stream_from_files
 from paywarden.streaming.jobs import (
     chained_metrics,
+    close_date,
     drain,
     read_staged,
     start_processing,
@@ -42,7 +44,7 @@ def rows_of(frame):
 def test_the_stream_gives_what_the_batch_gives(spark, tmp_path):
     source = tmp_path / "in"
     raw = raw_messages(spark, SMALL)
-    raw.unionByName(heartbeat(spark)).write.parquet(str(source))
+    raw.repartition(2).write.parquet(str(source))
     stream, batch = Lake(str(tmp_path / "stream")), Lake(str(tmp_path / "batch"))
     drain(spark, stream_from_files(spark, str(source)), stream, AS_OF, run_ts())
     process_period(spark, raw, batch, "0", AS_OF, run_ts())
@@ -63,15 +65,20 @@ def test_the_stream_gives_what_the_batch_gives(spark, tmp_path):
     files = Path(stream.path(tables.BRONZE)).rglob("*.parquet")
     folders = [f.parent for f in files]
     assert folders and len(folders) == len(set(folders))
-    assert all("batch_id=None" not in str(f) for f in folders)
+    # Closing a date leaves one run of it.
+    assert all("run_id=closed" in str(f) for f in folders)
 
     # The chained form of the metrics has a state of its own and the same result.
     path = str(tmp_path / "metrics")
+    whole = Lake(str(tmp_path / "whole"))
+    raw.unionByName(heartbeat(spark)).write.parquet(str(tmp_path / "closed"))
+    closed = stream_from_files(spark, str(tmp_path / "closed"))
+    start_processing(closed, whole, AS_OF, ONCE).awaitTermination()
     query = (
-        chained_metrics(read_staged(spark, stream, "valid"), run_ts())
+        chained_metrics(read_staged(spark, whole, "valid"), run_ts())
         .writeStream.format("parquet")
         .option("path", path)
-        .option("checkpointLocation", stream.checkpoint_path("metrics"))
+        .option("checkpointLocation", whole.checkpoint_path("metrics"))
         .trigger(**ONCE)
         .start()
     )
@@ -115,6 +122,45 @@ def test_late_rows_duplicates_and_restarts(spark, tmp_path):
     assert [(r.window_start.minute, r.total_transactions) for r in metrics] == [(2, 2), (6, 1), (0, 2)]
     assert lake.read(spark, tables.ALERTS).count() == 5
 
+    # What came too late is published when its date is closed, and nothing twice, however often.
+    for _ in range(2):
+        close_date(spark, lake, date(2024, 5, 1), run_ts())
+    everything = ["far", "far 2", "first", "late", "other minute", "too late"]
+    assert sorted(r.city for r in lake.read(spark, tables.BRONZE).collect()) == everything
+    metrics = lake.read(spark, tables.METRICS).orderBy("window_start").collect()
+    assert [(r.window_start.minute, r.total_transactions) for r in metrics] == [(2, 3), (6, 1), (0, 2)]
+    assert lake.read(spark, tables.ALERTS).count() == 6
+
+
+def test_the_stream_leaves_a_closed_date_alone(spark, tmp_path):
+    source, lake = tmp_path / "in", Lake(str(tmp_path / "lake"))
+    put(spark, source, [event()], "2024-05-01T10:02:00")
+    drain(spark, stream_from_files(spark, str(source)), lake, AS_OF, run_ts())
+    assert lake.read(spark, tables.BRONZE).count() == 1
+    # The minute of the first drain is still in the state and leaves it now.
+    put(spark, source, [event(transaction_id="next day")], "2024-05-02T10:00:00")
+    once = stream_from_files(spark, str(source))
+    start_processing(once, lake, AS_OF, ONCE).awaitTermination()
+    start_publishing(spark, lake, run_ts(), ONCE).awaitTermination()
+    assert lake.read(spark, tables.BRONZE).count() == 1
+    close_date(spark, lake, date(2024, 5, 2), run_ts())
+    assert lake.read(spark, tables.BRONZE).count() == 2
+
+
+def test_a_shorter_run_of_a_period_leaves_nothing_of_the_longer_one(spark, tmp_path):
+    lake = Lake(str(tmp_path))
+    both = messages(
+        spark,
+        [event(), event(transaction_id="b", transaction_ts="2024-05-02T10:00:00Z")],
+        ["2024-05-01T10:02:00", "2024-05-02T10:02:00"],
+    ).drop("n")
+    other = messages(spark, [event(transaction_id="other")]).drop("n")
+    process_period(spark, other, lake, "2024-05-03 10:00", AS_OF, run_ts())
+    for count, raw in ((2, both), (1, both.limit(1)), (0, both.limit(0))):
+        process_period(spark, raw, lake, "7", AS_OF, run_ts())
+        for table in (tables.BRONZE, tables.ALERTS, tables.METRICS):
+            assert lake.read(spark, table).count() == count + 1
+
 
 def test_a_period_run_again_is_there_once(spark, tmp_path):
     lake = Lake(str(tmp_path))

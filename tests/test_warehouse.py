@@ -159,6 +159,42 @@ def test_the_rebuild_replaces_tables_and_appends_to_the_audit(spark, tmp_path):
     assert lake.read(spark, tables.MERCHANT_KPIS).agg(F.sum("total_transactions")).first()[0] == 1000
 
 
+def test_a_failed_rebuild_leaves_the_old_table(spark, tmp_path):
+    lake = Lake(str(tmp_path))
+    good = curate_transactions(scored_payments(spark, SMALL))
+    lake.replace(good, tables.SILVER)
+    torn = good.withColumn("city", F.when(F.col("amount") > 0, F.raise_error(F.lit("torn"))).otherwise(F.col("city")))
+    for _ in range(2):
+        with pytest.raises(Exception, match="torn"):
+            lake.replace(torn, tables.SILVER)
+        assert lake.read(spark, tables.SILVER).count() == 1000
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        for count in (3, 2, 1):
+            lake.replace(good.limit(count), tables.SILVER)
+            assert lake.read(spark, tables.SILVER).count() == count
+    finally:
+        spark.conf.set(mode, before)
+
+
+def test_a_rebuild_fills_the_catalog(spark, tmp_path):
+    lake = Lake(str(tmp_path))
+    for namespace in tables.NAMESPACES:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {namespace} LOCATION '{tmp_path}/db_{namespace}'")
+    lake.write_batch(scored_payments(spark, SMALL).drop("publish_ts"), tables.BRONZE, "a")
+    try:
+        for _ in range(2):
+            rebuild_warehouse(spark, lake, catalog=True)
+            for table in (tables.BRONZE, tables.SILVER, tables.AUDIT, tables.MERCHANT_KPIS, tables.COUNTRY_HOTSPOTS):
+                named = spark.table(table.full_name)
+                assert named.count() == lake.read(spark, table).count() > 0
+    finally:
+        for namespace in tables.NAMESPACES:
+            spark.sql(f"DROP DATABASE {namespace} CASCADE")
+
+
 def test_catalog_tables_see_written_partitions(spark, tmp_path):
     lake = Lake(str(tmp_path))
     for namespace in tables.NAMESPACES:

@@ -88,15 +88,19 @@ def parse_messages(messages: DataFrame) -> DataFrame:
     )
     checked = read_again.select(*carried, "_documents", "_bracketed", parse_error.alias("parse_error"))
     final = F.when(F.col("_bracketed").isNull(), F.col("_documents")).otherwise(
-        F.transform(F.array(element), _read_variant)
+        F.array(_read_variant(element, first))
     )
     return checked.select(
         *carried, "parse_error", F.when(F.col("parse_error").isNull(), final).alias("_documents")
     ).select(*carried, "parse_error", F.inline_outer("_documents"))
 
 
-def _read_variant(document: Column) -> Column:
-    """The required keys of a JSON object with the distinctions of a dynamic producer."""
+def _read_variant(document: Column, first: Column) -> Column:
+    """The required keys of a JSON object with the distinctions of a dynamic producer.
+
+    A text that the ``first`` reading left no doubt of is kept, so that it does
+    not depend on what other fields hold.
+    """
     fields = []
     for name in REQUIRED_FIELDS:
         value = F.try_variant_get(document, f"$.{name}", "variant")
@@ -111,5 +115,7 @@ def _read_variant(document: Column) -> Column:
             field = F.when(is_boolean, F.initcap(text)).otherwise(text)
         if name in TEXT_FIELDS:
             field = F.when(F.is_variant_null(value), F.lit("None")).otherwise(field)
+            known = first.getField(name)
+            field = F.when(known.isNotNull() & ~known.isin("true", "false"), known).otherwise(field)
         fields.append(field.alias(name))
     return F.struct(*fields)

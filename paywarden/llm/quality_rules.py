@@ -17,7 +17,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paywarden.llm.lines import let, rows_per_line, with_line_hashes, with_removed_lines
-from paywarden.llm.mixing import WORD
 from paywarden.llm.storage import saved
 
 MAX_DOCUMENTS = 100
@@ -29,7 +28,10 @@ BLANKS = "\x20\x09\x0a\x0b\x0c\x0d"
 
 
 def words_of(text: Column) -> Column:
-    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD), F.lit(0))
+    """Runs of characters other than ``BLANKS``, in order."""
+    # Splitting at one plain character needs no pattern to be matched at every place.
+    spaced = F.translate(F.coalesce(text, F.lit("")), BLANKS, " " * len(BLANKS))
+    return F.array_remove(F.split(spaced, " "), "")
 
 
 def repeated_words(words: Column) -> Column:

@@ -10,8 +10,9 @@ hit every window of ``MIN_OVERLAP`` words with up to two substitutions, which
 is as many as the share allows.
 
 Words are runs of letters and digits, A-Z in lower case. Items of fewer than
-``MIN_ITEM`` words are no evidence and are left out; items shorter than a mask
-are found through a mask of their own length.
+``MIN_ITEM`` words are no evidence and are left out; items shorter than
+``MIN_OVERLAP`` are found through masks of their own length, which between them
+ignore every set of words that the share allows to differ.
 
 The benchmark is taken in blocks of ``BLOCK_WORDS`` words, each sent to all
 tasks; texts are never shuffled, however many share a passage.
@@ -24,6 +25,7 @@ texts. An empty table gives an empty result. Other columns are kept.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -39,12 +41,24 @@ MIN_OVERLAP = 13
 MIN_ITEM = 5
 MIN_MATCHED = 0.8
 BLOCK_WORDS = 2_000_000
+MASK_GROUPS = 5
 
 
 def mask_positions(mask: str) -> list[int]:
     return [i for i, bit in enumerate(mask) if bit == "1"]
 
 
+def short_masks(size: int) -> list[str]:
+    """Masks of ``size`` words that hit an item of that size whichever words the share allows differ.
+
+    The positions are dealt to ``MASK_GROUPS`` groups, and every choice of as
+    many groups as words may differ is ignored by one mask.
+    """
+    differing = int(size - np.ceil(MIN_MATCHED * size))
+    chosen = combinations(range(MASK_GROUPS), differing)
+    return ["".join("0" if i % MASK_GROUPS in ignored else "1" for i in range(size)) for ignored in chosen]
+
+
 def seeds(words: Words, mask: str) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all runs inside one text under the mask, and the first word of each."""
     n = len(words.hashes) - len(mask) + 1
@@ -70,15 +84,14 @@ class Block:
         self.first = words.first
         self.owner = words.owner
         counts = words.counts
-        shorter = sorted({int(n) for n in counts if MIN_ITEM <= n < max(map(len, MASKS))})
-        self.masks = [*MASKS, *("1" * n for n in shorter)]
+        shorter = sorted({int(n) for n in counts if MIN_ITEM <= n < MIN_OVERLAP})
+        self.masks = [*MASKS, *(mask for n in shorter for mask in short_masks(n))]
         found = []
         for number, mask in enumerate(self.masks):
             hashes, at = seeds(words, mask)
-            long_enough = counts[self.owner[at]] >= MIN_ITEM
-            if number >= len(MASKS):  # a mask of an item's own length is for such items only
-                long_enough &= counts[self.owner[at]] == len(mask)
-            found.append((hashes[long_enough], at[long_enough], np.full(long_enough.sum(), number)))
+            size = counts[self.owner[at]]
+            meant = size >= MIN_OVERLAP if number < len(MASKS) else size == len(mask)
+            found.append((hashes[meant], at[meant], np.full(meant.sum(), number)))
         hashes, at, number = (np.concatenate(parts) for parts in zip(*found))
         order = np.argsort(hashes, kind="stable")
         self.hashes, self.at, self.number = hashes[order], at[order], number[order]

@@ -3,6 +3,7 @@
 import base64
 import gzip
 import hashlib
+import itertools
 import random
 import re
 import urllib.parse
@@ -357,6 +358,54 @@ def test_substitutions_are_tolerated(spark, tricky):
     assert decontamination.remove_contaminated(tricky, benchmark).count() == len(TRICKY)
 
 
+def test_masks_reach_every_allowed_substitution():
+    for size in range(decontamination.MIN_ITEM, decontamination.MIN_OVERLAP + 1):
+        masks = decontamination.short_masks(size) if size < decontamination.MIN_OVERLAP else decontamination.MASKS
+        runs = [{i + k for k in decontamination.mask_positions(m)} for m in masks for i in range(size - len(m) + 1)]
+        allowed = max(n for n in range(size) if size - n >= decontamination.MIN_MATCHED * size)
+        for n in range(allowed + 1):
+            for differing in itertools.combinations(range(size), n):
+                assert any(not run & set(differing) for run in runs), (size, differing)
+
+
+def brute_items(text, items):
+    """Ids of the items of which a window of 13 words, or the whole item, stands in the text by the share."""
+    words, found = re.findall(r"[a-z0-9]+", text.lower()), set()
+    for item_id, item in items:
+        theirs = re.findall(r"[a-z0-9]+", (item or "").lower())
+        size = min(len(theirs), 13)
+        if len(theirs) < 5:
+            continue
+        for i in range(len(theirs) - size + 1):
+            for k in range(len(words) - size + 1):
+                if sum(a == b for a, b in zip(theirs[i : i + size], words[k : k + size])) >= 0.8 * size:
+                    found.add(item_id)
+    return sorted(found)
+
+
+def test_overlaps_equal_brute_force(spark):
+    rng = random.Random(71)
+    items = [(n, " ".join(f"v{rng.randrange(40)}" for _ in range(4 + n % 16))) for n in range(64)]
+    rows = []
+    for n in range(320):
+        words = items[n % 64][1].split()
+        for at in rng.sample(range(len(words)), rng.randrange(4)):
+            words[at] = f"v{rng.randrange(40)}"
+        around = [f"v{rng.randrange(40)}" for _ in range(12)]
+        cut = rng.randrange(13)
+        rows.append((n, " ".join(around[:cut] + words + around[cut:])))
+    rows.append((900, "s1 s2 s3 x s5 s6"))
+    items.append((64, "s1 s2 s3 s4 s5 s6"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    got = by_id(decontamination.find_overlaps(docs, benchmark).collect(), "items")
+    expected = {n: brute_items(text, items) for n, text in rows}
+    assert {n: sorted(set(found)) for n, (found,) in got.items()} == expected
+    assert expected[900] == [64] and sum(map(bool, expected.values())) > 150
+    kept = {r["doc_id"] for r in decontamination.remove_contaminated(docs, benchmark).collect()}
+    assert kept == {n for n, found in expected.items() if not found}
+
+
 # Pipeline
 
 

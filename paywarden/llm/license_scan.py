@@ -1,14 +1,12 @@
-"""License scans: phrase places, and an exact set-similarity join of text blocks with license templates.
-
-A block is a line of a text; its set is the different words among those of any
-template. A block meets a template if it contains at least ``CONTAINMENT`` of
-the template's words. The words are ordered by how many blocks of the corpus
-hold them, rarest first, so that the first words of a template are rare. A
-template of ``t`` words with ``c`` to be contained is found through its first
-``t - c + 1`` words and those of a block likewise (prefix filter); blocks of
-fewer than ``c`` words are left out (length filter), and a shared word must
-leave enough words behind it on both sides (positional filter). What remains
-is verified.
+"""License scans: phrase places, and an exact set-similarity join of text windows with license templates.
+
+A text is cut into word windows for each template, one at every word of the
+template, regardless of line ends, so wrapped notices are whole in a window.
+A window is ``SLACK`` longer than the template. It meets the template if it
+contains at least ``CONTAINMENT`` of the template's different words, among them
+those that name the license (the words of its label, if the template has them).
+Windows with fewer places of template words than are needed cannot meet the
+template (length filter); what remains is verified.
 
 Nulls: a null text has no words and no labels. Repeated rows are scanned
 alike. A null id is kept. An empty table gives an empty result. Other columns
@@ -22,13 +20,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paywarden.llm.lines import let
 from paywarden.llm.text_arrays import FOLDED, NOT_ALNUM, slices, words_in
 
 CONTAINMENT = 0.8
+SLACK = 0.25  # a window's words beyond the template's, as a share of them
 
 # Label and phrase, then label and template of a license notice.
 PHRASES = (
@@ -62,8 +60,12 @@ class Templates:
         self.labels = [label for label, _ in templates]
         sets = [sorted(set(text.split())) for _, text in templates]
         self.words = sorted(set().union(*sets))
-        self.sets = [[self.words.index(word) for word in words] for words in sets]
-        self.needed = [needed(len(words), containment) for words in sets]
+        self.sizes = [len(words) for words in sets]
+        self.needed = [needed(size, containment) for size in self.sizes]
+        self.windows = [math.ceil(len(text.split()) * (1 + SLACK)) for _, text in templates]
+        # Per template, which of all words it has, and which of these name the license.
+        self.held = np.array([[word in words for word in self.words] for words in sets])
+        self.naming = np.array([[word in label.split("-") for word in self.words] for label in self.labels]) & self.held
         hashes = hashes_of(self.words)
         self.order = np.argsort(hashes)
         self.hashes = hashes[self.order]
@@ -73,6 +75,31 @@ class Templates:
         at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
         return np.where(self.hashes[at] == hashes, self.order[at], -1)
 
+    def contained(self, k: int, at: np.ndarray, numbers: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Windows that meet template ``k``: their texts, and the share of the template in each.
+
+        ``at``, ``numbers`` and ``owner`` are the places, numbers and texts of all template words.
+        """
+        mine = np.flatnonzero(self.held[k][numbers])
+        at, numbers, owner = at[mine], numbers[mine], owner[mine]
+        n, need = len(at), self.needed[k]
+        # A window may start at a word of the template; it ends with its last place inside the same text.
+        end = np.minimum(np.searchsorted(at, at + self.windows[k]), np.searchsorted(owner, owner, "right"))
+        start = np.flatnonzero(end - np.arange(n) >= need)
+        order = np.lexsort((np.arange(n), numbers))
+        again = numbers[order[1:]] == numbers[order[:-1]]
+        before = np.full(n, -1)  # the place before of the same word
+        before[order[1:][again]] = order[:-1][again]
+        names = self.naming[k][numbers]
+        shared, named = np.zeros(len(start), np.int64), np.zeros(len(start), np.int64)
+        for step in range(self.windows[k]):
+            here = np.minimum(start + step, n - 1)
+            new = (start + step < end[start]) & (before[here] < start)
+            shared += new
+            named += new & names[here]
+        met = (shared >= need) & (named == self.naming[k].sum())
+        return owner[start[met]], shared[met] / self.sizes[k]
+
 
 def hashes_of(words: list[str]) -> np.ndarray:
     data = np.frombuffer(" ".join(words).encode(), np.uint8)
@@ -90,14 +117,13 @@ def phrase_starts(hashes: np.ndarray, owner: np.ndarray, phrase: np.ndarray) ->
     return at
 
 
-SCANNED = "n_words long, n_base long, first_word long, last_word long, base array<int>, blocks array<array<int>>"
+SCANNED = "n_words long, n_base long, first_word long, last_word long, base array<int>, met array<int>, share double"
 
 
 def scanner(templates: Templates, phrases: tuple[tuple[str, str], ...]):
-    """A function for ``mapInArrow``: ``doc_id``, base results, and the blocks that pass the length filter."""
+    """A function for ``mapInArrow``: ``doc_id``, base results, the templates met and the largest share."""
     sought = [hashes_of(text.split()) for _, text in phrases]
-    least = min(templates.needed)
-    size = len(templates.words)
+    size = len(templates.labels)
 
     def nested(counts: np.ndarray, values: pa.Array) -> pa.Array:
         return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), values)
@@ -118,17 +144,13 @@ def scanner(templates: Templates, phrases: tuple[tuple[str, str], ...]):
                 found = np.unique(owner[at] * len(sought) + kind)
                 numbers = templates.numbers(words.hashes)
                 known = np.flatnonzero(numbers >= 0)
-                feeds = np.cumsum(data == 0x0A) if len(data) else np.zeros(0, np.int64)
-                block = feeds[words.starts[known]] + owner[known]  # a text starts a block, too
-                cells = np.unique(block * size + numbers[known])
-                cell_block, cell_word = np.divmod(cells, size)
-                blocks, start, held = np.unique(cell_block, return_index=True, return_counts=True)
-                keep = held >= least
-                owner_of = np.zeros(0, np.int64)
-                if len(blocks):
-                    seen, where = np.unique(block, return_index=True)
-                    owner_of = owner[known][where[np.searchsorted(seen, blocks[keep])]]
-                chosen = np.repeat(keep, held)
+                share = np.zeros(n)
+                cells = [np.empty(0, np.int64)]
+                for k in range(size):
+                    texts, shares = templates.contained(k, known, numbers[known], owner[known])
+                    np.maximum.at(share, texts, shares)
+                    cells.append(texts * size + k)
+                met = np.unique(np.concatenate(cells))
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").slice(first, n),
@@ -137,35 +159,15 @@ def scanner(templates: Templates, phrases: tuple[tuple[str, str], ...]):
                         pa.array(lowest, mask=total == 0),
                         pa.array(highest, mask=total == 0),
                         nested(np.bincount(found // len(sought), minlength=n), pa.array((found % len(sought)).astype(np.int32))),
-                        nested(np.bincount(owner_of, minlength=n), nested(held[keep], pa.array(cell_word[chosen].astype(np.int32)))),
+                        nested(np.bincount(met // size, minlength=n), pa.array((met % size).astype(np.int32))),
+                        pa.array(share),
                     ],
-                    ["doc_id", "n_words", "n_base", "first_word", "last_word", "base", "blocks"],
+                    ["doc_id", "n_words", "n_base", "first_word", "last_word", "base", "met", "share"],
                 )
 
     return scan
 
 
-def word_order(spark: SparkSession, scanned: DataFrame, words: int) -> list[int]:
-    """Rank of each template word by the number of blocks that hold it, rarest first.
-
-    The counts are a row per template word. Blocks below the length filter
-    cannot be found through any word and are not counted.
-    """
-    counts = (
-        scanned.select(F.explode("blocks").alias("block"))
-        .select(F.explode("block").alias("word"))
-        .groupBy("word")
-        .count()
-        .collect()
-    )
-    held = {row["word"]: row["count"] for row in counts}
-    by_count = sorted(range(words), key=lambda word: (held.get(word, 0), word))
-    ranks = [0] * words
-    for rank, word in enumerate(by_count):
-        ranks[word] = rank
-    return ranks
-
-
 def scan_licenses(
     docs: DataFrame,
     templates: tuple[tuple[str, str], ...] = TEMPLATES,
@@ -174,65 +176,27 @@ def scan_licenses(
 ) -> DataFrame:
     """Labels of each row of ``docs``: of phrases, of templates, and the best containment.
 
-    The blocks of a text stay in its row, so the join needs no shuffle: the
-    templates, a fixed small table, are literals, and each row's candidates are
-    filtered before they are verified.
+    The windows of a text stay in its task, so the join needs no shuffle: the
+    templates, a fixed small table, go to all tasks.
     """
     given = docs.select("doc_id", "text")
     known = Templates(templates, containment)
     id_type = given.schema["doc_id"].dataType.simpleString()
     scanned = given.mapInArrow(scanner(known, phrases), f"doc_id {id_type}, {SCANNED}")
-    ranks = word_order(docs.sparkSession, scanned, len(known.words))
-    rank_of = F.array(*map(F.lit, ranks))
-    ordered = F.transform(
-        "blocks", lambda block: F.sort_array(F.transform(block, lambda word: F.element_at(rank_of, word + 1)))
-    )
 
-    def containments(block: Column) -> Column:
-        return F.array(*(contained(block, k) for k in range(len(known.sets))))
-
-    def contained(block: Column, k: int) -> Column:
-        """The share of template ``k`` in the block if it passes the filters and is large enough, else 0."""
-        template = sorted(ranks[word] for word in known.sets[k])
-        need = known.needed[k]
-        prefix = template[: len(template) - need + 1]
-        ours = F.slice(block, 1, F.greatest(F.size(block) - need + 1, F.lit(1)))
-
-        def passes(rank: Column, i: Column) -> Column:
-            at = F.array_position(F.array(*map(F.lit, prefix)), rank) - 1
-            behind = F.least(len(template) - at, F.size(block) - i)
-            return (at >= 0) & (behind >= need)
-
-        first = F.filter(F.slice(F.array_intersect(ours, F.array(*map(F.lit, prefix))), 1, 1), lambda r: r.isNotNull())
-        candidate = (F.size(block) >= need) & F.exists(
-            first, lambda rank: passes(rank, F.array_position(block, rank) - 1)
-        )
-        shared = F.size(F.array_intersect(block, F.array(*map(F.lit, template))))
-        return F.when(candidate & (shared >= need), shared / F.lit(float(len(template)))).otherwise(F.lit(0.0))
-
-    def largest(shares: Column, k: int) -> Column:
-        return F.coalesce(F.array_max(F.transform(shares, lambda row: row[k])), F.lit(0.0))
-
-    def best(shares: Column) -> Column:
-        """Per template, the largest share over the blocks."""
-        return F.array(*(largest(shares, k) for k in range(len(known.sets))))
-
-    scored = scanned.withColumn(
-        "shares", let(ordered, lambda blocks: let(F.transform(blocks, containments), best))
-    )
-    phrase_labels = F.array(*(F.lit(label) for label, _ in phrases))
-    base = F.array_sort(F.array_distinct(F.transform("base", lambda i: F.element_at(phrase_labels, i + 1))))
-    met = F.filter(
-        F.array(*(F.when(F.col("shares")[k] > 0, F.lit(label)) for k, label in enumerate(known.labels))),
-        lambda label: label.isNotNull(),
-    )
-    return scored.select(
+    def labels_of(column: str, labels: list[str]) -> Column:
+        names = F.array(*map(F.lit, labels)).cast("array<string>")
+        return F.array_sort(F.array_distinct(F.transform(column, lambda i: F.element_at(names, i + 1))))
+
+    base = labels_of("base", [label for label, _ in phrases])
+    met = labels_of("met", known.labels)
+    return scanned.select(
         "doc_id",
         "n_words",
         "n_base",
         "first_word",
         "last_word",
         F.array_join(base, ",").alias("base_labels"),
-        F.array_join(F.array_sort(F.array_distinct(F.concat(base, met))), ",").alias("labels"),
-        F.when(F.col("n_base") > 0, F.lit(1.0)).otherwise(F.array_max("shares")).alias("score"),
+        F.array_join(F.array_sort(F.array_union(base, met)), ",").alias("labels"),
+        F.when(F.col("n_base") > 0, F.lit(1.0)).otherwise(F.col("share")).alias("score"),
     )

@@ -236,6 +236,51 @@ def test_templates_are_found_by_containment(spark, tricky):
     assert license_scan.scan_licenses(tricky).count() == len(TRICKY)
 
 
+def brute_templates(text):
+    """Labels of the templates of which some word window holds the share and the naming words."""
+    words, found = re.findall(r"[a-z0-9]+", text.lower()), set()
+    for label, template in license_scan.TEMPLATES:
+        held = set(template.split())
+        size = -(-len(template.split()) * 5 // 4)
+        for i in range(len(words)):
+            both = held & set(words[i : i + size])
+            if 10 * len(both) >= 8 * len(held) and held & set(label.split("-")) <= both:
+                found.add(label)
+    return found
+
+
+BSD = "Redistribution and use in source and binary forms, with or without\n# modification, are permitted provided that"
+GPL = "# This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU General Public\n#\n# License as published"
+
+
+def test_notices_are_found_across_lines_and_only_where_they_stand(spark):
+    far = " ".join(["released", *["x"] * 90, "under", *["x"] * 90, "the", *["x"] * 90, "mit license"])
+    rows = [(1, BSD, "bsd"), (2, GPL, "gpl"), (3, "Released under the GPL license.", ""), (4, "Licensed under CC BY 4.0.", "")]
+    rows += [(5, "Licensed under the GPL license, version 2.0", ""), (6, "Licensed under CC BY-NC 4.0.", "cc-by-nc"), (7, "Permission is hereby granted, free of\n\ncharge, to any person\nobtaining a copy of this software", "mit")]
+    got = by_id(license_scan.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string, want string")).collect(), "labels")
+    assert got == {doc_id: (want,) for doc_id, _, want in rows}
+    far_labels = license_scan.scan_licenses(spark.createDataFrame([(1, far)], "doc_id long, text string"), phrases=license_scan.PHRASES[:1])
+    assert far_labels.first()["labels"] == ""
+
+
+def test_templates_equal_brute_force(spark):
+    rng = random.Random(6)
+    rows = []
+    for n in range(300):
+        words = []
+        for _ in range(rng.randrange(4)):
+            template = rng.choice(license_scan.TEMPLATES)[1].split()
+            for _ in range(rng.randrange(5)):
+                template.insert(rng.randrange(len(template)), rng.choice(["x", "the", "license"]))
+            for _ in range(rng.randrange(4)):
+                template.pop(rng.randrange(len(template)))
+            words += ["y"] * rng.randrange(4) + template
+        rows.append((n, "".join(word + rng.choice(" \n.") for word in words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = by_id(license_scan.scan_licenses(docs, phrases=(("none", "zz zz"),)).collect(), "labels")
+    assert got == {n: (",".join(sorted(brute_templates(text))),) for n, text in rows}
+
+
 # 7 Sharding, 8 mixing
 
 

@@ -8,8 +8,14 @@ again, so an encoding that contains itself ends. Each layer knows which code
 points of the text every one of its characters comes from, and the spans found
 in it are given in the text.
 
-A compressed layer is expanded up to ``MAX_LAYER_BYTES``; a larger one, which
-no bounded memory can hold, is left closed and counted in ``n_closed``.
+A base64 run is decoded at each of its four alignments, so it may stand behind
+or before other characters of its alphabet. Bytes that are no UTF-8 stay in a
+layer as one character each, next to what is valid; UTF-16 is read wherever it
+stands in a layer.
+
+All members of a compressed stream are expanded, together up to
+``MAX_LAYER_BYTES``; a larger one, which no bounded memory can hold, is counted
+in ``n_closed`` and read in overlapping pieces.
 
 Nulls: a null text is an empty one and has no spans; a null id is kept.
 Repeated rows are scanned alike. An empty table gives an empty result. Other
@@ -19,7 +25,6 @@ columns are ignored.
 from __future__ import annotations
 
 import base64
-import binascii
 import bz2
 import hashlib
 import lzma
@@ -34,6 +39,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 MAX_LAYER_BYTES = 64 << 20
+PIECE_BYTES = 4 << 20
+OVERLAP_BYTES = 1 << 16
 MIN_RUN = 16
 
 # The kinds of secrets in their order, the names of assigned
@@ -53,6 +60,13 @@ _ESCAPE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\U([0-9A-F
 _RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{%d,}+={0,2}" % MIN_RUN)
 _WRAPPED = re.compile(r"(?:[A-Za-z0-9+/]{60,76}\r?\n)+[A-Za-z0-9+/]{1,76}={0,2}")
 _CONTROL = re.compile(r"[\x00-\x08\x0b\x0c\x0e-\x1f]")
+# The shortest secret, and any text that encodes one, has so many ASCII characters in a row, of one or two bytes.
+_ASCII = re.compile(rb"[\t\n\r -~]{12}|(?:[\t\n\r -~]\x00){11}|(?:\x00[\t\n\r -~]){11}")
+# Characters of UTF-16 of one byte, either byte first; a byte order mark is not one of them.
+_WIDE = re.compile(r"(?:\x00[^\x00]){4,}|(?:[^\x00\udcff]\x00){4,}")
+# How base64 of gzip, bz2, xz and zlib streams begins.
+_PACKED = re.compile(r"(?=H4sI|Qlpo|/Td6WFoA|e(?:A[E-H]|F[4-7]|J[w-z]|N[o-r]))")
+_PROBE = 1024
 
 Span = tuple[int, int, int]  # start, kind, end
 
@@ -86,23 +100,66 @@ def secrets_in(text: str) -> Iterator[tuple[int, int, int]]:
         yield match.start(), 2, match.end()
 
 
+def opened(data: bytes):
+    """A decompressor for the stream that ``data`` begins with, None if it is none."""
+    if data[:2] == b"\x1f\x8b":
+        return zlib.decompressobj(31)
+    if data[:1] == b"\x78" and data[1:2] in (b"\x01", b"\x5e", b"\x9c", b"\xda"):
+        return zlib.decompressobj()
+    if data[:3] == b"BZh":
+        return bz2.BZ2Decompressor()
+    if data[:6] == b"\xfd7zXZ\x00":
+        return lzma.LZMADecompressor()
+    return None
+
+
+def pieces(data: bytes) -> Iterator[bytes]:
+    """The bytes of all members of a compressed stream, up to where it breaks off."""
+    while (stream := opened(data)) is not None:
+        zipped = not hasattr(stream, "needs_input")
+        while not stream.eof:
+            try:
+                out = stream.decompress(data, PIECE_BYTES)
+            except (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError):
+                return
+            data = stream.unconsumed_tail if zipped else b""
+            if out:
+                yield out
+            elif not stream.eof:
+                return
+        data = stream.unused_data.lstrip(b"\0")
+
+
 def expanded(data: bytes) -> bytes | None:
     """The bytes in a compressed stream, ``data`` itself if it is none, None if they exceed the limit."""
-    if data[:2] == b"\x1f\x8b":
-        stream = zlib.decompressobj(31)
-    elif data[:1] == b"\x78" and data[1:2] in (b"\x01", b"\x5e", b"\x9c", b"\xda"):
-        stream = zlib.decompressobj()
-    elif data[:3] == b"BZh":
-        stream = bz2.BZ2Decompressor()
-    elif data[:6] == b"\xfd7zXZ\x00":
-        stream = lzma.LZMADecompressor()
-    else:
-        return data
+    found, size = [], 0
+    for piece in pieces(data):
+        size += len(piece)
+        if size > MAX_LAYER_BYTES:
+            return None
+        found.append(piece)
+    return b"".join(found) if found else data
+
+
+def text_of(data: bytes) -> str:
+    """UTF-8 text; a byte that is not valid is a character of its own."""
+    return data.decode("utf-8", "surrogateescape")
+
+
+def byte_edges(text: str) -> np.ndarray:
+    """The first byte of each character of ``text_of``, and the end."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+    sizes = 1 + (codes >= 0x80).astype(np.int64) + (codes >= 0x800) + (codes >= 0x10000)
+    sizes[(codes >= 0xDC80) & (codes <= 0xDCFF)] = 1
+    return np.concatenate([[0], np.cumsum(sizes)])
+
+
+def plain(data: bytes) -> bool:
+    """Whether all is text without control characters."""
     try:
-        out = stream.decompress(data, MAX_LAYER_BYTES + 1)
-    except (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError):
-        return data
-    return None if len(out) > MAX_LAYER_BYTES else out
+        return not _CONTROL.search(data.decode())
+    except UnicodeDecodeError:
+        return False
 
 
 class Scan:
@@ -116,6 +173,9 @@ class Scan:
         self.seen: set[tuple[bytes, int, int]] = set()
         self.work = [Layer(text)]
         self.spans.update(self.base)
+        self.drain()
+
+    def drain(self) -> None:
         while self.work:
             layer = self.work.pop()
             if layer.starts is not None:
@@ -140,6 +200,8 @@ class Scan:
             self.replace(layer, _PERCENT, self.percent)
         if ("\\" in text or "&#" in text) and _ESCAPE.search(text):
             self.replace(layer, _ESCAPE, self.escape)
+        if "\0" in text:
+            self.replace(layer, _WIDE, self.wide)
         runs = [match.span() for match in _RUN.finditer(text)]
         if any(end - start >= 60 for start, end in runs):
             runs += [match.span() for match in _WRAPPED.finditer(text)]
@@ -180,12 +242,8 @@ class Scan:
         data = bytes.fromhex(match[0].replace("%", ""))
         if self.compressed(layer, data, *match.span()):
             return None
-        try:
-            part = data.decode()
-        except UnicodeDecodeError:
-            return None
-        sizes = [len(c.encode()) for c in part]
-        edges = match.start() + 3 * np.concatenate([[0], np.cumsum(sizes)])
+        part = text_of(data)
+        edges = match.start() + 3 * byte_edges(part)
         return part, edges[:-1], edges[1:]
 
     def escape(self, layer: Layer, match: re.Match) -> tuple[str, list[int], list[int]] | None:
@@ -193,53 +251,67 @@ class Scan:
         code = int(decimal) if decimal else int(next(group for group in hexadecimal if group), 16)
         return (chr(code), [match.start()], [match.end()]) if code < 0x110000 else None
 
+    def wide(self, layer: Layer, match: re.Match) -> tuple[str, np.ndarray, np.ndarray]:
+        """UTF-16 as its characters of one byte."""
+        starts = np.arange(match.start(), match.end(), 2)
+        return match[0].replace("\0", ""), starts, starts + 2
+
     def compressed(self, layer: Layer, data: bytes, start: int, end: int) -> bool:
         """Take the text of a compressed stream as a layer of its own; whether ``data`` was one."""
         hops: set[bytes] = set()
         inner: bytes | None = data
         while inner is not None and hashlib.sha256(inner).digest() not in hops:
             hops.add(hashlib.sha256(inner).digest())
-            following = expanded(inner)
+            packed, following = inner, expanded(inner)
             if following == inner:
                 break
             inner = following
         if len(hops) == 1 and inner is not None:
             return False
+        first, last = layer.place(start, end)
         if inner is None:
             self.closed += 1
-            return True
-        try:
-            text = inner.decode()
-        except UnicodeDecodeError:
-            return True
-        first, last = layer.place(start, end)
-        self.push(Layer(text, np.full(len(text), first), np.full(len(text), last)))
+            rest = b""
+            for piece in pieces(packed):
+                self.push_bytes(rest + piece, first, last)
+                self.drain()
+                rest = (rest + piece)[-OVERLAP_BYTES:]
+        else:
+            self.push_bytes(inner, first, last)
         return True
 
+    def push_bytes(self, data: bytes, first: int, last: int) -> None:
+        """A layer of which every character comes from the same place."""
+        text = text_of(data)
+        self.push(Layer(text, np.broadcast_to(np.int64(first), len(text)), np.broadcast_to(np.int64(last), len(text))))
+
     def base64(self, layer: Layer, start: int, end: int) -> None:
         run = layer.text[start:end]
-        places = [i for i, c in enumerate(run) if c not in "=\r\n"] if "\n" in run else None
+        places = np.array([i for i, c in enumerate(run) if c not in "=\r\n"], np.int64) if "\n" in run else None
         digits = re.sub(r"[=\r\n]", "", run).translate({45: 43, 95: 47})
-        if len(digits) % 4 == 1:
-            return
-        try:
-            data = base64.b64decode(digits + "=" * (-len(digits) % 4))
-        except (binascii.Error, ValueError):
-            return
-        if self.compressed(layer, data, start, end):
-            return
-        try:
-            text = data.decode()
-        except UnicodeDecodeError:
-            return
-        if _CONTROL.search(text):
-            return
-        # Character by character, the sextets that its bytes touch.
-        edges = np.concatenate([[0], np.cumsum([len(c.encode()) for c in text])]).astype(np.int64)
-        first, last = 8 * edges[:-1] // 6, (8 * edges[1:] - 1) // 6
-        if places is not None:
-            first, last = np.array(places)[first], np.array(places)[last]
-        self.push(self.mapped(layer, text, start + first, start + last + 1))
+
+        def bytes_from(first: int, last: int | None = None) -> bytes:
+            some = digits[first:last]
+            some = some[: len(some) - (len(some) % 4 == 1)]
+            return base64.b64decode(some + "=" * (-len(some) % 4))
+
+        for match in _PACKED.finditer(digits):
+            at = match.start()
+            # What only looks like the two bytes of a zlib stream breaks off soon and is not decoded whole.
+            if digits[at] == "e" and next(pieces(bytes_from(at, at + _PROBE)), None) is None:
+                continue
+            self.compressed(layer, bytes_from(at), start + (at if places is None else int(places[at])), end)
+        for shift in range(4):
+            data = bytes_from(shift)
+            if not _ASCII.search(data) and (shift or not plain(data)):
+                continue
+            text = text_of(data)
+            # Character by character, the sextets that its bytes touch.
+            edges = byte_edges(text)
+            first, last = shift + 8 * edges[:-1] // 6, shift + (8 * edges[1:] - 1) // 6
+            if places is not None:
+                first, last = places[first], places[last]
+            self.push(self.mapped(layer, text, start + first, start + last + 1))
 
 
 def written(spans: list[Span]) -> str:

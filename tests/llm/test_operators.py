@@ -1,9 +1,11 @@
 """Each operator on awkward rows, on an empty table, and against brute force or SQL."""
 
 import base64
+import bz2
 import gzip
 import hashlib
 import itertools
+import lzma
 import random
 import re
 import urllib.parse
@@ -141,6 +143,69 @@ def test_secret_scan_of_awkward_rows(tricky):
     assert by_id(rows, "spans")[3] == ("",)
 
 
+def test_secrets_beside_other_base64_characters_are_mapped():
+    once = base64.b64encode(SECRET.encode() + b"  x").decode()
+    for before, after in (("https://host.example/cb/", ""), ("blob-", ""), ("data_", ""), ("", "/next"), ("x" * 3, "-y"), ("ab/c_", "_d")):
+        for encoded in (once, base64.urlsafe_b64encode(SECRET.encode()).decode().rstrip("=")):
+            found = spans(f"{before}{encoded}{after}")
+            at, end = len(before), len(before) + -(-8 * len(SECRET) // 6)
+            assert f"assign:{at}:{end}" in found.split(","), (before, encoded, after, found)
+    packed = base64.b64encode(zlib.compress(SECRET.encode())).decode()
+    for packed in (packed, base64.b64encode(gzip.compress(SECRET.encode())).decode(), base64.b64encode(bz2.compress(SECRET.encode())).decode()):
+        assert spans(f"data_{packed}") == f"assign:5:{5 + len(packed)}"
+
+
+def test_secrets_next_to_other_bytes_are_found():
+    for data in (
+        b"\x00\x1b[0m " + SECRET.encode() + b" \x00", b"\xff\xfe" + SECRET.encode("utf-16-le"), SECRET.encode("utf-16-be"),
+        ("\u4e2d\u00e9 " + SECRET).encode("utf-16"), b"caf\xe9 " + SECRET.encode(), ("\u00e9 " + SECRET).encode("latin-1"),
+    ):
+        assert spans(base64.b64encode(data).decode()).startswith("assign:"), data
+        assert spans("".join(f"%{byte:02x}" for byte in data)).startswith("assign:"), data
+        assert spans(base64.b64encode(gzip.compress(data)).decode()).startswith("assign:"), data
+    assert spans("%ff%70assword=hunter22x") == "assign:3:23"
+
+
+@pytest.mark.parametrize("pack", [gzip.compress, bz2.compress, lzma.compress])
+def test_all_members_of_a_compressed_stream_are_read(pack):
+    packed = base64.b64encode(pack(b"first member, ") + pack(SECRET.encode())).decode()
+    # The second member is also read by itself, and xz keeps short texts as they are.
+    assert f"assign:0:{len(packed)}" in spans(packed).split(",") and Scan(packed).closed == 0
+    assert expanded(pack(b"a") + pack(b"b")) == b"ab"
+
+
+def test_large_layers_are_read_in_pieces(monkeypatch):
+    monkeypatch.setattr("paywarden.llm.secret_scan.MAX_LAYER_BYTES", 1 << 20)
+    monkeypatch.setattr("paywarden.llm.secret_scan.PIECE_BYTES", 1 << 16)
+    monkeypatch.setattr("paywarden.llm.secret_scan.OVERLAP_BYTES", 1 << 10)
+    inner = base64.b64encode(SECRET.encode())
+    for at in (3 << 19, (1 << 20) + (1 << 16) - 9, (1 << 21) - 40):
+        for secret in (SECRET.encode(), inner):
+            data = bytearray(b". " * (1 << 20))
+            data[at : at + len(secret)] = secret
+            packed = base64.b64encode(gzip.compress(bytes(data))).decode()
+            scan = Scan(packed)
+            assert written(sorted(scan.spans)) == f"assign:0:{len(packed)}" and scan.closed == 1
+
+
+def test_generated_nestings_are_found():
+    rng = random.Random(1)
+    wraps = [
+        lambda t: base64.b64encode(t.encode()).decode(),
+        lambda t: base64.urlsafe_b64encode(gzip.compress(t.encode())).decode(),
+        lambda t: base64.b64encode(zlib.compress(t.encode())).decode(),
+        lambda t: base64.b64encode(t.encode("utf-16")).decode(),
+        lambda t: "".join(f"%{byte:02X}" for byte in t.encode()),
+        lambda t: "".join(f"\\u{ord(c):04x}" for c in t),
+        lambda t: "".join(f"&#{ord(c)};" for c in t),
+    ]
+    for n in range(200):
+        text = SECRET
+        for _ in range(rng.randrange(1, 4)):
+            text = rng.choice(["", "cb/", "blob-", "data_", "x ", "\u00e9 "]) + rng.choice(wraps)(text) + rng.choice(["", " ", "/next", "\n"])
+        assert "assign:" in spans(text), (n, text)
+
+
 # 2 Toxicity, 3 quality
 
 

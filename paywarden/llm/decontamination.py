@@ -17,7 +17,7 @@ ignore every set of words that the share allows to differ.
 The benchmark is taken in blocks of ``BLOCK_WORDS`` words, each sent to all
 tasks; texts are never shuffled, however many share a passage.
 
-Nulls: a null text has no words and stays; a null item text is left out.
+Nulls: a null text has no words and stays; a null item text is left out, a null item id is kept.
 Repeated rows and items are treated alike. An empty benchmark leaves all
 texts. An empty table gives an empty result. Other columns are kept.
 """
@@ -75,11 +75,11 @@ def seeds(words: Words, mask: str) -> tuple[np.ndarray, np.ndarray]:
 class Block:
     """Items of the benchmark with the seeds of all masks, in order of their hashes."""
 
-    def __init__(self, ids: list[int], texts: list[str]) -> None:
+    def __init__(self, ids: list[int | None], texts: list[str]) -> None:
         data = np.frombuffer("".join(texts).encode(), np.uint8)
         sizes = [len(text.encode()) for text in texts]
         words = words_in(data, np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64), NOT_ALNUM, FOLDED)
-        self.ids = np.array(ids, np.int64)
+        self.ids = ids
         self.words = words.hashes
         self.first = words.first
         self.owner = words.owner
@@ -121,7 +121,7 @@ class Block:
             theirs.append(self.at[place][same])
         return np.concatenate(ours), np.concatenate(theirs)
 
-    def overlaps(self, words: Words) -> Iterator[tuple[int, int, int, int]]:
+    def overlaps(self, words: Words) -> Iterator[tuple[int, int | None, int, int]]:
         """Text, item, first word and word count of each verified overlap, one per alignment."""
         ours, theirs = self.hits(words)
         if not len(ours):
@@ -137,7 +137,7 @@ class Block:
             starts = matched_windows(same, window)
             if len(starts):
                 start, stop = int(starts[0]), int(starts[-1]) + window
-                yield int(text), int(self.ids[which]), int(first + start - words.first[text]), stop - start
+                yield int(text), self.ids[which], int(first + start - words.first[text]), stop - start
 
 
 def matched_windows(same: np.ndarray, window: int) -> np.ndarray:
@@ -148,10 +148,10 @@ def matched_windows(same: np.ndarray, window: int) -> np.ndarray:
 
 def benchmark_blocks(benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> Iterator[Block]:
     """The items in blocks of bounded size, read from the benchmark one partition at a time."""
-    ids: list[int] = []
+    ids: list[int | None] = []
     texts: list[str] = []
     size = 0
-    for row in benchmark.select("item_id", "text").dropna().toLocalIterator():
+    for row in benchmark.select("item_id", "text").dropna(subset="text").toLocalIterator():
         ids.append(row["item_id"])
         texts.append(row["text"])
         size += len(row["text"]) // 2 + 1  # words at most

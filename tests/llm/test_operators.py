@@ -516,6 +516,13 @@ def test_overlaps_equal_brute_force(spark):
     assert kept == {n for n, found in expected.items() if not found}
 
 
+def test_items_without_an_id_count(spark):
+    benchmark = spark.createDataFrame([(None, "s1 s2 s3 s4 s5 s6"), (2, None)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "x s1 s2 s3 s4 s5 s6"), (2, "x y")], "doc_id long, text string")
+    assert by_id(decontamination.find_overlaps(docs, benchmark).collect(), "items") == {1: ([None],), 2: ([],)}
+    assert [r["doc_id"] for r in decontamination.remove_contaminated(docs, benchmark).collect()] == [2]
+
+
 # Pipeline
 
 

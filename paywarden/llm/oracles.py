@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from paywarden.llm import license_scan, line_dedup, mixing, quality_rules, sharding
+from paywarden.llm import license_scan, line_dedup, merkle, mixing, quality_rules, resampling, sharding
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SPACES = "concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))"
@@ -129,6 +129,15 @@ _CRC_TABLE = "[" + ", ".join(
 ) + "]"
 _SHARDS = 24
 
+
+def _crc32(text: str) -> str:
+    """The unsigned checksum of the UTF-8 bytes of a text that is not empty."""
+    return f"""xor(4294967295::BIGINT, list_reduce(
+      list_prepend(4294967295::BIGINT, flatten([[instr('123456789ABCDEF', hex(encode({text}))[2 * i + 2])::BIGINT,
+        instr('123456789ABCDEF', hex(encode({text}))[2 * i + 1])::BIGINT] for i in range(octet_length(encode({text})))])),
+      lambda crc, x: xor(crc >> 4, {_CRC_TABLE}[(xor(crc, x) & 15) + 1])))"""
+
+
 OP7 = f"""
 WITH RECURSIVE docs AS (
   SELECT row_number() OVER () AS id, doc_id, CAST(octet_length(encode(coalesce(text, ''))) + 8 AS BIGINT) AS size,
@@ -186,10 +195,112 @@ SELECT doc_id, size, source_size, target,
 FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
 """
 
+
+def _field(value: str) -> str:
+    return f"CASE WHEN {value} IS NULL THEN '-' ELSE octet_length(encode(CAST({value} AS VARCHAR))) || ':' || {value} END"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(map(_field, ("doc_id", "source", "lang", "n_chars", text))) + ")"
+
+
+def _tree(name: str, leaves: str) -> str:
+    """Nodes of all levels, from ``tree``, ``pos``, ``digest`` and ``n`` (nodes of the level)."""
+    return f"""
+{name} AS (
+  {leaves}
+  UNION ALL
+  SELECT tree, level + 1, pos // {merkle.FANOUT}, sha256(string_agg(digest, '' ORDER BY pos)), (n + {merkle.FANOUT - 1}) // {merkle.FANOUT}
+  FROM {name} WHERE n > 1 GROUP BY tree, level, pos // {merkle.FANOUT}, n
+), {name}_steps AS (
+  SELECT tree, level, pos,
+         coalesce(string_agg(digest, '') OVER (run ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+         coalesce(string_agg(digest, '') OVER (run ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+  FROM {name} WHERE n > 1 WINDOW run AS (PARTITION BY tree, level, pos // {merkle.FANOUT} ORDER BY pos)
+)"""
+
+
+OP11 = f"""
+WITH RECURSIVE docs AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf, id) - 1 AS pos
+  FROM (SELECT row_number() OVER () AS id, doc_id, source, {_leaf('text')} AS leaf,
+               CASE WHEN {_crc32("CAST(doc_id AS VARCHAR)")} % 5 = 0
+                    THEN {_leaf(f"translate(text, '{UPPER}', '{LOWER}')")} ELSE {_leaf('text')} END AS claimed
+        FROM documents)
+), {_tree('nodes', "SELECT source AS tree, 0::BIGINT AS level, pos, leaf AS digest, count(*) OVER (PARTITION BY source) AS n FROM docs")}
+, subroots AS (
+  SELECT tree AS source, digest, row_number() OVER (ORDER BY tree NULLS FIRST) - 1 AS pos, count(*) OVER () AS n
+  FROM nodes WHERE n = 1
+), {_tree('tops', "SELECT 0::BIGINT AS tree, 0::BIGINT AS level, pos, digest, n FROM subroots")}
+, steps AS (
+  SELECT id, level AS step, l, r FROM docs d JOIN nodes_steps s
+    ON d.source IS NOT DISTINCT FROM s.tree AND s.pos = d.pos // CAST(pow({merkle.FANOUT}, level) AS BIGINT)
+  UNION ALL
+  SELECT id, 1000 + level, l, r FROM docs d JOIN subroots u ON d.source IS NOT DISTINCT FROM u.source
+    JOIN tops_steps s ON s.pos = u.pos // CAST(pow({merkle.FANOUT}, level) AS BIGINT)
+), paths AS (
+  SELECT id, list({{'l': l, 'r': r}} ORDER BY step) AS path, string_agg(l || r, '' ORDER BY step) AS proof FROM steps GROUP BY id
+), folded AS (
+  SELECT id, 0::BIGINT AS step, claimed AS digest FROM docs
+  UNION ALL
+  SELECT id, step + 1, sha256(path[step + 1].l || digest || path[step + 1].r)
+  FROM folded JOIN paths USING (id) WHERE step < len(path)
+)
+SELECT doc_id, leaf, u.digest AS subroot, (SELECT digest FROM tops WHERE n = 1) AS root,
+       sha256(coalesce(proof, '')) AS proof_sha256, f.digest AS folded_root,
+       f.digest = (SELECT digest FROM tops WHERE n = 1) AS verified
+FROM docs d JOIN subroots u ON d.source IS NOT DISTINCT FROM u.source
+LEFT JOIN paths USING (id) JOIN folded f ON f.id = d.id AND f.step = coalesce(len(path), 0)
+"""
+
+_RUNS = " UNION ALL ".join(
+    f"SELECT id, array_to_string(words[i:i + {size - 1}], ' ') AS feature "
+    f"FROM (SELECT id, words, unnest(range(1, len(words) - {size - 2})) AS i FROM {{texts}})"
+    for size in range(1, resampling.MAX_RUN + 1)
+)
+
+
+def _words(table: str) -> str:
+    lower = f"translate(coalesce(text, ''), '{UPPER}', '{LOWER}')"
+    return f"SELECT row_number() OVER () AS id, *, regexp_extract_all({lower}, '{_TOKEN}') AS words FROM {table}"
+
+
+OP13 = rf"""
+WITH docs AS ({_words('documents')}), target AS ({_words('benchmark')}),
+counted AS (SELECT id, feature, count(*) AS n FROM ({_RUNS.format(texts='docs')}) GROUP BY id, feature),
+wanted AS (SELECT feature, count(*) AS n FROM ({_RUNS.format(texts='target')}) GROUP BY feature),
+buckets AS (
+  SELECT feature, {_crc32('feature')} % {resampling.BUCKETS} AS bucket
+  FROM (SELECT feature FROM counted UNION SELECT feature FROM wanted)
+), sums AS (
+  SELECT bucket, sum(s)::DOUBLE AS s, sum(t)::DOUBLE AS t
+  FROM (SELECT feature, n AS s, 0 AS t FROM counted UNION ALL SELECT feature, 0, n FROM wanted) JOIN buckets USING (feature)
+  GROUP BY bucket
+), gains AS (
+  SELECT bucket, floor({resampling.SCALE} * ln((t + 1) * ((sum(s) OVER ()) + {resampling.BUCKETS})
+         / ((s + 1) * ((sum(t) OVER ()) + {resampling.BUCKETS}))))::BIGINT AS gain FROM sums
+), weights AS (
+  SELECT id, sum(n)::BIGINT AS n_features, sum(n * gain)::BIGINT AS weight
+  FROM counted JOIN buckets USING (feature) JOIN gains USING (bucket) GROUP BY id
+), scored AS (
+  SELECT id, doc_id, len(words) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + floor(-{resampling.SCALE} * ln(-ln((('0x' || substr(sha256('{resampling.SEED}:'
+           || coalesce(CAST(doc_id AS VARCHAR), '{resampling.NULL_ID}')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+  FROM docs LEFT JOIN weights USING (id)
+), ranked AS (
+  SELECT id, row_number() OVER (ORDER BY score DESC, doc_id NULLS FIRST, n_features, id) AS place, count(*) OVER () AS n
+  FROM scored WHERE n_words >= {resampling.MIN_WORDS}
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= n * {resampling.PERCENT} // 100 THEN place END AS rank
+FROM scored LEFT JOIN ranked USING (id)
+"""
+
 ORACLES: dict[str, str] = {
     "op4_quality_rules": OP4,
     "op5_line_dedup": OP5,
     "op6_license_scan": OP6,
     "op7_sharding": OP7,
     "op8_mixing": OP8,
+    "op11_merkle_manifest": OP11,
+    "op13_importance_resampling": OP13,
 }

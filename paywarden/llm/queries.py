@@ -7,13 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from paywarden.llm.byte_bpe import decode_ids, encode_texts, read_ranks
 from paywarden.llm.decontamination import find_overlaps
 from paywarden.llm.jaccard_join import similar_components
 from paywarden.llm.license_scan import scan_licenses
 from paywarden.llm.line_dedup import drop_boilerplate, host_of, page_text
+from paywarden.llm.merkle import LEAF_COLUMNS, build_manifest, fold, leaf_digest, proof_digest
 from paywarden.llm.mixing import plan_mix
 from paywarden.llm import quality_ranking, toxicity
 from paywarden.llm.quality_rules import judge_documents
+from paywarden.llm.resampling import resample
 from paywarden.llm.secret_scan import scan_secrets
 from paywarden.llm.sharding import assign_shards, number_slots
 
@@ -99,6 +102,44 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (F.size("items") > 0).alias("contaminated"), "items", "starts", "lengths")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    others = [F.col(name) for name in LEAF_COLUMNS if name != "text"]
+    tampered = F.when(in_fold(F.col("doc_id"), 5, 0), leaf_digest(*others, lowered))
+    manifest = build_manifest(docs, {"tampered": tampered})
+    folded = manifest.withColumn("folded_root", fold(F.col("path"), F.coalesce("tampered", "leaf")))
+    return folded.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        proof_digest(F.col("path")).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The vocabulary files are no part of the library; only this query names one.
+    import public_tokenizers
+
+    ranks = read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    encoded = encode_texts(documents(spark, sf_dir).select("doc_id", "text"), ranks, public_tokenizers.PATTERN)
+    decoded = decode_ids(encoded.select("doc_id", "ids"), ranks)
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return resample(documents(spark, sf_dir), benchmark).select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -112,5 +153,8 @@ QUERIES: dict[str, Query] = {
         op8_mixing,
         op9_jaccard_join,
         op10_decontamination,
+        op11_merkle_manifest,
+        op12_byte_bpe,
+        op13_importance_resampling,
     )
 }

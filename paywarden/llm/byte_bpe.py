@@ -31,26 +31,28 @@ from __future__ import annotations
 
 import base64
 import heapq
+from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
 from paywarden.llm.text_arrays import slices
 
-LEAF_CHARS = 512
-LEAF_BYTES = 16
-LEAF_IDS = 1024
+LEAF_CHARS = 2048
+LEAF_BYTES = 5
+LEAF_IDS = 4096
 LOOKAHEAD = 2
 WINDOW_CHARS = 32
 # Above this length the lowest rank is kept in a heap instead of being looked for.
 SCANNED_BYTES = 256
-# Entries that a task keeps of words and pairs it has met; more of them start anew.
-KEPT_WORDS = 100_000
-KEPT_PAIRS = 100_000
+# Newest entries that a task keeps of what it has met; as many older ones stay beside them.
+KEPT = 250_000
+
+ROWS_DECODED = 64
 
 NEVER = 1 << 60
 
@@ -61,17 +63,25 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in lines if line.strip())}
 
 
+def pack(ids: list[int]) -> bytes:
+    return array("i", ids).tobytes()
+
+
 class Kept(dict):
-    """Values by key, made when missing; bounded, as it starts anew when full."""
+    """Values by key, made when missing; at most ``limit`` new ones and as many older ones are held."""
 
-    def __init__(self, make, limit: int) -> None:
+    def __init__(self, make, limit: int = KEPT) -> None:
         super().__init__()
-        self.make, self.limit = make, limit
+        self.make, self.limit, self.older = make, limit, {}
 
     def __missing__(self, key):
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
         if len(self) >= self.limit:
+            self.older = dict(self)
             self.clear()
-        value = self[key] = self.make(key)
+        self[key] = value
         return value
 
 
@@ -82,8 +92,14 @@ class Codec:
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.pattern = regex.compile(pattern)
-        self.words = Kept(self.encode_word, KEPT_WORDS)
-        self.stable = Kept(self.holds, KEPT_PAIRS)
+        self.words = Kept(lambda word: pack(self.encode_word(word)))
+        self.leaves = Kept(self.merged)
+        self.pairs = Kept(self.changed)
+        ids = np.array(sorted(self.tokens), np.int64)
+        sizes = np.zeros(ids[-1] + 1 if len(ids) else 0, np.int64)
+        sizes[ids] = [len(self.tokens[i]) for i in ids]
+        self.sizes, self.starts = sizes, np.cumsum(sizes) - sizes
+        self.bytes = np.frombuffer(b"".join(self.tokens[i] for i in ids), np.uint8)
 
     # Bytes of one match
 
@@ -136,24 +152,26 @@ class Codec:
             start = end[start]
         return ids
 
-    def holds(self, pair: tuple[int, int]) -> bool:
-        """Whether two tokens are the encoding of their bytes together."""
-        return self.merged(self.tokens[pair[0]] + self.tokens[pair[1]]) == [*pair]
+    def changed(self, pair: tuple[int, int]) -> list[int] | bool:
+        """What two tokens are encoded to together, False if that is the two."""
+        ids = self.merged(self.tokens[pair[0]] + self.tokens[pair[1]])
+        return ids != [*pair] and ids
 
     def joined_tokens(self, left: list[int], right: list[int]) -> list[int]:
-        size = 1
-        while True:
-            window = b"".join(map(self.tokens.__getitem__, left[-size:] + right[:size]))
-            middle = self.merged(window)
-            if (size >= len(left) or self.stable[left[-size - 1], middle[0]]) and (
-                size >= len(right) or self.stable[middle[-1], right[size]]
-            ):
-                return left[:-size] + middle + right[size:]
+        size, pairs = 1, self.pairs
+        middle = pairs[left[-1], right[0]]
+        if not middle:
+            return left + right
+        while (size < len(left) and pairs[left[-size - 1], middle[0]]) or (
+            size < len(right) and pairs[middle[-1], right[size]]
+        ):
             size *= 2
+            middle = self.merged(b"".join(map(self.tokens.__getitem__, left[-size:] + right[:size])))
+        return left[:-size] + middle + right[size:]
 
     def encode_bytes(self, data: bytes) -> list[int]:
         if len(data) <= LEAF_BYTES:
-            return self.merged(data)
+            return self.leaves[data]
         middle = len(data) // 2
         return self.joined_tokens(self.encode_bytes(data[:middle]), self.encode_bytes(data[middle:]))
 
@@ -193,15 +211,20 @@ class Codec:
                 return left + middle
             window *= 2
 
-    def encode(self, text: str) -> list[list[int]]:
-        """The ids of each match of ``text``."""
-        return list(map(self.words.__getitem__, self.matches(text, 0, len(text))))
+    def encode(self, text: str) -> bytes:
+        """The ids of ``text``, packed."""
+        return b"".join(map(self.words.__getitem__, self.matches(text, 0, len(text))))
 
-    def decode(self, ids: list[int]) -> bytes:
-        if len(ids) <= LEAF_IDS:
-            return b"".join(map(self.tokens.__getitem__, ids))
-        middle = len(ids) // 2
-        return self.decode(ids[:middle]) + self.decode(ids[middle:])
+    def decode(self, ids: np.ndarray) -> bytes:
+        if len(ids) > LEAF_IDS:
+            middle = len(ids) // 2
+            return self.decode(ids[:middle]) + self.decode(ids[middle:])
+        sizes = self.sizes[ids]
+        if not sizes.all():
+            raise ValueError("an id is not in the vocabulary")
+        ends = np.cumsum(sizes)
+        at = np.repeat(self.starts[ids] - ends + sizes, sizes) + np.arange(ends[-1] if len(ids) else 0)
+        return self.bytes[at].tobytes()
 
 
 def with_column(batch: pa.RecordBatch, name: str, values: pa.Array) -> pa.RecordBatch:
@@ -224,9 +247,9 @@ def encode_texts(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: s
         for batch in batches:
             for first, end, _, _ in slices(batch.column(text)):
                 part = batch.slice(first, end - first)
-                lists = [list(chain.from_iterable(codec.encode(t or ""))) for t in part.column(text).to_pylist()]
-                flat = np.fromiter(chain.from_iterable(lists), np.int32)
-                offsets = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int32)
+                packed = [codec.encode(t or "") for t in part.column(text).to_pylist()]
+                flat = np.frombuffer(b"".join(packed), np.int32)
+                offsets = np.cumsum([0, *(len(ids) // 4 for ids in packed)]).astype(np.int32)
                 yield with_column(part, "ids", pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)))
 
     return docs.mapInArrow(encode, result_schema(docs, "ids", "array<int>"))
@@ -239,9 +262,11 @@ def decode_ids(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(shared.value, "")
         for batch in batches:
-            for first in range(0, batch.num_rows, 64):
-                part = batch.slice(first, 64)
-                found = [codec.decode(ids or []) for ids in part.column("ids").to_pylist()]
+            for first in range(0, batch.num_rows, ROWS_DECODED):
+                part = batch.slice(first, ROWS_DECODED)
+                lists = part.column("ids")
+                ids, ends = lists.flatten().to_numpy(zero_copy_only=False), np.cumsum(pc.list_value_length(lists).fill_null(0))
+                found = [codec.decode(own) for own in np.split(ids, ends[:-1])]
                 yield with_column(part, "decoded", pa.array(found, pa.binary()))
 
     return encoded.mapInArrow(decode, result_schema(encoded, "decoded", "binary"))

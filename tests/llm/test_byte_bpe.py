@@ -3,6 +3,7 @@
 import hashlib
 import random
 
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
@@ -26,7 +27,7 @@ def library(ranks):
 
 
 def ids_of(codec, text):
-    return [i for word in codec.encode(text) for i in word]
+    return np.frombuffer(codec.encode(text), np.int32).tolist()
 
 
 def generated(rng, size):
@@ -50,7 +51,7 @@ def test_random_texts_equal_the_library(ranks, library, monkeypatch, chars, size
         text = generated(rng, rng.randint(0, 60) if k % 20 else 700)
         ids = ids_of(codec, text)
         assert ids == library.encode_ordinary(text), repr(text)
-        assert codec.decode(ids) == text.encode()
+        assert codec.decode(np.array(ids, np.int32)) == text.encode()
 
 
 def test_long_matches_equal_the_library(ranks, library):
@@ -70,7 +71,7 @@ def test_tokens_outside_a_window_stay(ranks):
 
 def test_what_is_kept_is_bounded():
     kept = byte_bpe.Kept(lambda k: k + 1, 3)
-    assert [kept[k] for k in (1, 2, 3, 4, 1)] == [2, 3, 4, 5, 2] and len(kept) <= 3
+    assert [kept[k] for k in (1, 2, 3, 4, 1)] == [2, 3, 4, 5, 2] and len(kept) + len(kept.older) <= 6
 
 
 def test_query_equals_the_library(spark, library):
@@ -85,6 +86,15 @@ def test_query_equals_the_library(spark, library):
         assert r["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()
 
 
+def test_long_and_unknown_ids(ranks, monkeypatch):
+    monkeypatch.setattr(byte_bpe, "LEAF_IDS", 3)
+    codec, ids = Codec(ranks, ""), np.array([5, 50000, 0, 300, 300, 7, 50255], np.int32)
+    tokens = {rank: token for token, rank in ranks.items()}
+    assert codec.decode(ids) == b"".join(tokens[i] for i in ids)
+    with pytest.raises((IndexError, ValueError)):
+        codec.decode(np.array([50256]))
+
+
 def test_awkward_rows(tricky, empty, ranks, library):
     encoded = encode_texts(tricky.withColumnRenamed("score", "ids"), ranks, PATTERN)
     rows = decode_ids(encoded, ranks).collect()

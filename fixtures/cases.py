@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fixtures.payments import heartbeat, raw_messages, typed_payments
+from fixtures.payments import START, heartbeat, raw_messages, typed_payments
 from paywarden.operators.alerts import high_risk_alerts
 from paywarden.operators.curate import curate_transactions
 from paywarden.operators.dedup import earliest_per_minute
@@ -22,16 +22,31 @@ from paywarden.operators.validate import (
     validate_raw,
 )
 from paywarden.plans.batch import deduplicated_payments, process_period
+from paywarden.plans.incremental import refresh_changed
 from paywarden.plans.warehouse import rebuild_warehouse
 from paywarden.schemas import BRONZE
 from paywarden.session import configure, shared_dir
 from paywarden.sources import lake as tables
 from paywarden.sources.lake import Lake
 from paywarden.sources.raw import read_dead_letters, replay_messages, stream_from_files
-from paywarden.streaming.jobs import chained_metrics, drain, read_staged, start_processing
+from paywarden.streaming.jobs import (
+    chained_metrics,
+    drain,
+    live_metrics,
+    read_staged,
+    start_live_metrics,
+    start_processing,
+    start_publishing,
+)
 
 RUN_TS = "2024-02-01 00:00:00"
 MESSAGE_FILES = 3
+ONCE = {"availableNow": True}
+# Messages reach the stream up to this many seconds after their publish time, in an order of their own.
+LATEST_ARRIVAL = 240
+# Ends of the micro-batches, in seconds since the start: inside the bursts of messages and between them.
+ARRIVALS = (0, 300, 450, 3_600, 4_000, 86_400 + 350, 86_400 + 4_100, 172_800 + 200, 172_800 + 7_200)
+CORRECTED_DATE = "2024-01-02"
 
 
 def _as_of() -> Column:
@@ -204,6 +219,89 @@ def warehouse_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rebuilt(spark, sf_dir).read(spark, tables.AUDIT)
 
 
+def corrected(spark: SparkSession, sf_dir: str) -> Lake:
+    """A lake where one publish date was wrong at first: other amounts, ids that do not exist, rows of another date.
+
+    Silver and gold are built from that, and then refreshed after the date was replaced.
+    """
+    lake = Lake(shared_dir(spark, "incremental"))
+    rows = scored_payments(spark, sf_dir)
+    date = F.col("transaction_date").cast("string")
+    id_number = F.substring("transaction_id", 5, 12).cast("bigint")
+    other = rows.withColumns(
+        {
+            "amount": F.when(date == CORRECTED_DATE, F.col("amount") * 2).otherwise(F.col("amount")),
+            "transaction_id": F.when(
+                (date == CORRECTED_DATE) & (id_number % 4 == 0), F.concat("transaction_id", F.lit("-X"))
+            ).otherwise(F.col("transaction_id")),
+        }
+    )
+    # Newer rows of ids of the day before, which silver must give up again.
+    moved = rows.where((date < CORRECTED_DATE) & (id_number % 7 == 0)).withColumns(
+        {
+            "transaction_ts": F.col("transaction_ts") + F.expr("interval 1 day"),
+            "transaction_date": F.lit(CORRECTED_DATE).cast("date"),
+        }
+    )
+    lake.write_batch(other.unionByName(moved), tables.BRONZE, date, "first")
+    refresh_changed(spark, lake)
+    lake.replace_batch(spark, {tables.BRONZE: rows.where(date == CORRECTED_DATE)}, CORRECTED_DATE)
+    refresh_changed(spark, lake)
+    return lake
+
+
+def incremental_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corrected(spark, sf_dir).read(spark, tables.SILVER)
+
+
+def incremental_merchants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corrected(spark, sf_dir).read(spark, tables.MERCHANT_KPIS)
+
+
+def incremental_hotspots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corrected(spark, sf_dir).read(spark, tables.COUNTRY_HOTSPOTS)
+
+
+def streamed(spark: SparkSession, sf_dir: str) -> Lake:
+    """What the stream itself publishes: several micro-batches, rows late by less than is allowed, no close.
+
+    The queries are stopped and started again between the micro-batches.
+    """
+    lake = Lake(shared_dir(spark, "streamed"))
+    folder = f"{lake.root}/messages"
+    arrival = F.unix_seconds("publish_ts") - START + F.crc32(F.col("raw_message").cast("binary")) % LATEST_ARRIVAL
+    given = raw_messages(spark, sf_dir).withColumn("arrival", arrival)
+    given.write.parquet(f"{lake.root}/given")
+    given = spark.read.parquet(f"{lake.root}/given")
+    for first, last in zip(ARRIVALS, ARRIVALS[1:]):
+        arrived = given.where((F.col("arrival") >= first) & (F.col("arrival") < last)).drop("arrival")
+        arrived.write.mode("append").parquet(folder)
+        start_processing(stream_from_files(spark, folder), lake, _as_of(), ONCE).awaitTermination()
+        start_publishing(spark, lake, _run_ts(), ONCE).awaitTermination()
+    return lake
+
+
+def streamed_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return streamed(spark, sf_dir).read(spark, tables.BRONZE)
+
+
+def streamed_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return streamed(spark, sf_dir).read(spark, tables.ALERTS)
+
+
+def streamed_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return streamed(spark, sf_dir).read(spark, tables.METRICS)
+
+
+def stream_update_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Live metrics over files that each hold rows of all times, so that all but the first change written minutes."""
+    lake = Lake(shared_dir(spark, "live"))
+    messages = message_stream(spark, sf_dir, f"{lake.root}/messages")
+    start_processing(messages, lake, _as_of(), ONCE).awaitTermination()
+    start_live_metrics(spark, lake, _run_ts(), ONCE, maxFilesPerTrigger="3").awaitTermination()
+    return live_metrics(spark, lake)
+
+
 def message_stream(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
     """The raw messages in files that each hold rows of all times, one for each micro-batch.
 
@@ -284,6 +382,13 @@ CASES = {
     "warehouse_hotspots": warehouse_hotspots,
     "warehouse_merchants": warehouse_merchants,
     "warehouse_audit": warehouse_audit,
+    "incremental_silver": incremental_silver,
+    "incremental_merchants": incremental_merchants,
+    "incremental_hotspots": incremental_hotspots,
+    "streamed_bronze": streamed_bronze,
+    "streamed_alerts": streamed_alerts,
+    "streamed_metrics": streamed_metrics,
+    "stream_update_metrics": stream_update_metrics,
     "stream_bronze": stream_bronze,
     "stream_alerts": stream_alerts,
     "stream_metrics": stream_metrics,

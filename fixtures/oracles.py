@@ -119,6 +119,14 @@ bronze AS (
 )
 """
 
+# Minutes that the watermark has passed at the end, by the last publish time less the allowed lateness.
+_PUBLISHED = """
+published AS (
+  SELECT * FROM bronze
+  WHERE minute + INTERVAL 1 MINUTE <= (SELECT max(publish_ts) FROM payments) - INTERVAL 300 SECOND
+)
+"""
+
 _SILVER = """
 silver AS (
   SELECT *,
@@ -140,6 +148,7 @@ TYPED_MINUTE = _with(_TYPED, _SCORED.format(source="sent"), _MINUTE)
 TYPED_SILVER = _with(_TYPED, _SCORED.format(source="sent"), _SILVER.format(source="payments"))
 MESSAGES = _with(_TYPED, _ACCEPTED, _SCORED.format(source="accepted"))
 MESSAGES_MINUTE = _with(_TYPED, _ACCEPTED, _SCORED.format(source="accepted"), _MINUTE)
+MESSAGES_PUBLISHED = _with(_TYPED, _ACCEPTED, _SCORED.format(source="accepted"), _MINUTE, _PUBLISHED)
 MESSAGES_SILVER = _with(
     _TYPED, _ACCEPTED, _SCORED.format(source="accepted"), _MINUTE, _SILVER.format(source="bronze")
 )
@@ -296,6 +305,13 @@ SELECT transaction_id, {_stamp('publish_ts')}, {_errors(raw=True)} AS errors FRO
     "warehouse_hotspots": f"{TYPED_SILVER} {_HOTSPOTS}",
     "warehouse_merchants": f"{TYPED_SILVER} {_MERCHANTS}",
     "warehouse_audit": f"{TYPED_SILVER} {_audit('silver')}",
+    "incremental_silver": f"{TYPED_SILVER} SELECT {_SILVER_COLUMNS} FROM silver",
+    "incremental_merchants": f"{TYPED_SILVER} {_MERCHANTS}",
+    "incremental_hotspots": f"{TYPED_SILVER} {_HOTSPOTS}",
+    "streamed_bronze": f"{MESSAGES_PUBLISHED} SELECT {_BRONZE_COLUMNS} FROM published",
+    "streamed_alerts": f"{MESSAGES_PUBLISHED} {_ALERTS.replace('FROM bronze', 'FROM published')}",
+    "streamed_metrics": f"{MESSAGES_PUBLISHED} {_metrics().replace('FROM bronze', 'FROM published')}",
+    "stream_update_metrics": f"{MESSAGES_MINUTE} {_metrics()}",
     "stream_bronze": f"{MESSAGES_MINUTE} SELECT {_BRONZE_COLUMNS} FROM bronze",
     "stream_alerts": f"{MESSAGES_MINUTE} {_ALERTS}",
     "stream_metrics": f"{MESSAGES_MINUTE} {_metrics()}",

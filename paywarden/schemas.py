@@ -83,6 +83,8 @@ METRICS = _table(
     """
 )
 
+METRIC_PANES = T.StructType([*METRICS, T.StructField("pane", T.LongType(), False)])
+
 AUDIT = _table(
     """
     run_date date, check_name string, status string, failed_rows bigint,

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+import json
+import time
+import uuid
+from collections.abc import Callable, Iterable, Iterator, Mapping
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from datetime import date
-from urllib.parse import quote
+from urllib.parse import quote, unquote
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,11 +21,13 @@ from paywarden import schemas
 
 NAMESPACES = ("bronze", "silver", "gold", "ops")
 
-# A replayed period or the publish date of a stream; it is the folder that is replaced as a whole.
+# A replayed period or the publish date of a stream; it is replaced as a whole.
 BATCH = "batch_id"
-# One micro-batch in it; writing it again replaces exactly its own files.
+# One micro-batch in it, or all of it; writing it again replaces exactly its own files.
 RUN = "run_id"
-CLOSED_RUN = "closed"
+# A run that is to replace a batch; it counts from its note on, and never without one.
+REPLACING = "closed-"
+BATCH_NOTE = "batch_id string, version long, run_id string"
 
 
 @dataclass(frozen=True)
@@ -83,6 +90,16 @@ METRICS = Table(
     derived_from="window_start",
     per_batch=True,
 )
+# Complete metrics of a minute as they were at some time; the newest of a minute counts.
+PANES = Table(
+    "ops",
+    "realtime_fraud_metrics_panes",
+    schemas.METRIC_PANES,
+    "window_date",
+    ("txn_country", "merchant_category"),
+    derived_from="window_start",
+    per_batch=True,
+)
 AUDIT = Table("ops", "data_quality_audit", schemas.AUDIT, "run_date", ("check_name", "status"))
 SILVER = Table(
     "silver",
@@ -109,12 +126,23 @@ COUNTRY_HOTSPOTS = Table(
     ("txn_country",),
     versioned=True,
 )
-TABLES = (BRONZE, ALERTS, METRICS, AUDIT, SILVER, MERCHANT_KPIS, COUNTRY_HOTSPOTS)
+TABLES = (BRONZE, ALERTS, METRICS, PANES, AUDIT, SILVER, MERCHANT_KPIS, COUNTRY_HOTSPOTS)
+
+
+class Superseded(RuntimeError):
+    """Somebody else replaced the batch meanwhile; what this run wrote is not read."""
 
 
 @dataclass(frozen=True)
 class Lake:
-    """Tables below one root folder."""
+    """Tables below one root folder.
+
+    A batch consists of all its runs until a note names the one run that it
+    consists of from then on. A note is a file that is created once, so of two
+    writers that replace the same batch one fails. It holds for all tables at
+    once; before it readers get the old rows, after it the new ones, and never
+    both. That needs a file system that creates files atomically.
+    """
 
     root: str
     options: Mapping[str, str] = field(default_factory=dict)
@@ -133,20 +161,22 @@ class Lake:
     def checkpoint_path(self, query: str) -> str:
         return f"{self.root.rstrip('/')}/_checkpoints/{query}"
 
-    def minutes_path(self, batch_id: str) -> str:
-        return f"{self.root.rstrip('/')}/bronze/_minutes/{quote(batch_id, safe='')}"
-
-    def mark_closed(self, spark: SparkSession, day: date) -> None:
-        """Note that a publish date is closed."""
-        note = spark.range(1).select(F.lit(day).alias("closed_date"))
-        self._writer(note, []).mode("append").json(f"{self.root.rstrip('/')}/_closed_dates")
-
-    def closed_dates(self, spark: SparkSession) -> set[date]:
-        """The closed publish dates, one for each day of the lake's life at most."""
-        notes = _if_written(
-            lambda: spark.read.schema("closed_date date").json(f"{self.root.rstrip('/')}/_closed_dates")
-        )
-        return set() if notes is None else {row[0] for row in notes.distinct().collect()}
+    @contextmanager
+    def scratch(self, spark: SparkSession, purpose: str) -> Iterator[str]:
+        """A new folder that is deleted in the end."""
+        path = f"{self.root.rstrip('/')}/_scratch/{purpose}-{uuid.uuid4().hex}"
+        try:
+            yield path
+        finally:
+            _delete(spark, path)
+
+    def current_runs(self, spark: SparkSession) -> dict[str, str]:
+        """The run of each replaced batch: one entry for each date or period of the lake's life at most."""
+        notes = _if_written(lambda: spark.read.schema(BATCH_NOTE).json(self._batch_notes))
+        if notes is None:
+            return {}
+        latest = notes.groupBy(BATCH).agg(F.max_by(RUN, "version").alias(RUN))
+        return {row[BATCH]: row[RUN] for row in latest.collect()}
 
     def create_tables(self, spark: SparkSession) -> None:
         """Define namespaces and tables in the catalog where they are absent."""
@@ -170,14 +200,44 @@ class Lake:
                 self.recover_partitions(spark, table)
 
     def recover_partitions(self, spark: SparkSession, table: Table) -> None:
-        """Let the catalog see partitions that were written by path."""
+        """Let the catalog see partitions that were written by path, but for runs that do not count."""
         spark.sql(f"ALTER TABLE {table.full_name} RECOVER PARTITIONS")
+        if table.per_batch:
+            current = self.current_runs(spark)
+            listed = spark.sql(f"SHOW PARTITIONS {table.full_name}").collect()
+            runs = {tuple(unquote(part.split("=", 1)[1]) for part in row[0].split("/")[:2]) for row in listed}
+            for batch, run in sorted(runs):
+                if current.get(batch, run) != run or (batch not in current and run.startswith(REPLACING)):
+                    # The table is external, so its files stay.
+                    spark.sql(
+                        f"ALTER TABLE {table.full_name} DROP IF EXISTS PARTITION "
+                        f"({BATCH} = {_literal(batch)}, {RUN} = {_literal(run)})"
+                    )
 
     def read(self, spark: SparkSession, table: Table) -> DataFrame:
         """The table with exactly its documented columns; filters on the partition prune folders."""
+        return self.stored(spark, table).select(*table.schema.fieldNames())
+
+    def stored(self, spark: SparkSession, table: Table) -> DataFrame:
+        """The table with its partition columns, without runs that do not count, no longer or not yet."""
+        rows = self.all_runs(spark, table)
+        if not table.per_batch:
+            return rows
+        # Partition columns alone, so folders that do not count are not even listed for the scan.
+        counts = ~F.col(RUN).startswith(REPLACING)
+        current = self.current_runs(spark)
+        if current:
+            noted = F.concat(F.col(BATCH), F.lit("/"), F.col(RUN)).isin(*(f"{b}/{r}" for b, r in current.items()))
+            counts = (counts & ~F.col(BATCH).isin(*current)) | noted
+        return rows.where(counts)
+
+    def all_runs(self, spark: SparkSession, table: Table) -> DataFrame:
+        """All that is stored of a table, also what no longer counts."""
         path = self._folder(table, self._version(spark, table))
-        stored = spark.read.schema(table.stored_schema).parquet(path)
-        return stored.select(*table.schema.fieldNames())
+        return spark.read.schema(table.stored_schema).parquet(path)
+
+    def written(self, spark: SparkSession, table: Table) -> bool:
+        return _if_written(lambda: self.all_runs(spark, table)) is not None
 
     def replace(self, rows: DataFrame, table: Table) -> None:
         """Rebuild the whole table; until its files are complete, readers get the old one.
@@ -209,12 +269,72 @@ class Lake:
             .parquet(self.path(table))
         )
 
-    def replace_batch(self, rows: DataFrame, table: Table, batch_id: str) -> None:
-        """Make ``rows`` all that the batch holds: earlier runs and dates of it are gone, also for no rows."""
-        named = rows.withColumn(RUN, F.lit(CLOSED_RUN))
-        keys = [key for key in table.partitions if key != BATCH]
-        folder = f"{self.path(table)}/{BATCH}={quote(batch_id, safe='')}"
-        self._overwrite(_laid_out(named, table, keys), keys, folder)
+    def replace_batch(self, spark: SparkSession, outputs: Mapping[Table, DataFrame], batch_id: str) -> None:
+        """Make ``outputs`` all that the batch holds in these tables and, of the others, nothing.
+
+        Earlier runs of it stay readable until all is written, and for good if
+        a write fails.
+        """
+        version = self._last_note(spark, batch_id) + 1
+        run_id = f"{REPLACING}{version:06d}-{uuid.uuid4().hex[:12]}"
+        for table, rows in outputs.items():
+            self.write_batch(rows, table, batch_id, run_id)
+        note = json.dumps({BATCH: batch_id, "version": version, RUN: run_id})
+        if not _create_once(spark, f"{self._batch_notes}/{_note_name(batch_id)}.{version}", note):
+            raise Superseded(f"batch {batch_id} was replaced by another run")
+
+    def remove_superseded(self, spark: SparkSession, hours: float = 24) -> int:
+        """Delete runs that no longer count and were written over ``hours`` ago, so that reads of them have ended."""
+        current, removed = self.current_runs(spark), 0
+        latest = (time.time() - 3600 * hours) * 1000
+        for table in TABLES:
+            for batch in _children(spark, self.path(table)) if table.per_batch else []:
+                run_now = current.get(unquote(batch.getPath().getName().partition("=")[2]))
+                for run in _children(spark, batch.getPath().toString()):
+                    name = unquote(run.getPath().getName()).partition("=")[2]
+                    counts = name == run_now or not (run_now or name.startswith(REPLACING))
+                    if not counts and run.getModificationTime() <= latest:
+                        removed += _delete(spark, run.getPath().toString())
+        return removed
+
+    def replace_partitions(self, rows: DataFrame, table: Table, values: Iterable[date]) -> None:
+        """Make ``rows`` all that a rebuilt table holds of the dates ``values``; other dates keep their files."""
+        spark = rows.sparkSession
+        folder = self._folder(table, self._version(spark, table))
+        laid = _laid_out(rows, table)
+        (
+            self._writer(laid, table.partitions)
+            .mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .parquet(folder)
+        )
+        # Dates that have no rows any more are not overwritten.
+        left = {row[0] for row in rows.select(_partition_value(table)).distinct().collect()}
+        for day in set(values) - left:
+            _delete(spark, f"{folder}/{table.partition}={day}")
+
+    def note_inputs(self, spark: SparkSession, runs: Iterable[tuple[str, str]]) -> None:
+        """Note the runs of bronze that silver was built from; no runs while that is not known."""
+        rows = spark.createDataFrame(sorted(runs), f"{BATCH} string, {RUN} string").coalesce(1)
+        self._overwrite(rows, [], self._input_notes, "json")
+
+    def noted_inputs(self, spark: SparkSession) -> set[tuple[str, str]]:
+        notes = _if_written(lambda: spark.read.schema(f"{BATCH} string, {RUN} string").json(self._input_notes))
+        return set() if notes is None else {tuple(row) for row in notes.collect()}
+
+    @property
+    def _batch_notes(self) -> str:
+        return f"{self.root.rstrip('/')}/_versions/batches"
+
+    @property
+    def _input_notes(self) -> str:
+        return f"{self.root.rstrip('/')}/_versions/silver_inputs"
+
+    def _last_note(self, spark: SparkSession, batch_id: str) -> int:
+        """By name, so that a note whose writer failed is passed over, too."""
+        names = [f.getPath().getName() for f in _children(spark, self._batch_notes)]
+        found = [name.rpartition(".") for name in names]
+        return max((int(v) for name, _, v in found if name == _note_name(batch_id) and v.isdigit()), default=-1)
 
     def _folder(self, table: Table, version: int) -> str:
         return f"{self.path(table)}/version={version % 2}" if table.versioned else self.path(table)
@@ -248,6 +368,45 @@ class Lake:
         return writer.partitionBy(*keys) if keys else writer
 
 
+def _note_name(batch_id: str) -> str:
+    # No name of a note starts like a hidden file.
+    return f"batch={quote(batch_id, safe='')}"
+
+
+def _literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _file_system(spark: SparkSession, path: str):
+    """A path and its file system, through Hadoop's public interface."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _children(spark: SparkSession, folder: str) -> list:
+    place, files = _file_system(spark, folder)
+    return list(files.listStatus(place)) if files.exists(place) else []
+
+
+def _delete(spark: SparkSession, folder: str) -> bool:
+    place, files = _file_system(spark, folder)
+    return files.delete(place, True)
+
+
+def _create_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file unless it is there."""
+    place, files = _file_system(spark, path)
+    try:
+        out = files.create(place, False)
+    except Py4JJavaError as error:
+        if "FileAlreadyExists" not in str(error.java_exception):
+            raise
+        return False
+    out.write(bytearray(text, "utf-8"))
+    out.close()
+    return True
+
+
 def _if_written(read: Callable[[], DataFrame]) -> DataFrame | None:
     """What ``read`` gives, None if its folder does not exist."""
     try:

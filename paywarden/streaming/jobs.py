@@ -6,6 +6,8 @@
 2. ``start_dead_letters`` copies the rejected route to JSON lines.
 3. ``start_publishing`` de-duplicates the valid route in state and writes
    bronze, alerts and metrics.
+4. ``start_live_metrics`` writes the metrics of each minute again whenever a
+   row for it comes in, however late.
 
 A valid message that comes after the watermark has passed its minute is not
 published by the stream, but it is staged. ``close_date`` publishes a date again
@@ -16,9 +18,12 @@ stream was cut into micro-batches. Until then they are counted as
 
 from __future__ import annotations
 
+import time
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -140,10 +145,11 @@ def publish_minutes(lake: Lake, payments: DataFrame, run_id: str, run_ts: Column
     minutes.persist()
     try:
         # One date as a rule, a few after an outage.
-        found = {row[0] for row in minutes.select(publish_date).distinct().collect()}
-        for day in sorted(found - lake.closed_dates(minutes.sparkSession)):
-            batch_id = str(day)
-            outputs = minute_outputs(minutes.filter(publish_date == F.lit(day)), run_ts)
+        found = {str(row[0]) for row in minutes.select(publish_date).distinct().collect()}
+        # A date that is closed after this look is no harm: its note shuts this run out.
+        for batch_id in sorted(found - set(lake.current_runs(minutes.sparkSession))):
+            day = F.lit(batch_id).cast("date")
+            outputs = minute_outputs(minutes.filter(publish_date == day), run_ts)
             for table, rows in outputs.items():
                 lake.write_batch(rows, table, batch_id, run_id)
     finally:
@@ -169,21 +175,21 @@ def replace_minutes(
     """
     payments = earliest_per_minute(payment_columns(staged))
     minutes = payments.select(F.col("window.start").alias("minute"), *schemas.BRONZE.fieldNames())
-    path = lake.minutes_path(batch_id)
-    minutes.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
-    written = spark.read.schema(minutes.schema).parquet(path)
-    for table, rows in minute_outputs(written, run_ts).items():
-        lake.replace_batch(rows, table, batch_id)
+    with lake.scratch(spark, "minutes") as path:
+        minutes.write.parquet(path)
+        written = spark.read.schema(minutes.schema).parquet(path)
+        lake.replace_batch(spark, minute_outputs(written, run_ts), batch_id)
 
 
 def close_date(spark: SparkSession, lake: Lake, day: date, run_ts: Column | None = None) -> None:
     """Publish a date that is over again, from all valid rows staged for it.
 
-    Rows that the stream dropped as late come in, and the date's micro-batches
-    become one batch. The stream publishes nothing more for the date; rows staged
-    later than this come in when the date is closed again.
+    Rows that the stream dropped as late come in, and one run stands for the
+    date's micro-batches, from one moment on and in all tables at once. What a
+    micro-batch writes for the date after that, or wrote meanwhile, does not
+    count. Rows staged later than this come in when the date is closed again.
+    A close that fails changes nothing; of two at a time one fails.
     """
-    lake.mark_closed(spark, day)
     staged = spark.read.schema(STAGED).parquet(lake.staging_path)
     rows = staged.filter((F.col("route") == VALID) & (F.col("publish_date") == F.lit(day)))
     now = F.current_timestamp() if run_ts is None else run_ts
@@ -214,18 +220,8 @@ def start_publishing(
     now = F.current_timestamp() if run_ts is None else run_ts
 
     def publish(batch: DataFrame, number: int) -> None:
-        # The id stays with the checkpoint: a query on a new one counts its batches
-        # from zero again and must not replace those of the old one.
-        session = batch.sparkSession
-        query_id = session.sparkContext.getLocalProperty("sql.streaming.queryId")
-        # A stream plans its state without AQE. The writes below are batch jobs
-        # that need it, or the rebalance before them would be left out.
-        before = session.conf.get("spark.sql.adaptive.enabled")
-        session.conf.set("spark.sql.adaptive.enabled", "true")
-        try:
+        with _batch_planning(batch.sparkSession) as query_id:
             publish_minutes(lake, batch, f"{query_id}-{number}", now)
-        finally:
-            session.conf.set("spark.sql.adaptive.enabled", before)
 
     return (
         windowed_payments(read_staged(spark, lake, VALID, **options))
@@ -237,6 +233,76 @@ def start_publishing(
     )
 
 
+def refresh_panes(
+    spark: SparkSession, lake: Lake, minutes: DataFrame, run_id: str, run_ts: Column, pane: int
+) -> None:
+    """Compute the given minutes' metrics from all their staged rows and add them as panes.
+
+    A later copy of an id may take the place of an earlier one, so a pane is
+    not summed up from arrivals: the minutes that changed are read again, and
+    the bounds of their times let the scan skip the other files.
+    """
+    first, last = minutes.agg(F.min("minute"), F.max("minute")).first()
+    if first is None:
+        return
+    end = F.lit(last) + F.expr("interval 1 minute")
+    staged = spark.read.schema(STAGED).parquet(lake.staging_path).where(
+        (F.col("route") == VALID)
+        & F.col("publish_date").between(F.to_date(F.lit(first)), F.to_date(F.lit(last)))
+        & (F.col("publish_ts") >= F.lit(first))
+        & (F.col("publish_ts") < end)
+    )
+    changed = staged.withColumn("minute", F.date_trunc("minute", "publish_ts")).join(minutes, "minute", "left_semi")
+    payments = earliest_per_minute(payment_columns(changed))
+    metrics = minute_metrics(payments, F.col("window.start"), run_ts).withColumn("pane", F.lit(pane).cast("bigint"))
+    lake.write_batch(metrics, tables.PANES, F.date_format("window_start", "yyyy-MM-dd"), run_id)
+
+
+def start_live_metrics(
+    spark: SparkSession,
+    lake: Lake,
+    run_ts: Column | None = None,
+    trigger: dict | None = None,
+    **options: str,
+) -> StreamingQuery:
+    """Valid messages to metrics that change as rows come in.
+
+    The query has no state and no watermark: a micro-batch only tells which
+    minutes changed. ``live_metrics`` reads the newest pane of each.
+    """
+    now = F.current_timestamp() if run_ts is None else run_ts
+    last = 0
+
+    def publish(batch: DataFrame, number: int) -> None:
+        nonlocal last
+        last = max(last + 1, time.time_ns() // 1_000_000)
+        minutes = batch.select(F.date_trunc("minute", "publish_ts").alias("minute")).dropna().distinct()
+        with _batch_planning(batch.sparkSession) as query_id:
+            refresh_panes(batch.sparkSession, lake, minutes, f"{query_id}-{number}", now, last)
+
+    return (
+        read_staged(spark, lake, VALID, **options)
+        .select("publish_ts")
+        .writeStream.outputMode("update")
+        .foreachBatch(publish)
+        .option("checkpointLocation", lake.checkpoint_path("live-metrics"))
+        .trigger(**_trigger(trigger))
+        .start()
+    )
+
+
+def live_metrics(spark: SparkSession, lake: Lake) -> DataFrame:
+    """The newest pane of each minute; closed dates come from the metrics table."""
+    names = schemas.METRICS.fieldNames()
+    newest = F.max("pane").over(Window.partitionBy("window_start"))
+    panes = lake.read(spark, tables.PANES).withColumn("newest", newest).where("pane = newest").select(*names)
+    closed = list(lake.current_runs(spark))
+    if not closed or not lake.written(spark, tables.METRICS):
+        return panes
+    final = lake.stored(spark, tables.METRICS).where(F.col(tables.BATCH).isin(*closed))
+    return panes.unionByName(final.select(*names))
+
+
 def drain(
     spark: SparkSession,
     messages: DataFrame,
@@ -254,6 +320,22 @@ def drain(
         close_date(spark, lake, day, run_ts)
 
 
+@contextmanager
+def _batch_planning(session: SparkSession) -> Iterator[str]:
+    """Plan the writes of a micro-batch as batch jobs, with AQE; gives the id of the query.
+
+    A stream plans its state without AQE, and without it the rebalance before a
+    write would be left out. The id stays with the checkpoint: a query on a new
+    one counts its batches from zero again and must not replace those of the old one.
+    """
+    before = session.conf.get("spark.sql.adaptive.enabled")
+    session.conf.set("spark.sql.adaptive.enabled", "true")
+    try:
+        yield session.sparkContext.getLocalProperty("sql.streaming.queryId")
+    finally:
+        session.conf.set("spark.sql.adaptive.enabled", before)
+
+
 def _trigger(trigger: dict | None) -> dict:
     # A minute is the window; shorter triggers would only write smaller files.
     return {"processingTime": "1 minute"} if trigger is None else trigger

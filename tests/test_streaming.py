@@ -4,19 +4,22 @@ import json
 from datetime import date
 from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 
 from fixtures.payments import heartbeat, raw_messages
 from paywarden.plans.batch import deduplicated_payments, process_period
 from paywarden.schemas import BRONZE, RAW_STREAM
 from paywarden.sources import lake as tables
-from paywarden.sources.lake import Lake
+from paywarden.sources.lake import Lake, Superseded
 from paywarden.sources.raw import read_dead_letters, stream_from_files
 from paywarden.streaming.jobs import (
     chained_metrics,
     close_date,
     drain,
+    live_metrics,
     read_staged,
+    start_live_metrics,
     start_processing,
     start_publishing,
 )
@@ -61,12 +64,17 @@ def test_the_stream_gives_what_the_batch_gives(spark, tmp_path):
     assert set(record) == {"received_ts", "error_count", "errors", "raw_message"}
     assert record["received_ts"].endswith("Z")
 
+    # The runs of the stream no longer count and go once nobody reads them.
+    assert stream.remove_superseded(spark, hours=1) == 0
+    assert stream.remove_superseded(spark, hours=0) >= 0
     # The rows of a date and batch end up in one file, whatever the number of state partitions.
     files = Path(stream.path(tables.BRONZE)).rglob("*.parquet")
     folders = [f.parent for f in files]
     assert folders and len(folders) == len(set(folders))
     # Closing a date leaves one run of it.
     assert all("run_id=closed" in str(f) for f in folders)
+    for table in (tables.BRONZE, tables.ALERTS, tables.METRICS):
+        assert rows_of(stream.read(spark, table)) == rows_of(batch.read(spark, table))
 
     # The chained form of the metrics has a state of its own and the same result.
     path = str(tmp_path / "metrics")
@@ -147,6 +155,111 @@ def test_the_stream_leaves_a_closed_date_alone(spark, tmp_path):
     assert lake.read(spark, tables.BRONZE).count() == 2
 
 
+def published(spark, source, lake):
+    start_processing(stream_from_files(spark, str(source)), lake, AS_OF, ONCE).awaitTermination()
+    start_publishing(spark, lake, run_ts(), ONCE).awaitTermination()
+
+
+def open_date(spark, tmp_path):
+    """A lake with three minutes of a date, the first of them published by the stream."""
+    source, lake = tmp_path / "in", Lake(str(tmp_path / "lake"))
+    put(spark, source, [event(), event(transaction_id="b")], "2024-05-01T10:02:00")
+    published(spark, source, lake)
+    put(spark, source, [event(transaction_id="c")], "2024-05-01T10:20:00")
+    published(spark, source, lake)
+    assert lake.read(spark, tables.BRONZE).count() == 2
+    return source, lake
+
+
+OUTPUTS = (tables.BRONZE, tables.ALERTS, tables.METRICS)
+DAY = date(2024, 5, 1)
+
+
+def test_a_micro_batch_during_a_close_leaves_each_minute_once(spark, tmp_path, monkeypatch):
+    source, lake = open_date(spark, tmp_path)
+    put(spark, source, [event(transaction_id="d")], "2024-05-01T10:40:00")
+    write = Lake.write_batch
+
+    def meanwhile(self, rows, table, batch_id, run_id="all"):
+        write(self, rows, table, batch_id, run_id)
+        if table is tables.BRONZE and run_id.startswith("closed"):
+            # The minute of "c" leaves the state and is written while the close is under way.
+            monkeypatch.setattr(Lake, "write_batch", write)
+            published(spark, source, lake)
+            assert sorted(r.transaction_id for r in lake.read(spark, tables.BRONZE).collect()) == ["P-7f3a", "b", "c"]
+
+    monkeypatch.setattr(Lake, "write_batch", meanwhile)
+    close_date(spark, lake, DAY, run_ts())
+    assert sorted(r.transaction_id for r in lake.read(spark, tables.BRONZE).collect()) == ["P-7f3a", "b", "c"]
+    assert sum(r.total_transactions for r in lake.read(spark, tables.METRICS).collect()) == 3
+    close_date(spark, lake, DAY, run_ts())
+    assert lake.read(spark, tables.ALERTS).count() == 4
+
+
+def test_a_failing_close_leaves_the_old_rows(spark, tmp_path, monkeypatch):
+    _, lake = open_date(spark, tmp_path)
+    before = [rows_of(lake.read(spark, table)) for table in OUTPUTS]
+    write = Lake.write_batch
+
+    def failing(self, rows, table, batch_id, run_id="all"):
+        if table is tables.METRICS:
+            raise OSError("disk full")
+        write(self, rows, table, batch_id, run_id)
+
+    monkeypatch.setattr(Lake, "write_batch", failing)
+    with pytest.raises(OSError):
+        close_date(spark, lake, DAY, run_ts())
+    assert [rows_of(lake.read(spark, table)) for table in OUTPUTS] == before
+    monkeypatch.setattr(Lake, "write_batch", write)
+    close_date(spark, lake, DAY, run_ts())
+    assert [lake.read(spark, table).count() for table in OUTPUTS] == [3, 3, 2]
+
+
+def test_of_two_closes_at_a_time_one_fails(spark, tmp_path, monkeypatch):
+    _, lake = open_date(spark, tmp_path)
+    write = Lake.write_batch
+
+    def meanwhile(self, rows, table, batch_id, run_id="all"):
+        monkeypatch.setattr(Lake, "write_batch", write)
+        close_date(spark, lake, DAY, run_ts())
+        write(self, rows, table, batch_id, run_id)
+
+    monkeypatch.setattr(Lake, "write_batch", meanwhile)
+    with pytest.raises(Superseded):
+        close_date(spark, lake, DAY, run_ts())
+    assert [lake.read(spark, table).count() for table in OUTPUTS] == [3, 3, 2]
+    # A note whose writer failed before its text is passed over.
+    (Path(lake.root) / "_versions/batches/batch=2024-05-01.1").touch()
+    assert lake.read(spark, tables.BRONZE).count() == 3
+    close_date(spark, lake, DAY, run_ts())
+    assert list(lake.current_runs(spark).values())[0].startswith("closed-000002")
+
+
+def test_live_metrics_take_in_rows_of_any_lateness(spark, tmp_path):
+    source, lake = tmp_path / "in", Lake(str(tmp_path / "lake"))
+
+    def run():
+        start_processing(stream_from_files(spark, str(source)), lake, AS_OF, ONCE).awaitTermination()
+        start_live_metrics(spark, lake, run_ts(), ONCE).awaitTermination()
+        rows = live_metrics(spark, lake).orderBy("window_start", "txn_country").collect()
+        return [(r.window_start.hour, r.txn_country, r.total_transactions, r.approved_amount) for r in rows]
+
+    put(spark, source, [event(transaction_ts="2024-05-01T10:00:30Z")], "2024-05-01T10:02:00")
+    assert run() == [(10, "GB", 1, 1725.5)]
+    put(spark, source, [event(transaction_id="noon", amount=2)], "2024-05-01T12:00:00")
+    assert run() == [(10, "GB", 1, 1725.5), (12, "GB", 1, 2.0)]
+    # Far behind any watermark: one more payment, and an earlier copy that moves the first one to another country.
+    late = [event(transaction_id="late", amount=3), event(transaction_ts="2024-05-01T10:00:00Z", txn_country="fr", amount=4)]
+    put(spark, source, late, "2024-05-01T10:02:59")
+    assert run() == [(10, "FR", 1, 4.0), (10, "GB", 1, 3.0), (12, "GB", 1, 2.0)]
+    assert run() == [(10, "FR", 1, 4.0), (10, "GB", 1, 3.0), (12, "GB", 1, 2.0)]
+    assert lake.read(spark, tables.PANES).count() == 4
+    # A closed date comes from the metrics table, without its panes.
+    close_date(spark, lake, DAY, run_ts())
+    assert lake.read(spark, tables.PANES).count() == 0
+    assert run() == [(10, "FR", 1, 4.0), (10, "GB", 1, 3.0), (12, "GB", 1, 2.0)]
+
+
 def test_a_shorter_run_of_a_period_leaves_nothing_of_the_longer_one(spark, tmp_path):
     lake = Lake(str(tmp_path))
     both = messages(

@@ -1,5 +1,7 @@
 """De-duplication, silver, gold, audit and tables."""
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from paywarden.operators.dedup import earliest_per_minute, latest_per_id
 from paywarden.operators.kpis import country_fraud_hotspots, merchant_hourly_kpis
 from paywarden.operators.quality import audit_transactions
 from paywarden.operators.validate import process_messages, valid_payments
+from paywarden.plans.incremental import refresh_changed
 from paywarden.plans.warehouse import rebuild_warehouse
 from paywarden.schemas import (
     AUDIT,
@@ -211,6 +214,62 @@ def test_catalog_tables_see_written_partitions(spark, tmp_path):
         spark.sql(f"DROP DATABASE {namespace} CASCADE")
 
 
+def files_of(lake, table, day):
+    return {str(f) for f in Path(lake.path(table)).rglob(f"*={day}/*.parquet")}
+
+
+def test_a_corrected_date_leaves_the_files_of_others(spark, tmp_path):
+    lake = Lake(str(tmp_path))
+    rows = scored_payments(spark, SMALL).drop("publish_ts")
+    date = F.col("transaction_date").cast("string")
+    lake.write_batch(rows, tables.BRONZE, date, "first")
+    assert refresh_changed(spark, lake) is None
+    assert refresh_changed(spark, lake) == []
+    gold = (tables.SILVER, tables.MERCHANT_KPIS, tables.COUNTRY_HOTSPOTS)
+    kept = [files_of(lake, table, day) for table in gold for day in ("2024-01-01", "2024-01-03")]
+    assert all(kept)
+    old = [files_of(lake, table, "2024-01-02") for table in gold]
+    one_day = rows.where(date == "2024-01-02")
+    lake.replace_batch(spark, {tables.BRONZE: one_day.limit(5)}, "2024-01-02")
+    assert [str(day) for day in refresh_changed(spark, lake)] == ["2024-01-02"]
+    assert [files_of(lake, table, day) for table in gold for day in ("2024-01-01", "2024-01-03")] == kept
+    assert all(not files_of(lake, table, "2024-01-02") & files for table, files in zip(gold, old))
+    spots = lake.read(spark, tables.COUNTRY_HOTSPOTS).where("transaction_date = '2024-01-02'")
+    assert spots.agg(F.sum("total_transactions")).first()[0] == 5
+    # A date that has no rows any more is gone from all tables.
+    lake.replace_batch(spark, {tables.BRONZE: one_day.limit(0)}, "2024-01-02")
+    assert [str(day) for day in refresh_changed(spark, lake)] == ["2024-01-02"]
+    assert not any(files_of(lake, table, "2024-01-02") for table in gold)
+    assert lake.read(spark, tables.SILVER).where("transaction_date = '2024-01-02'").isEmpty()
+    # Runs that were read and are deleted by now cannot tell their ids, so all is rebuilt.
+    lake.replace_batch(spark, {tables.BRONZE: one_day.limit(9)}, "2024-01-02")
+    assert [str(day) for day in refresh_changed(spark, lake)] == ["2024-01-02"]
+    lake.replace_batch(spark, {tables.BRONZE: one_day}, "2024-01-02")
+    assert lake.remove_superseded(spark, hours=0) > 0
+    assert refresh_changed(spark, lake) is None
+    assert lake.read(spark, tables.SILVER).count() == 1000
+
+
+def test_a_refresh_that_failed_is_followed_by_a_rebuild(spark, tmp_path, monkeypatch):
+    lake = Lake(str(tmp_path))
+    rows = scored_payments(spark, SMALL).drop("publish_ts")
+    lake.write_batch(rows.limit(100), tables.BRONZE, "a", "1")
+    refresh_changed(spark, lake)
+    lake.write_batch(rows, tables.BRONZE, "b", "1")
+    replace = Lake.replace_partitions
+
+    def failing(self, rows, table, values):
+        if table is tables.MERCHANT_KPIS:
+            raise OSError("disk full")
+        replace(self, rows, table, values)
+
+    monkeypatch.setattr(Lake, "replace_partitions", failing)
+    with pytest.raises(OSError):
+        refresh_changed(spark, lake)
+    assert refresh_changed(spark, lake) is None
+    assert lake.read(spark, tables.MERCHANT_KPIS).agg(F.sum("total_transactions")).first()[0] == 1000
+
+
 def test_a_missing_required_value_fails_the_write(spark, tmp_path):
     rows = scored_payments(spark, SMALL).drop("publish_ts").withColumn("city", F.lit(None).cast("string"))
     with pytest.raises(Exception, match="NULL in a required column"):

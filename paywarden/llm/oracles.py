@@ -86,8 +86,9 @@ FROM texts LEFT JOIN summed USING (id)
 _TOKEN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _PHRASES = ", ".join(f"row('{label}', {phrase.split()!r})" for label, phrase in license_scan.PHRASES)
 _TEMPLATES = ", ".join(
-    f"row('{label}', {words!r}, {license_scan.needed(len(words), license_scan.CONTAINMENT)})"
-    for label, words in ((label, sorted(set(text.split()))) for label, text in license_scan.TEMPLATES)
+    f"row('{label}', {words!r}, {license_scan.needed(len(words), license_scan.CONTAINMENT)}, {license_scan.window_words(text)}, "
+    f"{license_scan.naming_words(label, words)!r}::VARCHAR[], {sorted(set(license_scan.VARIANTS) - set(words))!r}::VARCHAR[])"
+    for label, text, words in ((label, text, sorted(set(text.split()))) for label, text in license_scan.TEMPLATES)
 )
 
 OP6 = rf"""
@@ -106,10 +107,15 @@ WITH docs AS (
   SELECT id, count(*) AS n_base, min(at_word) AS first_word, max(at_word) AS last_word,
          list(DISTINCT label) AS labels FROM places GROUP BY id
 ), templates AS (SELECT unnest([{_TEMPLATES}], recursive := false) AS m
+), windows AS (
+  SELECT id, m, list_distinct(words[i:i + m[4] - 1]) AS block
+  FROM (SELECT id, words, m, unnest(range(1, len(words) + 1)) AS i FROM worded, templates
+        WHERE len(list_intersect(words, m[2])) >= m[3])
+  WHERE list_contains(m[2], words[i])
 ), met AS (
-  SELECT id, list(DISTINCT m[1]) AS labels, max(len(list_intersect(list_distinct(regexp_extract_all(line, '{_TOKEN}')), m[2])) / len(m[2])::DOUBLE) AS share
-  FROM (SELECT id, unnest(string_split(t, chr(10))) AS line FROM docs), templates
-  WHERE len(list_intersect(list_distinct(regexp_extract_all(line, '{_TOKEN}')), m[2])) >= m[3]
+  SELECT id, list(DISTINCT m[1]) AS labels, max(len(list_intersect(block, m[2])) / len(m[2])::DOUBLE) AS share
+  FROM windows
+  WHERE len(list_intersect(block, m[2])) >= m[3] AND list_has_all(block, m[5]) AND NOT list_has_any(block, m[6])
   GROUP BY id
 )
 SELECT doc_id, len(words) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,

@@ -13,6 +13,7 @@ import zlib
 from collections import Counter
 
 import duckdb
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -23,6 +24,7 @@ from paywarden.llm.line_dedup import drop_boilerplate, host_of, page_text
 from paywarden.llm.quality_rules import judge_documents
 from paywarden.llm.secret_scan import Scan, expanded, scan_secrets, written
 from paywarden.llm.sharding import assign_shards, number_slots
+from paywarden.llm.text_arrays import slices, words_in
 from tests.llm.conftest import PROSE, TRICKY
 
 SMALL = "/root/testdata/sf0.001"
@@ -301,15 +303,19 @@ def test_templates_are_found_by_containment(spark, tricky):
     assert license_scan.scan_licenses(tricky).count() == len(TRICKY)
 
 
+VARIANTS = set(license_scan.VARIANTS)
+
+
 def brute_templates(text):
-    """Labels of the templates of which some word window holds the share and the naming words."""
+    """Labels of the templates of which some word window holds the share, the naming words and no other variant."""
     words, found = re.findall(r"[a-z0-9]+", text.lower()), set()
     for label, template in license_scan.TEMPLATES:
         held = set(template.split())
         size = -(-len(template.split()) * 5 // 4)
         for i in range(len(words)):
-            both = held & set(words[i : i + size])
-            if 10 * len(both) >= 8 * len(held) and held & set(label.split("-")) <= both:
+            block = set(words[i : i + size])
+            named = held & ({*label.split("-")} | VARIANTS)
+            if words[i] in held and 10 * len(held & block) >= 8 * len(held) and named <= block and not block & VARIANTS - held:
                 found.add(label)
     return found
 
@@ -328,7 +334,65 @@ def test_notices_are_found_across_lines_and_only_where_they_stand(spark):
     assert far_labels.first()["labels"] == ""
 
 
-def test_templates_equal_brute_force(spark):
+CC = "This work is licensed under a Creative Commons Attribution{} 4.0\nInternational License."
+NOTICES = [
+    (CC.format(""), "cc-by"),
+    (CC.format("-ShareAlike"), "cc-by-sa"),
+    (CC.format("-NonCommercial"), "cc-by-nc"),
+    (CC.format("-NoDerivatives"), "cc-by-nd"),
+    (CC.format("-NonCommercial-NoDerivatives"), "cc-by-nc-nd"),
+    (CC.format("-NonCommercial-ShareAlike"), "cc-by-nc-sa"),
+    ("Licensed under CC BY-SA 4.0", "cc-by-sa"),
+    (GPL, "gpl"),
+    (GPL.replace("GNU", "GNU Lesser"), "lgpl"),
+    (GPL.replace("GNU", "GNU Affero"), "agpl"),
+    ("Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted", "isc"),
+    (BSD, "bsd"),
+    ("nothing but words", ""),
+    (GPL + " x" * 40 + " " + CC.format("-ShareAlike"), "cc-by-sa,gpl"),
+]
+
+
+def test_variants_of_licenses_are_told_apart(spark, tricky, tmp_path):
+    rows = [(n, text, "en", "s", 1) for n, (text, _) in enumerate(NOTICES)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = by_id(license_scan.scan_licenses(docs, phrases=(("none", "zz zz"),)).collect(), "labels")
+    assert got == {n: (want,) for n, (_, want) in enumerate(NOTICES)}
+    # The statement takes the same windows.
+    given = docs.unionByName(tricky.select(*docs.columns)).unionByName(random_notices(spark).withColumns({c: F.lit("x") for c in ("lang", "source")} | {"n_chars": F.lit(1)}))
+    given.write.parquet(f"{tmp_path}/documents.parquet")
+    same_rows(queries.op6_license_scan(spark, str(tmp_path)), duck({"documents": given.toArrow()}), oracles.ORACLES["op6_license_scan"])
+
+
+def test_each_filter_alone_drops_no_window_that_meets(spark):
+    known = license_scan.Templates(license_scan.TEMPLATES, license_scan.CONTAINMENT, {"the": 9, "license": 4, "gnu": 1})
+    texts = [r["text"] for r in random_notices(spark).collect()]
+    dropped = [0, 0, 0]
+    for first, _, data, offsets in slices(pa.array(texts)):
+        words = words_in(data, offsets, license_scan.NOT_ALNUM, license_scan.FOLDED)
+        numbers = known.numbers(words.hashes)
+        at = np.flatnonzero(numbers >= 0)
+        owner, numbers = words.owner[at], numbers[at]
+        places = known.spread(at, owner)
+        for k in range(len(known.labels)):
+            other = places[known.foreign[k][numbers]]
+            mine = known.held[k][numbers]
+            args = (places[mine], numbers[mine], owner[mine], other)
+            ranks, end = known.ranks[k][args[1]], known.windows_of(k, args[0])
+            every = np.arange(len(args[0]))
+            met = [x.tolist() for x in known.verified(k, *args, end, every)]
+            for i, kept in enumerate((known.by_prefix(k, ranks, end, every), known.by_length(k, end, every), known.by_position(k, ranks, end, every))):
+                assert [x.tolist() for x in known.verified(k, *args, end, kept)] == met
+                dropped[i] += len(every) - len(kept)
+    assert all(dropped)
+
+
+def test_words_are_counted_over_all_texts(spark, tricky):
+    counts = license_scan.word_counts(tricky, ["line", "one", "same", "zz"])
+    assert counts == {"line": 5, "one": 2, "same": 5, "zz": 0} or counts == {"line": 5, "one": 2, "same": 5}
+
+
+def random_notices(spark):
     rng = random.Random(6)
     rows = []
     for n in range(300):
@@ -336,14 +400,18 @@ def test_templates_equal_brute_force(spark):
         for _ in range(rng.randrange(4)):
             template = rng.choice(license_scan.TEMPLATES)[1].split()
             for _ in range(rng.randrange(5)):
-                template.insert(rng.randrange(len(template)), rng.choice(["x", "the", "license"]))
+                template.insert(rng.randrange(len(template)), rng.choice(["x", "the", "license", "sa", "lesser"]))
             for _ in range(rng.randrange(4)):
                 template.pop(rng.randrange(len(template)))
             words += ["y"] * rng.randrange(4) + template
         rows.append((n, "".join(word + rng.choice(" \n.") for word in words)))
-    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    return spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+
+
+def test_templates_equal_brute_force(spark):
+    docs = random_notices(spark)
     got = by_id(license_scan.scan_licenses(docs, phrases=(("none", "zz zz"),)).collect(), "labels")
-    assert got == {n: (",".join(sorted(brute_templates(text))),) for n, text in rows}
+    assert got == {r["doc_id"]: (",".join(sorted(brute_templates(r["text"]))),) for r in docs.collect()}
 
 
 # 7 Sharding, 8 mixing

@@ -34,6 +34,7 @@ from paywarden.streaming.jobs import (
     drain,
     live_metrics,
     read_staged,
+    replay_dead_letters,
     start_live_metrics,
     start_processing,
     start_publishing,
@@ -328,7 +329,52 @@ def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _identified(read_dead_letters(spark, drained(spark, sf_dir).dead_letter_path))
+    return _identified(drained(spark, sf_dir).read(spark, tables.DEAD_LETTERS))
+
+
+def period_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dead letters of a period that was run twice, beside those of another one without any."""
+    lake = Lake(shared_dir(spark, "period"))
+    messages = raw_messages(spark, sf_dir)
+    for period, given in (("all", messages), ("none", messages.limit(0)), ("all", messages)):
+        process_period(spark, given, lake, period, _as_of(), _run_ts())
+    return _identified(lake.read(spark, tables.DEAD_LETTERS))
+
+
+def replayed_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze after the dead letters of the stream were replayed, twice, with their currency mended."""
+    lake = drained(spark, sf_dir)
+    for _ in range(2):
+        replay_dead_letters(
+            spark,
+            lake,
+            lambda text: F.regexp_replace(text, '"currency":"us"', '"currency":"usd"'),
+            _as_of(),
+            _run_ts(),
+        )
+    return lake.read(spark, tables.BRONZE)
+
+
+def warehouse_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hotspots as a table of the catalog, in its namespace."""
+    lake = Lake(shared_dir(spark, "named"))
+    lake.write_batch(scored_payments(spark, sf_dir), tables.BRONZE, "fixture")
+    rebuild_warehouse(spark, lake, _run_date(), _run_ts())
+    lake.define(spark, tables.COUNTRY_HOTSPOTS)
+    return spark.table(tables.COUNTRY_HOTSPOTS.full_name).select(*tables.COUNTRY_HOTSPOTS.schema.fieldNames())
+
+
+def dq_missing_attrs_failing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audit over silver with merchants of blanks alone and countries that are empty or absent."""
+    silver = silver_curated(spark, sf_dir)
+    number = F.substring("transaction_id", 5, 12).cast("bigint")
+    spoiled = silver.withColumns(
+        {
+            "merchant_id": F.when(number % 9 == 0, F.lit("\t ")).otherwise(F.col("merchant_id")),
+            "txn_country": F.when(number % 13 == 0, "").when(number % 17 != 0, F.col("txn_country")),
+        }
+    )
+    return audit_transactions(spoiled, _run_date(), _run_ts(), extras=True)
 
 
 def stream_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -394,6 +440,10 @@ CASES = {
     "stream_metrics": stream_metrics,
     "stream_chained_metrics": stream_chained_metrics,
     "stream_dead_letters": stream_dead_letters,
+    "period_dead_letters": period_dead_letters,
+    "replayed_bronze": replayed_bronze,
+    "warehouse_by_name": warehouse_by_name,
+    "dq_missing_attrs_failing": dq_missing_attrs_failing,
 }
 
 

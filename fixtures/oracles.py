@@ -111,6 +111,9 @@ accepted AS (
 )
 """
 
+# Those and the messages that only the currency keeps out.
+_MENDED = _ACCEPTED.replace("= ''", "IN ('', 'currency must be a 3-letter code')")
+
 _MINUTE = """
 bronze AS (
   SELECT *, date_trunc('minute', publish_ts) AS minute FROM payments
@@ -264,8 +267,8 @@ FROM ({failed})"""
         rows.append(
             check(
                 "missing_country_or_merchant",
-                f"SELECT count(*) AS n FROM {relation} WHERE trim(coalesce(txn_country, '')) = '' "
-                "OR trim(coalesce(merchant_id, '')) = ''",
+                rf"SELECT count(*) AS n FROM {relation} WHERE regexp_full_match(coalesce(txn_country, ''), '\s*') "
+                r"OR regexp_full_match(coalesce(merchant_id, ''), '\s*')",
                 "FAIL",
                 "Country and merchant attributes must be present.",
             )
@@ -317,4 +320,12 @@ SELECT transaction_id, {_stamp('publish_ts')}, {_errors(raw=True)} AS errors FRO
     "stream_metrics": f"{MESSAGES_MINUTE} {_metrics()}",
     "stream_chained_metrics": f"{MESSAGES_MINUTE} {_metrics()}",
     "stream_dead_letters": f"{_with(_TYPED)} {_DEAD_LETTERS}",
+    "period_dead_letters": f"{_with(_TYPED)} {_DEAD_LETTERS}",
+    "replayed_bronze": f"""{_with(_TYPED, _MENDED, _SCORED.format(source="accepted"), _MINUTE)}
+SELECT {_BRONZE_COLUMNS} FROM bronze""",
+    "warehouse_by_name": f"{TYPED_SILVER} {_HOTSPOTS}",
+    "dq_missing_attrs_failing": f"""{TYPED_SILVER}, spoiled AS (
+  SELECT * REPLACE (CASE WHEN e % 9 = 0 THEN chr(9) || ' ' ELSE merchant_id END AS merchant_id,
+                    CASE WHEN e % 13 = 0 THEN '' WHEN e % 17 <> 0 THEN txn_country END AS txn_country) FROM silver)
+{_audit('spoiled', extras=True)}""",
 }

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from paywarden.operators.dedup import earliest_per_minute
 from paywarden.operators.validate import process_messages, valid_payments
+from paywarden.sources import lake as tables
 from paywarden.sources.lake import Lake
 from paywarden.streaming.jobs import (
-    TIMESTAMP_FORMAT,
     INVALID,
     STAGED,
     VALID,
@@ -38,13 +38,6 @@ def process_period(
     staged = spark.read.schema(STAGED).parquet(staged_path)
 
     rejected = staged.filter(F.col("route") == INVALID)
-    (
-        dead_letter_records(rejected)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .option("timestampFormat", TIMESTAMP_FORMAT)
-        .partitionBy("window")
-        .json(f"{lake.dead_letter_path}-period={period}")
-    )
     valid = staged.filter(F.col("route") == VALID)
-    replace_minutes(spark, lake, valid, f"period-{period}", run_ts)
+    letters = {tables.DEAD_LETTERS: dead_letter_records(rejected)}
+    replace_minutes(spark, lake, valid, f"period-{period}", run_ts, letters)

@@ -44,6 +44,9 @@ class Table:
     per_batch: bool = False
     # Rebuilt as a whole, in one of two folders in turn.
     versioned: bool = False
+    form: str = "parquet"
+    partition_type: T.DataType = T.DateType()
+    options: tuple[tuple[str, str], ...] = ()
 
     @property
     def full_name(self) -> str:
@@ -58,7 +61,7 @@ class Table:
         """Schema with the partition columns at the end, as a directory layout keeps them."""
         data = [f for f in self.schema if f.name != self.partition]
         kept = [f for f in self.schema if f.name == self.partition]
-        keys = kept or [T.StructField(self.partition, T.DateType())]
+        keys = kept or [T.StructField(self.partition, self.partition_type)]
         if self.per_batch:
             keys = [T.StructField(BATCH, T.StringType()), T.StructField(RUN, T.StringType()), *keys]
         return T.StructType(data + keys)
@@ -126,6 +129,18 @@ COUNTRY_HOTSPOTS = Table(
     ("txn_country",),
     versioned=True,
 )
+# Rejected messages as JSON lines by five publish minutes; of the stream and of periods. Not in the catalog.
+DEAD_LETTERS = Table(
+    "",
+    "dead-letter",
+    schemas.DEAD_LETTER,
+    "window",
+    (),
+    per_batch=True,
+    form="json",
+    partition_type=T.StringType(),
+    options=(("timestampFormat", "yyyy-MM-dd'T'HH:mm:ssX"),),
+)
 TABLES = (BRONZE, ALERTS, METRICS, PANES, AUDIT, SILVER, MERCHANT_KPIS, COUNTRY_HOTSPOTS)
 
 
@@ -148,15 +163,20 @@ class Lake:
     options: Mapping[str, str] = field(default_factory=dict)
 
     def path(self, table: Table) -> str:
-        return f"{self.root.rstrip('/')}/{table.namespace}/{table.name}"
+        return "/".join(part for part in (self.root.rstrip("/"), table.namespace, table.name) if part)
 
     @property
     def staging_path(self) -> str:
         return f"{self.root.rstrip('/')}/bronze/_processed_messages"
 
+    @property
+    def replayed_path(self) -> str:
+        """Staged messages that came from dead letters."""
+        return f"{self.root.rstrip('/')}/bronze/_replayed_messages"
+
     @property
     def dead_letter_path(self) -> str:
-        return f"{self.root.rstrip('/')}/dead-letter"
+        return self.path(DEAD_LETTERS)
 
     def checkpoint_path(self, query: str) -> str:
         return f"{self.root.rstrip('/')}/_checkpoints/{query}"
@@ -191,13 +211,17 @@ class Lake:
         A rebuilt table is defined anew over the folder that now holds it; only
         its definition is dropped for that, as the files are not the catalog's.
         """
-        self.create_tables(spark)
         for table in TABLES:
-            if table.versioned:
-                spark.sql(f"DROP TABLE {table.full_name}")
-                self._define(spark, table, max(self._version(spark, table), 0))
-            if _if_written(lambda table=table: self.read(spark, table)) is not None:
-                self.recover_partitions(spark, table)
+            self.define(spark, table)
+
+    def define(self, spark: SparkSession, table: Table) -> None:
+        """Define a table by name over the folder and the partitions that hold it now."""
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {table.namespace}")
+        if table.versioned:
+            spark.sql(f"DROP TABLE IF EXISTS {table.full_name}")
+        self._define(spark, table, max(self._version(spark, table), 0))
+        if self.written(spark, table):
+            self.recover_partitions(spark, table)
 
     def recover_partitions(self, spark: SparkSession, table: Table) -> None:
         """Let the catalog see partitions that were written by path, but for runs that do not count."""
@@ -221,20 +245,21 @@ class Lake:
     def stored(self, spark: SparkSession, table: Table) -> DataFrame:
         """The table with its partition columns, without runs that do not count, no longer or not yet."""
         rows = self.all_runs(spark, table)
-        if not table.per_batch:
-            return rows
-        # Partition columns alone, so folders that do not count are not even listed for the scan.
+        return rows.where(self.counting(spark)) if table.per_batch else rows
+
+    def counting(self, spark: SparkSession) -> Column:
+        """Whether a run counts: on partition columns alone, so folders that do not are not even listed for a scan."""
         counts = ~F.col(RUN).startswith(REPLACING)
         current = self.current_runs(spark)
-        if current:
-            noted = F.concat(F.col(BATCH), F.lit("/"), F.col(RUN)).isin(*(f"{b}/{r}" for b, r in current.items()))
-            counts = (counts & ~F.col(BATCH).isin(*current)) | noted
-        return rows.where(counts)
+        if not current:
+            return counts
+        noted = F.concat(F.col(BATCH), F.lit("/"), F.col(RUN)).isin(*(f"{b}/{r}" for b, r in current.items()))
+        return (counts & ~F.col(BATCH).isin(*current)) | noted
 
     def all_runs(self, spark: SparkSession, table: Table) -> DataFrame:
         """All that is stored of a table, also what no longer counts."""
         path = self._folder(table, self._version(spark, table))
-        return spark.read.schema(table.stored_schema).parquet(path)
+        return spark.read.schema(table.stored_schema).format(table.form).load(path)
 
     def written(self, spark: SparkSession, table: Table) -> bool:
         return _if_written(lambda: self.all_runs(spark, table)) is not None
@@ -264,9 +289,11 @@ class Lake:
         named = rows.withColumns({BATCH: batch, RUN: F.lit(run_id)})
         (
             self._writer(_laid_out(named, table), table.partitions)
+            .options(**dict(table.options))
             .mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .parquet(self.path(table))
+            .format(table.form)
+            .save(self.path(table))
         )
 
     def replace_batch(self, spark: SparkSession, outputs: Mapping[Table, DataFrame], batch_id: str) -> None:
@@ -287,7 +314,7 @@ class Lake:
         """Delete runs that no longer count and were written over ``hours`` ago, so that reads of them have ended."""
         current, removed = self.current_runs(spark), 0
         latest = (time.time() - 3600 * hours) * 1000
-        for table in TABLES:
+        for table in (*TABLES, DEAD_LETTERS):
             for batch in _children(spark, self.path(table)) if table.per_batch else []:
                 run_now = current.get(unquote(batch.getPath().getName().partition("=")[2]))
                 for run in _children(spark, batch.getPath().toString()):
@@ -377,6 +404,12 @@ def _literal(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    """Make a folder unless it is there, so that a stream can read it before anything is written."""
+    place, files = _file_system(spark, path)
+    files.mkdirs(place)
+
+
 def _file_system(spark: SparkSession, path: str):
     """A path and its file system, through Hadoop's public interface."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -418,16 +451,12 @@ def _if_written(read: Callable[[], DataFrame]) -> DataFrame | None:
 
 
 def require_values(rows: DataFrame, schema: T.StructType) -> DataFrame:
-    """Fail the job on a NULL in a required column, which Parquet itself would accept."""
-    required = [f.name for f in schema if not f.nullable]
-    first, *others = required
-    complete = F.lit(True)
-    for name in required:
-        complete = complete & F.col(name).isNotNull()
-    checked = F.when(complete, F.col(first)).otherwise(
-        F.raise_error(F.lit(f"NULL in a required column of {', '.join(required)}")).cast("string")
-    )
-    return rows.withColumn(first, checked)
+    """Fail the job on a NULL in a required column, by its name, which Parquet itself would accept."""
+    first, *others = [f.name for f in schema if not f.nullable]
+    missing = F.coalesce(*(F.when(F.col(name).isNull(), name) for name in (first, *others)))
+    kind = schema[first].dataType
+    failed = F.raise_error(F.concat(F.lit("NULL in a required column: "), missing)).cast(kind)
+    return rows.withColumn(first, F.when(missing.isNull(), F.col(first)).otherwise(failed))
 
 
 def _partition_value(table: Table) -> Column:
@@ -441,7 +470,9 @@ def _laid_out(rows: DataFrame, table: Table, keys: list[str] | None = None) -> D
     splits a date that is larger than one file. The sort gives each row group
     narrow column ranges to skip on.
     """
-    dated = rows.withColumn(table.partition, _partition_value(table))
+    # Spark's Parquet tables do not keep NOT NULL, so every writer checks.
+    whole = require_values(rows, table.schema) if table.form == "parquet" else rows
+    dated = whole.withColumn(table.partition, _partition_value(table))
     return dated.hint("rebalance", table.partition).sortWithinPartitions(
         *(table.partitions if keys is None else keys), *table.cluster
     )

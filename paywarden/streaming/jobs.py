@@ -3,7 +3,8 @@
 1. ``start_processing`` parses and checks each message once and appends the
    result to a staging folder, split by route. Spark's file sink makes this
    exactly-once.
-2. ``start_dead_letters`` copies the rejected route to JSON lines.
+2. ``start_dead_letters`` copies the rejected route to JSON lines, and
+   ``replay_dead_letters`` sends them through again.
 3. ``start_publishing`` de-duplicates the valid route in state and writes
    bronze, alerts and metrics.
 4. ``start_live_metrics`` writes the metrics of each minute again whenever a
@@ -19,7 +20,7 @@ stream was cut into micro-batches. Until then they are counted as
 from __future__ import annotations
 
 import time
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Mapping
 from contextlib import contextmanager
 from datetime import date
 
@@ -34,12 +35,14 @@ from paywarden.operators.dedup import ALLOWED_LATENESS, earliest_per_minute
 from paywarden.operators.metrics import minute_metrics
 from paywarden.operators.validate import process_messages
 from paywarden.sources import lake as tables
-from paywarden.sources.lake import Lake, Table, require_values
+from paywarden.sources.lake import Lake, Table, make_folder
+from paywarden.sources.raw import replay_messages
 
 VALID = "valid"
 INVALID = "invalid"
 DEAD_LETTER_WINDOW = "5 minutes"
-TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ssX"
+# Dead letters are not part of what closing a date replaces.
+LETTERS = "letters-"
 
 STAGED = T.StructType(
     [
@@ -83,12 +86,22 @@ def start_processing(
 
 
 def read_staged(spark: SparkSession, lake: Lake, route: str, **options: str) -> DataFrame:
-    """Stream of one route of the staging folder, which must exist; files of the other are skipped."""
+    """Stream of one route of the staging folder; files of the other are skipped."""
+    make_folder(spark, lake.staging_path)
     staged = spark.readStream.schema(STAGED).options(**options).parquet(lake.staging_path)
     return staged.filter(F.col("route") == route)
 
 
-def dead_letter_records(rejected: DataFrame) -> DataFrame:
+def all_staged(spark: SparkSession, lake: Lake) -> DataFrame:
+    """All rows staged by now, from the stream and from replayed dead letters."""
+    for path in (lake.staging_path, lake.replayed_path):
+        make_folder(spark, path)
+    staged = spark.read.schema(STAGED).parquet(lake.staging_path)
+    replayed = spark.read.schema(STAGED).parquet(lake.replayed_path).select(*staged.columns)
+    return staged.unionAll(replayed)
+
+
+def dead_letter_records(rejected: DataFrame, *more: Column) -> DataFrame:
     """Dead-letter records with the folder of their five publish minutes."""
     window_start = F.window("publish_ts", DEAD_LETTER_WINDOW)["start"]
     return rejected.select(
@@ -97,6 +110,7 @@ def dead_letter_records(rejected: DataFrame) -> DataFrame:
         "errors",
         "raw_message",
         F.date_format(window_start, "yyyyMMdd-HHmm").alias("window"),
+        *more,
     )
 
 
@@ -105,20 +119,73 @@ def start_dead_letters(
 ) -> StreamingQuery:
     """Rejected messages to JSON lines.
 
-    There is no state, hence no row is too late for this output.
+    There is no state, hence no row is too late for this output. A micro-batch
+    that is run again replaces its files.
     """
+
+    def write(batch: DataFrame, number: int) -> None:
+        with _batch_planning(batch.sparkSession) as query_id:
+            day = F.coalesce(F.to_date("publish_ts").cast("string"), F.lit("unknown"))
+            letters = dead_letter_records(batch, F.concat(F.lit(LETTERS), day).alias("letters"))
+            lake.write_batch(letters, tables.DEAD_LETTERS, F.col("letters"), f"{query_id}-{number}")
+
     return (
-        dead_letter_records(read_staged(spark, lake, INVALID, **options))
-        .writeStream.format("json")
-        .partitionBy("window")
-        .option("timestampFormat", TIMESTAMP_FORMAT)
-        .option("path", lake.dead_letter_path)
+        read_staged(spark, lake, INVALID, **options)
+        .writeStream.foreachBatch(write)
         .option("checkpointLocation", lake.checkpoint_path("dead-letters"))
         .trigger(**_trigger(trigger))
         .start()
     )
 
 
+def replay_dead_letters(
+    spark: SparkSession,
+    lake: Lake,
+    repair: Callable[[Column], Column] | None = None,
+    as_of: Column | None = None,
+    run_ts: Column | None = None,
+    **options: str,
+) -> list[date]:
+    """Process the dead letters that were not replayed yet, and publish those that are valid now.
+
+    The letters are read as a stream with a checkpoint of its own, so each is
+    replayed once, however often this runs; ``repair`` changes the text of the
+    messages first. Messages that fail again stay the dead letters they are.
+    The others are staged for the minute of their first receipt, and their
+    dates, which are returned, are closed again with them. Replay letters of
+    dates that are over; ``options`` are those of the file source, such as
+    ``cleanSource``.
+    """
+    make_folder(spark, lake.dead_letter_path)
+    letters = spark.readStream.schema(tables.DEAD_LETTERS.stored_schema).options(**options).json(lake.dead_letter_path)
+    now = F.current_timestamp() if as_of is None else as_of
+    closed: list[date] = []
+
+    def publish(batch: DataFrame, number: int) -> None:
+        session = batch.sparkSession
+        messages = replay_messages(batch.where(lake.counting(session)))
+        if repair is not None:
+            messages = messages.withColumn("raw_message", repair(F.col("raw_message")))
+        valid = staged_messages(messages, now).where(F.col("route") == VALID)
+        with _batch_planning(session) as query_id:
+            path = f"{lake.replayed_path}/replay={query_id}-{number}"
+            valid.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("publish_date").parquet(path)
+            written = session.read.schema(STAGED).parquet(path).select("publish_date").distinct().dropna()
+            # A micro-batch is done when its dates are closed; if that fails, it is replayed and closed again.
+            for day in sorted(row[0] for row in written.collect()):
+                close_date(session, lake, day, run_ts)
+                closed.append(day)
+
+    (
+        letters.writeStream.foreachBatch(publish)
+        .option("checkpointLocation", lake.checkpoint_path("replay"))
+        .trigger(availableNow=True)
+        .start()
+        .awaitTermination()
+    )
+    return sorted(set(closed))
+
+
 def windowed_payments(valid: DataFrame) -> DataFrame:
     """The stateful de-duplication: rows of a minute appear once the watermark has passed it."""
     return earliest_per_minute(payment_columns(valid).withWatermark("publish_ts", ALLOWED_LATENESS))
@@ -159,16 +226,21 @@ def publish_minutes(lake: Lake, payments: DataFrame, run_id: str, run_ts: Column
 def minute_outputs(minutes: DataFrame, run_ts: Column) -> dict[Table, DataFrame]:
     """Bronze, alerts and metrics of de-duplicated payments with their ``minute``."""
     return {
-        tables.BRONZE: require_values(minutes.drop("minute"), schemas.BRONZE),
+        tables.BRONZE: minutes.drop("minute"),
         tables.ALERTS: high_risk_alerts(minutes, run_ts),
         tables.METRICS: minute_metrics(minutes, F.col("minute"), run_ts),
     }
 
 
 def replace_minutes(
-    spark: SparkSession, lake: Lake, staged: DataFrame, batch_id: str, run_ts: Column
+    spark: SparkSession,
+    lake: Lake,
+    staged: DataFrame,
+    batch_id: str,
+    run_ts: Column,
+    more: Mapping[Table, DataFrame] | None = None,
 ) -> None:
-    """Make the staged valid rows all that the batch holds of bronze, alerts and metrics.
+    """Make the staged valid rows all that the batch holds of bronze, alerts and metrics, and ``more`` beside them.
 
     The de-duplicated rows are written once and read back by each output with
     only its columns, so nothing of a long period is held by the executors.
@@ -178,7 +250,7 @@ def replace_minutes(
     with lake.scratch(spark, "minutes") as path:
         minutes.write.parquet(path)
         written = spark.read.schema(minutes.schema).parquet(path)
-        lake.replace_batch(spark, minute_outputs(written, run_ts), batch_id)
+        lake.replace_batch(spark, minute_outputs(written, run_ts) | dict(more or {}), batch_id)
 
 
 def close_date(spark: SparkSession, lake: Lake, day: date, run_ts: Column | None = None) -> None:
@@ -190,7 +262,7 @@ def close_date(spark: SparkSession, lake: Lake, day: date, run_ts: Column | None
     count. Rows staged later than this come in when the date is closed again.
     A close that fails changes nothing; of two at a time one fails.
     """
-    staged = spark.read.schema(STAGED).parquet(lake.staging_path)
+    staged = all_staged(spark, lake)
     rows = staged.filter((F.col("route") == VALID) & (F.col("publish_date") == F.lit(day)))
     now = F.current_timestamp() if run_ts is None else run_ts
     replace_minutes(spark, lake, rows, str(day), now)
@@ -198,7 +270,7 @@ def close_date(spark: SparkSession, lake: Lake, day: date, run_ts: Column | None
 
 def staged_dates(spark: SparkSession, lake: Lake) -> list[date]:
     """Publish dates that have valid rows."""
-    staged = spark.read.schema(STAGED).parquet(lake.staging_path)
+    staged = all_staged(spark, lake)
     found = staged.filter(F.col("route") == VALID).select("publish_date").distinct().dropna()
     return sorted(row[0] for row in found.collect())
 
@@ -246,7 +318,7 @@ def refresh_panes(
     if first is None:
         return
     end = F.lit(last) + F.expr("interval 1 minute")
-    staged = spark.read.schema(STAGED).parquet(lake.staging_path).where(
+    staged = all_staged(spark, lake).where(
         (F.col("route") == VALID)
         & F.col("publish_date").between(F.to_date(F.lit(first)), F.to_date(F.lit(last)))
         & (F.col("publish_ts") >= F.lit(first))

@@ -19,6 +19,8 @@ from paywarden.streaming.jobs import (
     drain,
     live_metrics,
     read_staged,
+    replay_dead_letters,
+    start_dead_letters,
     start_live_metrics,
     start_processing,
     start_publishing,
@@ -55,8 +57,9 @@ def test_the_stream_gives_what_the_batch_gives(spark, tmp_path):
     for table in (tables.BRONZE, tables.ALERTS, tables.METRICS):
         found = rows_of(stream.read(spark, table))
         assert found and found == rows_of(batch.read(spark, table))
-    letters = rows_of(read_dead_letters(spark, stream.dead_letter_path))
-    assert letters == rows_of(read_dead_letters(spark, f"{batch.dead_letter_path}-period=0"))
+    letters = rows_of(stream.read(spark, tables.DEAD_LETTERS))
+    assert letters == rows_of(batch.read(spark, tables.DEAD_LETTERS))
+    assert letters == rows_of(read_dead_letters(spark, stream.dead_letter_path))
     assert len(letters) == 240
 
     line = next(Path(stream.dead_letter_path).rglob("*.json")).read_text().splitlines()[0]
@@ -260,6 +263,42 @@ def test_live_metrics_take_in_rows_of_any_lateness(spark, tmp_path):
     assert run() == [(10, "FR", 1, 4.0), (10, "GB", 1, 3.0), (12, "GB", 1, 2.0)]
 
 
+def test_letters_of_stream_and_periods_are_replayed_once(spark, tmp_path):
+    source, lake = tmp_path / "in", Lake(str(tmp_path / "lake"))
+    put(spark, source, [event(), event(transaction_id="b", currency="us"), event(transaction_id="c", amount=-1)], "2024-05-01T10:02:00")
+    drain(spark, stream_from_files(spark, str(source)), lake, AS_OF, run_ts())
+    raw = messages(spark, [event(transaction_id="p", currency="us")], "2024-05-02T09:00:00").drop("n")
+    for _ in range(2):
+        process_period(spark, raw, lake, "7", AS_OF, run_ts())
+    assert lake.read(spark, tables.DEAD_LETTERS).count() == 3
+
+    def mended(text):
+        return F.regexp_replace(text, '"currency": "us"', '"currency": "usd"')
+
+    found = [replay_dead_letters(spark, lake, mended, F.col("publish_ts"), run_ts()) for _ in range(2)]
+    assert [[str(day) for day in days] for days in found] == [["2024-05-01", "2024-05-02"], []]
+    assert sorted(r.transaction_id for r in lake.read(spark, tables.BRONZE).collect()) == ["P-7f3a", "b", "p"]
+    assert lake.read(spark, tables.DEAD_LETTERS).count() == 3
+
+
+def test_all_outputs_start_on_an_empty_lake(spark, tmp_path):
+    source, lake = tmp_path / "in", Lake(str(tmp_path / "lake"))
+    source.mkdir()
+    for _ in range(2):
+        queries = [
+            start_publishing(spark, lake, run_ts(), ONCE),
+            start_dead_letters(spark, lake, ONCE),
+            start_live_metrics(spark, lake, run_ts(), ONCE),
+            start_processing(stream_from_files(spark, str(source)), lake, AS_OF, ONCE),
+        ]
+        for query in queries:
+            query.awaitTermination()
+        put(spark, source, [event(), event(amount=0)], "2024-05-01T10:02:00")
+    start_live_metrics(spark, lake, run_ts(), ONCE).awaitTermination()
+    start_dead_letters(spark, lake, ONCE).awaitTermination()
+    assert live_metrics(spark, lake).count() == 1 and lake.read(spark, tables.DEAD_LETTERS).count() == 1
+
+
 def test_a_shorter_run_of_a_period_leaves_nothing_of_the_longer_one(spark, tmp_path):
     lake = Lake(str(tmp_path))
     both = messages(
@@ -282,7 +321,7 @@ def test_a_period_run_again_is_there_once(spark, tmp_path):
         process_period(spark, raw, lake, "7", AS_OF, run_ts())
     assert lake.read(spark, tables.BRONZE).count() == 1
     assert lake.read(spark, tables.METRICS).count() == 1
-    assert read_dead_letters(spark, f"{lake.dead_letter_path}-period=7").count() == 1
+    assert lake.read(spark, tables.DEAD_LETTERS).count() == 1
 
 
 def test_the_lazy_batch_form_equals_the_written_one(spark, tmp_path):

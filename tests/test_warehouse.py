@@ -214,6 +214,20 @@ def test_catalog_tables_see_written_partitions(spark, tmp_path):
         spark.sql(f"DROP DATABASE {namespace} CASCADE")
 
 
+def test_every_writer_names_the_column_that_lacks_a_value(spark, tmp_path):
+    lake = Lake(str(tmp_path))
+    silver = curate_transactions(scored_payments(spark, SMALL))
+    torn = silver.withColumn("merchant_id", F.lit(None).cast("string"))
+    for write in (
+        lambda: lake.replace(torn, tables.SILVER),
+        lambda: lake.append(spark.createDataFrame([], AUDIT).unionAll(spark.sql("SELECT date'2024-05-01', null, 'PASS', 0L, '', timestamp'2024-05-01 00:00:00'")), tables.AUDIT),
+    ):
+        with pytest.raises(Exception, match="NULL in a required column: (merchant_id|check_name)"):
+            write()
+    with pytest.raises(Exception, match="NULL in a required column: city"):
+        lake.write_batch(scored_payments(spark, SMALL).withColumn("city", F.lit(None).cast("string")), tables.BRONZE, "a")
+
+
 def files_of(lake, table, day):
     return {str(f) for f in Path(lake.path(table)).rglob(f"*={day}/*.parquet")}
 

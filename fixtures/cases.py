@@ -14,7 +14,7 @@ from paywarden.operators.kpis import country_fraud_hotspots, merchant_hourly_kpi
 from paywarden.operators.metrics import minute_metrics
 from paywarden.operators.normalize import normalize_payments
 from paywarden.operators.parse import parse_messages
-from paywarden.operators.quality import audit_transactions
+from paywarden.operators.quality import audit_observed, audit_transactions, observed_checks
 from paywarden.operators.validate import (
     dead_letters,
     process_messages,
@@ -24,7 +24,7 @@ from paywarden.operators.validate import (
 from paywarden.plans.batch import deduplicated_payments, process_period
 from paywarden.plans.incremental import refresh_changed
 from paywarden.plans.warehouse import rebuild_warehouse
-from paywarden.schemas import BRONZE
+from paywarden.schemas import BRONZE, SILVER
 from paywarden.session import configure, shared_dir
 from paywarden.sources import lake as tables
 from paywarden.sources.lake import Lake
@@ -364,6 +364,19 @@ def warehouse_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(tables.COUNTRY_HOTSPOTS.full_name).select(*tables.COUNTRY_HOTSPOTS.schema.fieldNames())
 
 
+def observed_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audit of rows with repeated ids, from checks that were taken while they were written as silver."""
+    lake = Lake(shared_dir(spark, "observed"))
+    rows = _as_silver(scored_payments(spark, sf_dir))
+    observed = lake.replace(rows, tables.SILVER, observed_checks())
+    return audit_observed(lake.read(spark, tables.SILVER), observed, _run_date(), _run_ts())
+
+
+def _as_silver(rows: DataFrame) -> DataFrame:
+    flags = {name: F.lit(False) for name in ("is_cross_border", "is_declined", "requires_manual_review")}
+    return rows.withColumns(flags).select(*SILVER.fieldNames())
+
+
 def dq_missing_attrs_failing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The audit over silver with merchants of blanks alone and countries that are empty or absent."""
     silver = silver_curated(spark, sf_dir)
@@ -444,6 +457,7 @@ CASES = {
     "replayed_bronze": replayed_bronze,
     "warehouse_by_name": warehouse_by_name,
     "dq_missing_attrs_failing": dq_missing_attrs_failing,
+    "observed_audit": observed_audit,
 }
 
 

@@ -324,6 +324,7 @@ SELECT transaction_id, {_stamp('publish_ts')}, {_errors(raw=True)} AS errors FRO
     "replayed_bronze": f"""{_with(_TYPED, _MENDED, _SCORED.format(source="accepted"), _MINUTE)}
 SELECT {_BRONZE_COLUMNS} FROM bronze""",
     "warehouse_by_name": f"{TYPED_SILVER} {_HOTSPOTS}",
+    "observed_audit": f"{TYPED_SILVER} {_audit('payments')}",
     "dq_missing_attrs_failing": f"""{TYPED_SILVER}, spoiled AS (
   SELECT * REPLACE (CASE WHEN e % 9 = 0 THEN chr(9) || ' ' ELSE merchant_id END AS merchant_id,
                     CASE WHEN e % 13 = 0 THEN '' WHEN e % 17 <> 0 THEN txn_country END AS txn_country) FROM silver)

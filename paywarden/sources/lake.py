@@ -13,7 +13,7 @@ from urllib.parse import quote, unquote
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -67,6 +67,12 @@ class Table:
         return T.StructType(data + keys)
 
 
+# Ids are spread over all files, so only a filter in each row group tells that it lacks one.
+ID_FILTERS = (
+    ("parquet.bloom.filter.enabled#transaction_id", "true"),
+    ("parquet.bloom.filter.adaptive.enabled", "true"),
+)
+
 BRONZE = Table(
     "bronze",
     "payment_transactions",
@@ -74,6 +80,7 @@ BRONZE = Table(
     "transaction_date",
     ("risk_level", "txn_country", "merchant_category"),
     per_batch=True,
+    options=ID_FILTERS,
 )
 ALERTS = Table(
     "ops",
@@ -111,6 +118,7 @@ SILVER = Table(
     "transaction_date",
     ("risk_level", "txn_country", "merchant_category"),
     versioned=True,
+    options=ID_FILTERS,
 )
 MERCHANT_KPIS = Table(
     "gold",
@@ -264,18 +272,28 @@ class Lake:
     def written(self, spark: SparkSession, table: Table) -> bool:
         return _if_written(lambda: self.all_runs(spark, table)) is not None
 
-    def replace(self, rows: DataFrame, table: Table) -> None:
+    def replace(
+        self, rows: DataFrame, table: Table, seen: Mapping[str, Column] | None = None
+    ) -> dict[str, int]:
         """Rebuild the whole table; until its files are complete, readers get the old one.
 
         The rows go to the folder that is not in use, and the version is noted
-        afterwards. A rebuild that fails leaves the old version noted.
+        afterwards. A rebuild that fails leaves the old version noted. The
+        aggregates of ``seen`` are taken from the rows as they are written and
+        returned: in the last stage, of which each task counts once, however
+        often it or an earlier one is repeated.
         """
         spark = rows.sparkSession
         version = self._version(spark, table) + 1
-        self._overwrite(_laid_out(rows, table), table.partitions, self._folder(table, version))
+        laid = _laid_out(rows, table)
+        observation = Observation() if seen else None
+        if observation:
+            laid = laid.observe(observation, *(column.alias(name) for name, column in seen.items()))
+        self._overwrite(laid, table.partitions, self._folder(table, version), options=dict(table.options))
         # Two notes in turn: while one is overwritten the other one holds.
         note = spark.range(1).select(F.lit(version).cast("long").alias("version"))
         self._overwrite(note, [], f"{self._notes(table)}/slot={version % 2}", "json")
+        return observation.get if observation else {}
 
     def append(self, rows: DataFrame, table: Table) -> None:
         """Add rows."""
@@ -331,6 +349,7 @@ class Lake:
         laid = _laid_out(rows, table)
         (
             self._writer(laid, table.partitions)
+            .options(**dict(table.options))
             .mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .parquet(folder)
@@ -385,10 +404,12 @@ class Lake:
             f"PARTITIONED BY ({', '.join(table.partitions)}) LOCATION '{location}'"
         )
 
-    def _overwrite(self, rows: DataFrame, keys: list[str], folder: str, form: str = "parquet") -> None:
+    def _overwrite(
+        self, rows: DataFrame, keys: list[str], folder: str, form: str = "parquet", options: Mapping[str, str] | None = None
+    ) -> None:
         # Static, whatever the session says: nothing of the old folder may stay.
         writer = self._writer(rows, keys).mode("overwrite").option("partitionOverwriteMode", "static")
-        writer.format(form).save(folder)
+        writer.options(**(options or {})).format(form).save(folder)
 
     def _writer(self, rows: DataFrame, keys: list[str]):
         writer = rows.write.options(**self.options)

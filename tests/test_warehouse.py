@@ -9,7 +9,7 @@ from fixtures.cases import scored_payments
 from paywarden.operators.curate import curate_transactions
 from paywarden.operators.dedup import earliest_per_minute, latest_per_id
 from paywarden.operators.kpis import country_fraud_hotspots, merchant_hourly_kpis
-from paywarden.operators.quality import audit_transactions
+from paywarden.operators.quality import audit_observed, audit_transactions, observed_checks
 from paywarden.operators.validate import process_messages, valid_payments
 from paywarden.plans.incremental import refresh_changed
 from paywarden.plans.warehouse import rebuild_warehouse
@@ -228,6 +228,44 @@ def test_every_writer_names_the_column_that_lacks_a_value(spark, tmp_path):
         lake.write_batch(scored_payments(spark, SMALL).withColumn("city", F.lit(None).cast("string")), tables.BRONZE, "a")
 
 
+def test_checks_observed_during_the_write_equal_the_audit(spark, tmp_path):
+    lake = Lake(str(tmp_path))
+    rows = curate_transactions(scored_payments(spark, SMALL))
+    amount = F.when(F.col("amount") > 900, -1.0).otherwise(F.col("amount"))
+    bad = rows.withColumns({"amount": amount, "merchant_id": F.when(F.col("risk_score") > 60, "\t").otherwise(F.col("merchant_id"))})
+    run = (F.lit("2024-05-02").cast("date"), F.lit("2024-05-02 01:00:00").cast("timestamp"))
+    observed = lake.replace(bad, tables.SILVER, observed_checks(extras=True))
+    silver = lake.read(spark, tables.SILVER)
+    found = audit_observed(silver, observed, *run, extras=True)
+    assert sorted(map(str, found.collect())) == sorted(map(str, audit_transactions(silver, *run, extras=True).collect()))
+    assert observed["negative_transaction_amount"] > 0 and observed["missing_country_or_merchant"] > 0
+    # Only the ids are read again.
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<transaction_id:string>" in plan
+
+
+def rows_scanned(frame):
+    """Rows that the scans of a finished query passed on."""
+    frame.collect()
+    leaves = frame._jdf.queryExecution().executedPlan().collectLeaves()
+    plans = [leaves.apply(i) for i in range(leaves.size())]
+    stages = [p.plan() if "QueryStage" in p.nodeName() else p for p in plans]
+    return sum(p.metrics().apply("numOutputRows").value() for p in stages)
+
+
+def test_absent_ids_read_no_row_group(spark, tmp_path):
+    lake = Lake(str(tmp_path), {"parquet.block.size": "65536", "parquet.enable.dictionary": "false", "parquet.page.size": "8192"})
+    many = scored_payments(spark, SMALL).drop("publish_ts").withColumn("n", F.explode(F.sequence(F.lit(0), F.lit(19))))
+    rows = many.withColumn("transaction_id", F.concat(F.md5(F.concat("transaction_id", "n"))))
+    lake.write_batch(rows.drop("n"), tables.BRONZE, "a")
+    bronze = lake.read(spark, tables.BRONZE)
+    known = bronze.first().transaction_id
+    absent = [f"{known[:4]}{n:028d}" for n in range(40)]
+    total = bronze.count()
+    assert rows_scanned(bronze.where(F.col("transaction_id") == known)) < total
+    assert sum(rows_scanned(bronze.where(F.col("transaction_id") == i)) for i in absent) < 2 * total
+
+
 def files_of(lake, table, day):
     return {str(f) for f in Path(lake.path(table)).rglob(f"*={day}/*.parquet")}
 

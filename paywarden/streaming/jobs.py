@@ -126,8 +126,8 @@ def start_dead_letters(
     def write(batch: DataFrame, number: int) -> None:
         with _batch_planning(batch.sparkSession) as query_id:
             day = F.coalesce(F.to_date("publish_ts").cast("string"), F.lit("unknown"))
-            letters = dead_letter_records(batch, F.concat(F.lit(LETTERS), day).alias("letters"))
-            lake.write_batch(letters, tables.DEAD_LETTERS, F.col("letters"), f"{query_id}-{number}")
+            letters = dead_letter_records(batch, F.concat(F.lit(LETTERS), day).alias(tables.BATCH))
+            lake.write_batch(letters, tables.DEAD_LETTERS, F.col(tables.BATCH), f"{query_id}-{number}")
 
     return (
         read_staged(spark, lake, INVALID, **options)

@@ -61,7 +61,7 @@ def same_rows(frame, connection, sql):
 
 @pytest.mark.parametrize("name", sorted(oracles.ORACLES))
 def test_queries_equal_their_sql(spark, name):
-    tables = {t: pa.table(spark.read.parquet(f"{SMALL}/{t}.parquet").toArrow()) for t in ("documents", "pages")}
+    tables = {t: pa.table(spark.read.parquet(f"{SMALL}/{t}.parquet").toArrow()) for t in ("documents", "pages", "benchmark")}
     same_rows(queries.QUERIES[name](spark, SMALL), duck(tables), oracles.ORACLES[name])
 
 

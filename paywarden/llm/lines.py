@@ -36,15 +36,19 @@ def with_line_hashes(rows: DataFrame, text: str) -> DataFrame:
     return listed.withColumn("hashes", F.transform("lines", hashed)).withColumn("text_hash", F.xxhash64(text))
 
 
+def different_lines(hashes: str) -> Column:
+    """The hashes of the lines that are not blank, each once."""
+    return F.array_distinct(F.filter(hashes, lambda h: h.isNotNull()))
+
+
 def rows_per_line(rows: DataFrame, group: str) -> DataFrame:
     """``group``, ``hash`` and ``n``: the rows of the group that hold the line.
 
     A row counts once for each different line. The counts are combined before
     the shuffle, so a line that most rows share costs one row per task.
     """
-    distinct = F.array_distinct(F.filter("hashes", lambda h: h.isNotNull()))
     return (
-        rows.select(group, F.explode(distinct).alias("hash"))
+        rows.select(group, F.explode(different_lines("hashes")).alias("hash"))
         .groupBy(group, "hash")
         .agg(F.count(F.lit(1)).alias("n"))
     )

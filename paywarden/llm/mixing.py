@@ -8,9 +8,9 @@ Sources are ordered by code point with null last and weigh 5, 2, 1, repeating.
 Together they get as many words as there are; a target stops at three times
 its source's words and the excess goes to the others by weight.
 
-Nulls: a null text has no words, a null source is a source of its own, a null
-id is hashed like the text ``\\N``. Repeated rows are decided alike, as the
-number depends on the id alone. A source without words has the target 0 and
+Nulls: a null text has no words, a null source is a source of its own, a row
+with a null id is drawn by its text. Repeated rows are decided alike, as the
+number depends on the id, or else the text, alone. A source without words has the target 0 and
 its documents are not taken. An empty table gives an empty result. Other columns are kept;
 input columns named like a result column are replaced.
 """
@@ -33,9 +33,10 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")
 
 
-def uniform(key: Column, seed: str = SEED) -> Column:
-    """A number in [0, 1) decided by seed and key."""
-    text = F.concat(F.lit(f"{seed}:"), F.coalesce(key.cast("string"), F.lit("\\N")))
+def uniform(key: Column, text: Column, seed: str = SEED) -> Column:
+    """A number in [0, 1) decided by seed and key, or the text where the key is null."""
+    unnamed = F.concat(F.lit("\\N:"), F.md5(F.coalesce(text, F.lit(""))))
+    text = F.concat(F.lit(f"{seed}:"), F.coalesce(key.cast("string"), unnamed))
     return hex_number(text, UNIFORM_DIGITS) / F.lit(float(16**UNIFORM_DIGITS))
 
 
@@ -79,7 +80,7 @@ def plan_mix(docs: DataFrame, seed: str = SEED) -> DataFrame:
     clear = sized.drop("source_size", "target", "copies", "_source")
     joined = clear.join(targets, F.col("source").eqNullSafe(F.col("_source")), "left").drop("_source")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    more = (uniform(F.col("doc_id"), seed) < rate - F.floor(rate)).cast("bigint")
+    more = (uniform(F.col("doc_id"), F.col("text"), seed) < rate - F.floor(rate)).cast("bigint")
     return joined.withColumn("copies", F.when(F.col("size") > 0, F.floor(rate) + more).otherwise(F.lit(0).cast("bigint")))
 
 

@@ -17,15 +17,16 @@ def _normalised(line: str) -> str:
 OP4 = rf"""
 WITH docs AS (
   SELECT row_number() OVER () AS id, doc_id, source, text, coalesce(text, '') AS t,
-         regexp_extract_all(coalesce(text, ''), '{WORD}') AS words
+         regexp_extract_all(coalesce(text, ''), '{WORD}') AS words,
+         coalesce('id ' || doc_id, 'text ' || text) AS document
   FROM documents
 ), lines AS (
-  SELECT id, source, pos, line, {_normalised('line')} AS norm
-  FROM (SELECT id, source, unnest(string_split(t, chr(10))) AS line,
+  SELECT id, document, source, pos, line, {_normalised('line')} AS norm
+  FROM (SELECT id, document, source, unnest(string_split(t, chr(10))) AS line,
                generate_subscripts(string_split(t, chr(10)), 1) AS pos FROM docs WHERE text IS NOT NULL)
 ), frequent AS (
   SELECT source, norm FROM lines WHERE norm <> '' GROUP BY source, norm
-  HAVING count(DISTINCT id) > {quality_rules.MAX_DOCUMENTS}
+  HAVING count(DISTINCT document) > {quality_rules.MAX_DOCUMENTS}
 ), gone AS (
   SELECT id, count(*) AS n_removed_lines, sum(len(regexp_extract_all(line, '{WORD}'))) AS gone_words
   FROM lines l JOIN frequent f ON l.norm = f.norm AND l.source IS NOT DISTINCT FROM f.source GROUP BY id
@@ -175,7 +176,7 @@ FROM summed JOIN placed USING (id)
 _MIX = f"""
 sized AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{WORD}')) AS size,
-         ('0x' || substr(md5('{mixing.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '\\N')), 1, 13))::BIGINT
+         ('0x' || substr(md5('{mixing.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '\\N:' || md5(coalesce(text, '')))), 1, 13))::BIGINT
            / 4503599627370496.0::DOUBLE AS u
   FROM docs
 ), ranked AS (

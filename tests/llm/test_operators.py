@@ -273,6 +273,19 @@ def test_frequent_lines_deplete_documents(spark):
     assert judged[10] == (0, 60, False, True)  # another host
 
 
+def test_a_repeated_document_counts_once_for_its_lines(spark, tmp_path):
+    lines = "\n".join(" ".join(f"r{k}x{i}" for i in range(15)) for k in range(6))
+    shared = " ".join(f"s{i}" for i in range(60))
+    rows = [(1, lines, "h")] * 120 + [(None, lines + "\nend", "h")] * 120
+    rows += [(1000 + n, f"{shared}\n" + " ".join(f"o{n}x{i}" for i in range(70)), "h") for n in range(101)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    judged = judge_documents(docs).select("doc_id", "n_removed_lines", "kept").distinct()
+    found = {r["doc_id"]: (r["n_removed_lines"], r["kept"]) for r in judged.collect()}
+    assert found[1] == (0, True) and found[None] == (0, True) and found[1000] == (1, True)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    same_rows(queries.QUERIES["op4_quality_rules"](spark, str(tmp_path)), duck({"documents": docs.toArrow()}), oracles.ORACLES["op4_quality_rules"])
+
+
 def test_boilerplate_is_relative_to_the_host(spark):
     rows = [(n, "a.com", f"menu\nbody {n}\n\nmenu") for n in range(10)] + [(20, "b.com", "menu\nx"), (21, None, None)]
     frame = spark.createDataFrame(rows, "page_id long, host string, text string")
@@ -455,6 +468,13 @@ def test_mix_reaches_capped_targets(spark):
     assert mixing.emit_mix(docs).count() * 10 == sum(taken.values())
 
 
+def test_rows_without_an_id_are_drawn_each_by_its_text(spark):
+    rows = [(None, f"w{n} " * 10, source) for n, source in enumerate(["a"] * 200 + [None] * 400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    planned = mixing.plan_mix(docs).groupBy("source").agg(F.first("target").alias("t"), F.sum(F.col("size") * F.col("copies")).alias("taken"))
+    assert all(abs(r["taken"] - r["t"]) <= 0.1 * r["t"] for r in planned.collect())
+
+
 # 9 Jaccard join
 
 

@@ -5,7 +5,8 @@ so two runs that differ only in ignored words have the same hash. The hashes of
 all runs of the benchmark under each mask are looked up for all runs of the
 training texts. Around a hit, text and item are laid over each other: a window
 of ``MIN_OVERLAP`` words (the whole item if it is shorter) of which
-``MIN_MATCHED`` match is an overlap, and overlapping windows are one. The masks
+``MIN_MATCHED`` match is an overlap; windows that overlap are one, and windows
+apart on one alignment are overlaps of their own. The masks
 hit every window of ``MIN_OVERLAP`` words with up to two substitutions, which
 is as many as the share allows.
 
@@ -15,11 +16,15 @@ Words are runs of letters and digits, A-Z in lower case. Items of fewer than
 ignore every set of words that the share allows to differ.
 
 The benchmark is taken in blocks of ``BLOCK_WORDS`` words, each sent to all
-tasks; texts are never shuffled, however many share a passage.
+tasks; texts are never shuffled, however many share a passage. Of several
+blocks one is held at a time, and what it leaves is written. Common seeds are
+listed ``HIT_PAIRS`` at a time and only their alignments kept, so repetitive
+texts and items take bounded memory.
 
 Nulls: a null text has no words and stays; a null item text is left out, a null item id is kept.
 Repeated rows and items are treated alike. An empty benchmark leaves all
-texts. An empty table gives an empty result. Other columns are kept.
+texts. An empty table gives an empty result. Other columns are kept; input
+columns named like a result column are replaced.
 """
 
 from __future__ import annotations
@@ -32,8 +37,9 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, LongType
 
+from paywarden.llm.storage import saved
 from paywarden.llm.text_arrays import FOLDED, NOT_ALNUM, Words, mixed, slices, words_in
 
 MASKS = ("111111", "1101100011", "11010010011", "10110010101")
@@ -42,6 +48,7 @@ MIN_ITEM = 5
 MIN_MATCHED = 0.8
 BLOCK_WORDS = 2_000_000
 MASK_GROUPS = 5
+HIT_PAIRS = 1 << 20
 
 
 def mask_positions(mask: str) -> list[int]:
@@ -106,38 +113,52 @@ class Block:
         block.__dict__.update(state)
         return block
 
-    def hits(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
-        """Word of the text and word of the benchmark at the start of every common seed."""
-        ours, theirs = [], []
+    def alignments(self, words: Words) -> np.ndarray:
+        """Rows of text, item and shift (word of the text less word of the benchmark) with a common seed."""
+        found = [np.empty((0, 3), np.int64)]
+        held = 0
         for number, mask in enumerate(self.masks):
             hashes, at = seeds(words, mask)
             maybe = np.flatnonzero(self.bits[(hashes >> np.uint64(42)).astype(np.int64)])
             hashes, at = hashes[maybe], at[maybe]
             low, high = np.searchsorted(self.hashes, hashes, "left"), np.searchsorted(self.hashes, hashes, "right")
-            each = high - low
-            place = np.repeat(low - np.concatenate([[0], np.cumsum(each)[:-1]]), each) + np.arange(each.sum())
-            same = self.number[place] == number
-            ours.append(np.repeat(at, each)[same])
-            theirs.append(self.at[place][same])
-        return np.concatenate(ours), np.concatenate(theirs)
+            some = np.flatnonzero(high > low)
+            at, low, total = at[some], low[some], np.concatenate([[0], np.cumsum(high[some] - low[some])])
+            first = 0
+            while first < len(at):
+                end = max(int(np.searchsorted(total, total[first] + HIT_PAIRS, "right")) - 1, first + 1)
+                each = np.diff(total[first : end + 1])
+                place = np.arange(total[first], total[end]) + np.repeat(low[first:end] - total[first:end], each)
+                same = self.number[place] == number
+                ours, place = np.repeat(at[first:end], each)[same], place[same]
+                found.append(self.aligned(words, ours, self.at[place]))
+                held += len(found[-1])
+                if held > HIT_PAIRS:
+                    found = [np.unique(np.concatenate(found), axis=0)]
+                    held = 0
+                first = end
+        return np.unique(np.concatenate(found), axis=0)
+
+    def aligned(self, words: Words, ours: np.ndarray, theirs: np.ndarray) -> np.ndarray:
+        """Text, item and shift of the seeds that start at these words, those of one alignment once."""
+        shift = ours - theirs
+        order = np.lexsort((ours, shift))
+        rows = np.stack([words.owner[ours], self.owner[theirs], shift], 1)[order]
+        return rows[np.concatenate([[True], (np.diff(rows, axis=0) != 0).any(1)])] if len(rows) else rows
 
     def overlaps(self, words: Words) -> Iterator[tuple[int, int | None, int, int]]:
-        """Text, item, first word and word count of each verified overlap, one per alignment."""
-        ours, theirs = self.hits(words)
-        if not len(ours):
-            return
-        owner = words.owner[ours]
-        item = self.owner[theirs]
-        shift = ours - theirs  # one alignment of a text and an item has one shift
-        for text, which, by in np.unique(np.stack([owner, item, shift], 1), axis=0):
+        """Text, item, first word and word count of each verified overlap."""
+        for text, which, by in self.alignments(words):
             first = max(words.first[text], self.first[which] + by)
             end = min(words.first[text + 1], self.first[which + 1] + by)
             same = words.hashes[first:end] == self.words[first - by : end - by]
             window = int(min(MIN_OVERLAP, self.first[which + 1] - self.first[which]))
             starts = matched_windows(same, window)
-            if len(starts):
-                start, stop = int(starts[0]), int(starts[-1]) + window
-                yield int(text), self.ids[which], int(first + start - words.first[text]), stop - start
+            if not len(starts):
+                continue
+            apart = np.flatnonzero(np.diff(starts) >= window)
+            for start, last in zip(starts[np.concatenate([[0], apart + 1])], starts[np.concatenate([apart, [-1]])]):
+                yield int(text), self.ids[which], int(first + start - words.first[text]), int(last + window - start)
 
 
 def matched_windows(same: np.ndarray, window: int) -> np.ndarray:
@@ -165,46 +186,51 @@ def benchmark_blocks(benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> It
 FOUND = ("items", "starts", "lengths")
 
 
-def with_overlaps(docs: DataFrame, block: Block) -> DataFrame:
-    """``docs`` with ``items``, ``starts`` and ``lengths`` of each row's overlaps with the block."""
-    shared = docs.sparkSession.sparkContext.broadcast(vars(block))
-    given = docs.drop(*FOUND)
+def with_overlaps(found: DataFrame, shared: Broadcast) -> DataFrame:
+    """``found`` with the overlaps of each row with the block added to its ``items``, ``starts`` and ``lengths``."""
+    others = [name for name in found.columns if name not in FOUND]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = Block.of(shared.value)
         for batch in batches:
-            lists: tuple[list, ...] = tuple([[] for _ in range(batch.num_rows)] for _ in FOUND)
+            lists = [batch.column(name).to_pylist() for name in FOUND]
             for first, _, data, offsets in slices(batch.column("text")):
                 words = words_in(data, offsets, NOT_ALNUM, FOLDED)
                 for text, *overlap in held.overlaps(words):
                     for column, value in zip(lists, overlap):
                         column[first + text].append(value)
             arrays = [pa.array(column, pa.list_(pa.int64())) for column in lists]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *arrays], [*batch.schema.names, *FOUND])
+            kept = [batch.column(name) for name in others]
+            yield pa.RecordBatch.from_arrays([*kept, *arrays], [*others, *FOUND])
 
-    extra = [StructField(name, ArrayType(LongType())) for name in FOUND]
-    return given.mapInArrow(scan, StructType([*given.schema.fields, *extra]))
+    quoted = [f"`{name}`" for name in (*others, *FOUND)]
+    return found.mapInArrow(scan, found.select(*quoted).schema)
+
+
+def through_blocks(docs: DataFrame, benchmark: DataFrame, block_words: int, step) -> DataFrame:
+    """``step`` of ``docs`` and every block in turn; what a block leaves is written before the next is read."""
+    shared = None
+    for block in benchmark_blocks(benchmark, block_words):
+        if shared is not None:
+            docs = saved(docs, "decontamination")
+            shared.destroy()
+        shared = docs.sparkSession.sparkContext.broadcast(vars(block))
+        docs = step(docs, shared)
+    return docs
 
 
 def find_overlaps(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     """``docs`` with ``items``, ``starts`` and ``lengths`` of each row's overlaps with all items."""
-    found = docs.drop(*FOUND)
-    none = F.array().cast("array<bigint>")
-    for column in FOUND:
-        found = found.withColumn(f"_{column}", none)
-    for block in benchmark_blocks(benchmark, block_words):
-        found = with_overlaps(found, block)
-        for column in FOUND:
-            found = found.withColumn(f"_{column}", F.concat(f"_{column}", column))
-        found = found.drop(*FOUND)
-    return found.withColumnsRenamed({f"_{column}": column for column in FOUND})
+    none = F.array().cast(ArrayType(LongType()))
+    found = docs.drop(*FOUND).withColumns({column: none for column in FOUND})
+    return through_blocks(found, benchmark, block_words, with_overlaps)
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     """The rows of ``docs`` without any overlap, with the columns of ``docs``."""
-    for block in benchmark_blocks(benchmark, block_words):
-        docs = docs.mapInArrow(clean_rows(docs.sparkSession.sparkContext.broadcast(vars(block))), docs.schema)
-    return docs
+    return through_blocks(
+        docs, benchmark, block_words, lambda rows, shared: rows.mapInArrow(clean_rows(shared), rows.schema)
+    )
 
 
 def clean_rows(shared: Broadcast):

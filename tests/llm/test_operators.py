@@ -604,6 +604,57 @@ def test_overlaps_equal_brute_force(spark):
     assert kept == {n for n, found in expected.items() if not found}
 
 
+def brute_spans(text, items):
+    """Item, start and length of the overlaps of each alignment, by all windows."""
+    words, found = re.findall(r"[a-z0-9]+", text.lower()), []
+    for item_id, item in items:
+        theirs = re.findall(r"[a-z0-9]+", item.lower())
+        size = min(len(theirs), 13)
+        for shift in range(-len(theirs) + 1, len(words)) if len(theirs) >= 5 else ():
+            open_ = None
+            for k in range(max(shift, 0), min(len(words), len(theirs) + shift) - size + 1):
+                if sum(a == b for a, b in zip(words[k : k + size], theirs[k - shift :])) >= 0.8 * size:
+                    if open_ and k < open_[1]:
+                        open_[1] = k + size
+                    else:
+                        open_ = [k, k + size]
+                        found.append((item_id, open_))
+    return sorted((item_id, start, end - start) for item_id, (start, end) in found)
+
+
+def test_spans_equal_brute_force_and_split_at_gaps(spark):
+    rng = random.Random(17)
+    items = [(n, " ".join(f"v{rng.randrange(60)}" for _ in range(5 + 3 * n))) for n in range(20)] + [(99, "same " * 40)]
+    rows = []
+    for n in range(120):
+        words = items[n % 20][1].split()
+        gap = rng.randrange(0, 40)
+        changed = range(15, 15 + gap)
+        rows.append((n, " ".join(f"z{i}" if i in changed else w for i, w in enumerate(["a", "b"] + words))))
+    rows.append((500, "same " * 60))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    for block_words in (decontamination.BLOCK_WORDS, 200):
+        got = by_id(decontamination.find_overlaps(docs, benchmark, block_words).collect(), "items", "starts", "lengths")
+        for n, text in rows:
+            assert sorted(zip(*got[n])) == brute_spans(text, items), n
+    assert any(len(set(zip(items, starts))) > len(set(items)) for items, starts, _ in got.values())
+
+
+def test_equal_words_take_bounded_memory(monkeypatch):
+    import tracemalloc
+
+    monkeypatch.setattr(decontamination, "HIT_PAIRS", 1 << 18)
+    block = decontamination.Block([1], ["same " * 400])
+    text = ("same " * 6000).encode()
+    words = words_in(np.frombuffer(text, np.uint8), np.array([0, len(text)], np.int64), decontamination.NOT_ALNUM, decontamination.FOLDED)
+    tracemalloc.start()
+    found = list(block.overlaps(words))
+    assert tracemalloc.get_traced_memory()[1] < 150 << 20
+    tracemalloc.stop()
+    assert len(found) == 6000 + 400 - 2 * 13 + 1 and max(length for *_, length in found) == 400
+
+
 def test_items_without_an_id_count(spark):
     benchmark = spark.createDataFrame([(None, "s1 s2 s3 s4 s5 s6"), (2, None)], "item_id long, text string")
     docs = spark.createDataFrame([(1, "x s1 s2 s3 s4 s5 s6"), (2, "x y")], "doc_id long, text string")

@@ -2,7 +2,8 @@
 
 A worklist starts with the text. Every layer is scanned for secrets, and what
 it holds encoded becomes further layers: percent escapes, Unicode and character
-escapes, base64 runs, and compressed bytes in any of them. Layers are taken
+escapes, escapes of quoted strings, base64 runs (wrapped at any width from
+``MIN_RUN`` on, indented or not), and compressed bytes anywhere in any of them. Layers are taken
 until none is left; a layer that was seen before at the same place is not taken
 again, so an encoding that contains itself ends. Each layer knows which code
 points of the text every one of its characters comes from, and the spans found
@@ -13,9 +14,15 @@ or before other characters of its alphabet. Bytes that are no UTF-8 stay in a
 layer as one character each, next to what is valid; UTF-16 is read wherever it
 stands in a layer.
 
-All members of a compressed stream are expanded, together up to
-``MAX_LAYER_BYTES``; a larger one, which no bounded memory can hold, is counted
-in ``n_closed`` and read in overlapping pieces.
+A compressed stream may begin at any place of a layer, whose characters are
+taken as the bytes of their UTF-8 and, below 256, as bytes themselves. All
+members of a stream are expanded, together up to ``MAX_LAYER_BYTES``; a larger
+one, which no bounded memory can hold, is counted in ``n_closed`` and read in
+overlapping pieces. A stream that ends properly is read once. Those that break
+off may together read ``SPARE_FACTOR`` times the layer (``SPARE_BYTES`` at
+least), so time grows with the size of hostile texts; beyond that only the
+first ``PROBE`` bytes of a stream are read, and the layer is counted in
+``n_closed``.
 
 Nulls: a null text is an empty one and has no spans; a null id is kept.
 Repeated rows are scanned alike. An empty table gives an empty result. Other
@@ -30,7 +37,7 @@ import hashlib
 import lzma
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -40,8 +47,11 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 MAX_LAYER_BYTES = 64 << 20
 PIECE_BYTES = 4 << 20
-OVERLAP_BYTES = 1 << 16
+OVERLAP_BYTES = 1 << 20
 MIN_RUN = 16
+PROBE = 1 << 10
+SPARE_FACTOR = 64
+SPARE_BYTES = 1 << 22
 
 # The kinds of secrets in their order, the names of assigned
 # secrets, and the least sizes.
@@ -58,15 +68,23 @@ _NAMES = ("passw", "secret", "token", "api")
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})|&#[xX]([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
 _RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{%d,}+={0,2}" % MIN_RUN)
-_WRAPPED = re.compile(r"(?:[A-Za-z0-9+/]{60,76}\r?\n)+[A-Za-z0-9+/]{1,76}={0,2}")
+_WRAPPED = re.compile(
+    r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-]{%d,}+[ \t]*+\r?\n[ \t]*+)+[A-Za-z0-9+/_-]++={0,2}" % MIN_RUN
+)
+_STRING = re.compile(r"""\\(?:["'\\/bfnrt0]|u[0-9A-Fa-f]{4}|x[0-9A-Fa-f]{2})""")
+_SIMPLE = {"b": "\b", "f": "\f", "n": "\n", "r": "\r", "t": "\t", "0": "\0"}
 _CONTROL = re.compile(r"[\x00-\x08\x0b\x0c\x0e-\x1f]")
 # The shortest secret, and any text that encodes one, has so many ASCII characters in a row, of one or two bytes.
 _ASCII = re.compile(rb"[\t\n\r -~]{12}|(?:[\t\n\r -~]\x00){11}|(?:\x00[\t\n\r -~]){11}")
 # Characters of UTF-16 of one byte, either byte first; a byte order mark is not one of them.
 _WIDE = re.compile(r"(?:\x00[^\x00]){4,}|(?:[^\x00\udcff]\x00){4,}")
-# How base64 of gzip, bz2, xz and zlib streams begins.
-_PACKED = re.compile(r"(?=H4sI|Qlpo|/Td6WFoA|e(?:A[E-H]|F[4-7]|J[w-z]|N[o-r]))")
-_PROBE = 1024
+# How gzip, bz2, xz and zlib streams begin, as bytes and in a layer, where bytes that are no UTF-8 are U+DC80 to U+DCFF.
+_HEADS = re.compile(rb"\x1f\x8b\x08|BZh[1-9](?:1AY&SY|\x17rE8P\x90)|\xfd7zXZ\x00|x[\x01\x5e\x9c\xda]")
+_HEAD = re.compile(
+    "\x1f[\x8b\udc8b]\x08|BZh[1-9](?:1AY&SY|\x17rE8P[\x90\udc90])|[\xfd\udcfd]7zXZ\0|x[\x01^\x9c\xda\udc9c\udcda\u0680-\u06bf]"
+)
+_LONE = re.compile("[\ud800-\udc7f\udd00-\udfff]")
+_BROKEN = (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError)
 
 Span = tuple[int, int, int]  # start, kind, end
 
@@ -78,6 +96,7 @@ class Layer:
     text: str
     starts: np.ndarray | None = None  # None: the document itself
     ends: np.ndarray | None = None
+    searched: bool = False  # whether streams were looked for in its bytes before
 
     def place(self, start: int, end: int) -> tuple[int, int]:
         if self.starts is None:
@@ -113,27 +132,55 @@ def opened(data: bytes):
     return None
 
 
-def pieces(data: bytes) -> Iterator[bytes]:
-    """The bytes of all members of a compressed stream, up to where it breaks off."""
-    while (stream := opened(data)) is not None:
-        zipped = not hasattr(stream, "needs_input")
-        while not stream.eof:
+class Stream:
+    """The members of a compressed stream that begins at ``start`` of ``data``.
+
+    ``end`` is where reading has come to, and ``whole`` whether the last member
+    has ended properly. Input is fed in growing parts, so a short member costs
+    its own size, wherever it stands.
+    """
+
+    def __init__(self, data: bytes, start: int = 0, limit: int | None = None) -> None:
+        self.data, self.end, self.whole = data, start, False
+        self.limit = len(data) if limit is None else min(len(data), start + limit)
+
+    def pieces(self) -> Iterator[bytes]:
+        while (member := opened(self.data[self.end : min(self.end + 8, self.limit)])) is not None:
+            self.whole = False
             try:
-                out = stream.decompress(data, PIECE_BYTES)
-            except (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError):
+                yield from self.member(member)
+            except _BROKEN:
+                return
+            if not member.eof:
                 return
-            data = stream.unconsumed_tail if zipped else b""
-            if out:
-                yield out
-            elif not stream.eof:
+            self.whole = True
+            self.end -= len(member.unused_data)
+            after = self.end
+            while after < self.limit and not self.data[after]:
+                after += 1
+            if opened(self.data[after : min(after + 8, self.limit)]) is None:
                 return
-        data = stream.unused_data.lstrip(b"\0")
+            self.end = after
+
+    def member(self, member) -> Iterator[bytes]:
+        zipped, feed = not hasattr(member, "needs_input"), PROBE
+        while not member.eof and self.end < self.limit:
+            given = self.data[self.end : min(self.end + feed, self.limit)]
+            self.end += len(given)
+            feed = min(2 * feed, PIECE_BYTES)
+            more = True
+            while more and not member.eof:
+                out = member.decompress(given, PIECE_BYTES)
+                given = member.unconsumed_tail if zipped else b""
+                more = bool(given) or len(out) == PIECE_BYTES or not (zipped or member.needs_input)
+                if out:
+                    yield out
 
 
 def expanded(data: bytes) -> bytes | None:
     """The bytes in a compressed stream, ``data`` itself if it is none, None if they exceed the limit."""
     found, size = [], 0
-    for piece in pieces(data):
+    for piece in Stream(data).pieces():
         size += len(piece)
         if size > MAX_LAYER_BYTES:
             return None
@@ -200,10 +247,14 @@ class Scan:
             self.replace(layer, _PERCENT, self.percent)
         if ("\\" in text or "&#" in text) and _ESCAPE.search(text):
             self.replace(layer, _ESCAPE, self.escape)
+        if "\\" in text and _STRING.search(text):
+            self.replace(layer, _STRING, self.string)
         if "\0" in text:
             self.replace(layer, _WIDE, self.wide)
+        if _HEAD.search(text):
+            self.packed(layer)
         runs = [match.span() for match in _RUN.finditer(text)]
-        if any(end - start >= 60 for start, end in runs):
+        if runs and "\n" in text:
             runs += [match.span() for match in _WRAPPED.finditer(text)]
         for start, end in runs:
             self.base64(layer, start, end)
@@ -238,11 +289,8 @@ class Scan:
             starts, ends = layer.starts[starts], layer.ends[ends - 1]
         return Layer(text, starts, ends)
 
-    def percent(self, layer: Layer, match: re.Match) -> tuple[str, list[int], list[int]] | None:
-        data = bytes.fromhex(match[0].replace("%", ""))
-        if self.compressed(layer, data, *match.span()):
-            return None
-        part = text_of(data)
+    def percent(self, layer: Layer, match: re.Match) -> tuple[str, np.ndarray, np.ndarray]:
+        part = text_of(bytes.fromhex(match[0].replace("%", "")))
         edges = match.start() + 3 * byte_edges(part)
         return part, edges[:-1], edges[1:]
 
@@ -256,29 +304,64 @@ class Scan:
         starts = np.arange(match.start(), match.end(), 2)
         return match[0].replace("\0", ""), starts, starts + 2
 
-    def compressed(self, layer: Layer, data: bytes, start: int, end: int) -> bool:
-        """Take the text of a compressed stream as a layer of its own; whether ``data`` was one."""
-        hops: set[bytes] = set()
-        inner: bytes | None = data
-        while inner is not None and hashlib.sha256(inner).digest() not in hops:
-            hops.add(hashlib.sha256(inner).digest())
-            packed, following = inner, expanded(inner)
-            if following == inner:
-                break
-            inner = following
-        if len(hops) == 1 and inner is not None:
-            return False
-        first, last = layer.place(start, end)
-        if inner is None:
+    def string(self, layer: Layer, match: re.Match) -> tuple[str, list[int], list[int]]:
+        """A character that a quoted string escapes."""
+        code = match[0][1:]
+        char = chr(int(code[1:], 16)) if len(code) > 1 else _SIMPLE.get(code, code)
+        return char, [match.start()], [match.end()]
+
+    def packed(self, layer: Layer) -> None:
+        """Compressed streams in the characters of a layer, taken as UTF-8 and as bytes."""
+        text = _LONE.sub("?", layer.text)
+        if text.isascii():
+            if not layer.searched:
+                self.compressed(text.encode(), layer.place)
+            return
+        data, edges = text.encode("utf-8", "surrogateescape"), byte_edges(text)
+
+        def characters(start: int, end: int) -> tuple[int, int]:
+            first, last = np.searchsorted(edges, [start, end - 1], "right")
+            return layer.place(int(first) - 1, int(last))
+
+        if not layer.searched:
+            self.compressed(data, characters)
+        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+        if ((codes >= 0x80) & (codes < 0x100)).any():
+            codes = np.where((codes >= 0xDC80) & (codes <= 0xDCFF), codes - 0xDC00, codes)
+            self.compressed(np.where(codes < 0x100, codes, 0).astype(np.uint8).tobytes(), layer.place)
+
+    def compressed(self, data: bytes, place: Callable[[int, int], tuple[int, int]]) -> None:
+        """Take what the compressed streams in ``data`` hold as layers; ``place`` is where bytes stand in the text."""
+        spare, at, closed = max(SPARE_BYTES, SPARE_FACTOR * len(data)), 0, False
+        while (head := _HEADS.search(data, at)) is not None:
+            start = head.start()
+            stream = Stream(data, start, None if spare > 0 else PROBE)
+            self.expand(stream, start, place)
+            at = stream.end if stream.whole else start + 1
+            if not stream.whole:
+                closed |= spare <= 0 and stream.end == stream.limit < len(data)
+                spare -= stream.end - start
+        self.closed += closed
+
+    def expand(self, stream: Stream, start: int, place: Callable[[int, int], tuple[int, int]]) -> None:
+        """A layer of what ``stream`` holds, or overlapping ones if it is too large for one."""
+        held, size, large = [], 0, False
+        for piece in stream.pieces():
+            held.append(piece)
+            size += len(piece)
+            large |= size > MAX_LAYER_BYTES
+            if large:
+                self.pieces_of(b"".join(held), *place(start, stream.end))
+                held = [b"".join(held)[-OVERLAP_BYTES:]]
+        if large:
             self.closed += 1
-            rest = b""
-            for piece in pieces(packed):
-                self.push_bytes(rest + piece, first, last)
-                self.drain()
-                rest = (rest + piece)[-OVERLAP_BYTES:]
-        else:
-            self.push_bytes(inner, first, last)
-        return True
+        elif held:
+            self.push_bytes(b"".join(held), *place(start, stream.end))
+
+    def pieces_of(self, data: bytes, first: int, last: int) -> None:
+        for at in range(0, max(len(data) - OVERLAP_BYTES, 1), PIECE_BYTES):
+            self.push_bytes(data[at : at + PIECE_BYTES + OVERLAP_BYTES], first, last)
+            self.drain()
 
     def push_bytes(self, data: bytes, first: int, last: int) -> None:
         """A layer of which every character comes from the same place."""
@@ -287,22 +370,23 @@ class Scan:
 
     def base64(self, layer: Layer, start: int, end: int) -> None:
         run = layer.text[start:end]
-        places = np.array([i for i, c in enumerate(run) if c not in "=\r\n"], np.int64) if "\n" in run else None
-        digits = re.sub(r"[=\r\n]", "", run).translate({45: 43, 95: 47})
+        places = np.array([i for i, c in enumerate(run) if c not in "=\r\n\t "], np.int64) if "\n" in run else None
+        digits = re.sub(r"[=\r\n\t ]", "", run).translate({45: 43, 95: 47})
 
-        def bytes_from(first: int, last: int | None = None) -> bytes:
-            some = digits[first:last]
+        def bytes_from(first: int) -> bytes:
+            some = digits[first:]
             some = some[: len(some) - (len(some) % 4 == 1)]
             return base64.b64decode(some + "=" * (-len(some) % 4))
 
-        for match in _PACKED.finditer(digits):
-            at = match.start()
-            # What only looks like the two bytes of a zlib stream breaks off soon and is not decoded whole.
-            if digits[at] == "e" and next(pieces(bytes_from(at, at + _PROBE)), None) is None:
-                continue
-            self.compressed(layer, bytes_from(at), start + (at if places is None else int(places[at])), end)
         for shift in range(4):
             data = bytes_from(shift)
+
+            def digits_of(first: int, last: int, shift: int = shift, size: int = len(data)) -> tuple[int, int]:
+                span = np.array([shift + 8 * first // 6, shift + (8 * last - 1) // 6])
+                span = span if places is None else places[span]
+                return layer.place(start + int(span[0]), end if last == size else start + int(span[1]) + 1)
+
+            self.compressed(data, digits_of)
             if not _ASCII.search(data) and (shift or not plain(data)):
                 continue
             text = text_of(data)
@@ -311,7 +395,9 @@ class Scan:
             first, last = shift + 8 * edges[:-1] // 6, shift + (8 * edges[1:] - 1) // 6
             if places is not None:
                 first, last = places[first], places[last]
-            self.push(self.mapped(layer, text, start + first, start + last + 1))
+            decoded = self.mapped(layer, text, start + first, start + last + 1)
+            decoded.searched = True
+            self.push(decoded)
 
 
 def written(spans: list[Span]) -> str:

@@ -5,9 +5,11 @@ import bz2
 import gzip
 import hashlib
 import itertools
+import json
 import lzma
 import random
 import re
+import timeit
 import urllib.parse
 import zlib
 from collections import Counter
@@ -208,6 +210,63 @@ def test_generated_nestings_are_found():
         assert "assign:" in spans(text), (n, text)
 
 
+def escaped(data, one, raw=b""):
+    return "".join(chr(byte) if byte in raw else one % byte for byte in data)
+
+
+@pytest.mark.parametrize("pack", [gzip.compress, zlib.compress, bz2.compress, lzma.compress])
+def test_compressed_bytes_are_found_in_every_layer(pack):
+    rng = random.Random(3)
+    letters = b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789_.-~"
+    for _ in range(12):
+        data = pack(f"{rng.random()} {SECRET} {rng.random()}".encode())
+        quoted = urllib.parse.quote(data, safe="")
+        for layer in (
+            quoted, f"%20{quoted}", urllib.parse.quote(quoted, safe=""), escaped(data, "%%%02x", letters), escaped(data, "\\x%02x"),
+            escaped(data, "\\u%04x"), escaped(data, "&#%d;"), escaped(data, "&#x%x;"), repr(data)[2:-1], data.decode("latin-1"),
+            base64.b64encode(b"?" + data).decode(), base64.b64encode(b"\xfe\xff" + data + b"\x80").decode(),
+            base64.b64encode(pack(data)).decode(),
+        ):
+            # The span starts at the stream's first byte; what stands behind is not part of it.
+            found = {tuple(map(int, s.split(":")[1:])) for s in spans(f"q {layer} r").split(",") if s.startswith("assign:")}
+            assert any(2 <= start <= 5 and len(layer) - 4 <= end <= len(layer) + 2 for start, end in found), (layer, found)
+        layer = escaped(data, "\\x%02x")
+        # xz keeps short texts as they are, so there the secret is also read without the stream.
+        assert f"assign:2:{2 + len(layer)}" in spans(f"q {layer} r").split(",")
+
+
+def test_quoted_strings_and_wrapped_runs_are_unwrapped():
+    once = json.dumps(f'{{"password": "hunter22x/{"y" * 4}"}}').replace("/", "\\/")
+    for text in (once, json.dumps(once), json.dumps(json.dumps(once))):
+        assert any(s.startswith("assign:") for s in spans(text).split(",")), text
+    whole = base64.b64encode(f"{'. ' * 37}{SECRET}{' .' * 40}".encode()).decode()
+    for width in (16, 40, 64, 76, 100):
+        for indent in ("", "    ", "\t"):
+            for feed in ("\n", "\r\n"):
+                wrapped = feed.join(indent + whole[i : i + width] for i in range(0, len(whole), width))
+                text = f"x\n{wrapped}\n"
+                first, last = ((8 * b // 6) for b in (74, 74 + len(SECRET) - 1))
+                digits = [i for i, c in enumerate(text) if i > 1 and not c.isspace()]
+                end = digits[(8 * (74 + len(SECRET)) - 1) // 6] + 1
+                assert f"assign:{digits[first]}:{end}" in spans(text).split(","), (width, indent, last)
+
+
+@pytest.mark.parametrize("unit", ["H4sI", "eJw", "QlpoOTFBWSZTWQ", "x^", "%1f%8b%08", "\\x1f\\x8b\\x08", "/Td6WFoA", "aaaa\n"])
+def test_hostile_texts_take_time_in_proportion(unit):
+    def seconds(size):
+        text = unit * (size // len(unit))
+        return min(timeit.repeat(lambda: Scan(text), number=1, repeat=2))
+
+    seconds(10_000)
+    assert seconds(400_000) < 4 * seconds(200_000) + 0.5
+
+
+def test_a_secret_behind_hostile_bytes_is_found_and_what_stays_closed_is_counted():
+    hostile = b"\x1f\x8b\x08\x1f" * 60_000
+    scan = Scan(base64.b64encode(hostile + gzip.compress(SECRET.encode())).decode())
+    assert scan.closed >= 1 and any(kind == 0 for _, kind, _ in scan.spans)
+
+
 # 2 Toxicity, 3 quality
 
 

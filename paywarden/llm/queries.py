@@ -19,6 +19,7 @@ from paywarden.llm.quality_rules import judge_documents
 from paywarden.llm.resampling import resample
 from paywarden.llm.secret_scan import scan_secrets
 from paywarden.llm.sharding import assign_shards, number_slots
+from paywarden.llm.storage import saved
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -83,7 +84,8 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.crc32(text).alias("text_crc32"),
         F.lit("key").alias("law"),
     )
-    return number_slots(assign_shards(docs), ["doc_id", "text_crc32"]).drop("key_number")
+    placed = saved(assign_shards(docs), "placed")
+    return number_slots(placed, ["doc_id", "text_crc32"]).drop("key_number")
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,15 +13,14 @@ like a result column are replaced.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from paywarden.llm.positions import numbered
 from paywarden.llm.storage import hex_number
 
 KEY_DIGITS = 15
 NULL_KEY = "\\N"
-# Lanes split a shard for numbering; offsets are one row per shard and lane.
-LANE_BITS = 10
 
 # Fixed value: the multiplier of the published generator,
 # 2862933555777941757, in 16-bit parts from the lowest.
@@ -104,21 +103,12 @@ def assign_shards(docs: DataFrame, key: str = "doc_id", shards: int = 24) -> Dat
 def number_slots(placed: DataFrame, ties: list[str]) -> DataFrame:
     """Add ``slot``, the row's rank in its shard by key number and ``ties``, from 0 without gaps.
 
-    A shard is too large for one task, so it is cut into lanes by the leading
-    bits of the key number. Lanes are counted first, from the key alone; their
-    running totals (``shards * 2^LANE_BITS`` rows at most) are broadcast, and
-    only a lane is sorted in one task.
+    Rows are dealt out by ranges of that order, not by key, so a key that holds
+    a third of all rows spreads over many tasks; rows equal in all of it are
+    told apart by their place in the table. Only one row per range and shard is
+    summed up. The ranges are cut by a sample of the order's columns, so
+    ``ties`` are short columns. ``placed`` reads a written table and has no
+    columns ``position`` and ``total`` and none that begins with an underscore.
     """
-    lanes = placed.withColumn("_lane", F.shiftright("key_number", 4 * KEY_DIGITS - LANE_BITS))
-    counts = lanes.groupBy("shard", "_lane").agg(F.count(F.lit(1)).alias("_rows"))
-    earlier = Window.partitionBy("shard").orderBy("_lane").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        "shard", "_lane", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset")
-    )
-    inside = Window.partitionBy("shard", "_lane").orderBy("key_number", *ties)
-    return (
-        lanes.withColumn("_rank", F.row_number().over(inside))
-        .join(F.broadcast(offsets), ["shard", "_lane"])
-        .withColumn("slot", F.col("_offset") + F.col("_rank") - 1)
-        .drop("_lane", "_rank", "_offset")
-    )
+    ranked = numbered(placed, [F.col(name) for name in ("key_number", *ties)], "shard")
+    return ranked.withColumn("slot", F.col("position")).drop("position", "total")

@@ -515,6 +515,24 @@ def test_shards_of_awkward_rows(spark, tricky, tmp_path):
     assert len({(r["shard"], r["slot"]) for r in got}) == len(TRICKY)
 
 
+def test_rows_of_one_id_are_numbered_by_several_tasks(spark, tmp_path):
+    ids = F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 3 == 1, F.col("id"))
+    spark.range(6000).select(ids.alias("doc_id"), (F.col("id") % 50).alias("tie")).write.parquet(f"{tmp_path}/rows")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        placed = number_slots(assign_shards(spark.read.parquet(f"{tmp_path}/rows")), ["doc_id", "tie"])
+        rows = placed.withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    for hot in (7, None):
+        assert len({r["task"] for r in rows if r["doc_id"] == hot}) > 1
+    for shard in range(24):
+        inside = sorted((r for r in rows if r["shard"] == shard), key=lambda r: r["slot"])
+        assert [r["slot"] for r in inside] == list(range(len(inside)))
+        order = [(r["key_number"], r["doc_id"] or -1, r["tie"]) for r in inside]
+        assert order == sorted(order)
+
+
 def test_mix_reaches_capped_targets(spark):
     rows = [(n, "w " * 10, source) for n, source in enumerate(["a"] * 30 + ["b"] * 600 + [None] * 300)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")

@@ -73,14 +73,17 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Add ``shard`` and the row's ``slot`` in it; copies of a document share a shard.
 
-    Rows with equal ids are ordered by the hash of their text and then by all
-    columns, so only rows that are equal in all of them can change places.
+    Rows with equal ids are ordered by the digest of their text and then of all
+    other columns, so only rows that are equal in all of them can change places.
     Given columns of these two names are replaced.
     """
 
     def placed(given: DataFrame) -> DataFrame:
-        hashed = assign_shards(given, "doc_id", SHARDS).withColumn("text_hash", F.xxhash64("text"))
-        numbered = number_slots(hashed, ["doc_id", "text_hash", *given.columns])
+        others = F.struct(*(name for name in given.columns if name != "text"))
+        digested = assign_shards(given, "doc_id", SHARDS).withColumns(
+            {"text_hash": F.md5("text"), "row_hash": F.md5(F.to_json(others, {"ignoreNullFields": "false"}))}
+        )
+        numbered = number_slots(digested, ["doc_id", "text_hash", "row_hash"])
         return numbered.select(*given.columns, "shard", "slot")
 
     return keeping(docs, placed)

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paywarden import schemas
+from paywarden.functions.curve import interleaved
 
 NAMESPACES = ("bronze", "silver", "gold", "ops")
 
@@ -485,15 +486,16 @@ def _partition_value(table: Table) -> Column:
 
 
 def _laid_out(rows: DataFrame, table: Table, keys: list[str] | None = None) -> DataFrame:
-    """One partition's rows together, in files of the advisory size, sorted by the cluster columns.
+    """One partition's rows together, in files of the advisory size, near each other in the cluster columns.
 
     The rebalance keeps a task from writing a sliver into every date, and AQE
     splits a date that is larger than one file. The sort gives each row group
-    narrow column ranges to skip on.
+    narrow ranges of all cluster columns to skip on, also of the last one.
     """
     # Spark's Parquet tables do not keep NOT NULL, so every writer checks.
     whole = require_values(rows, table.schema) if table.form == "parquet" else rows
     dated = whole.withColumn(table.partition, _partition_value(table))
+    near = [interleaved([F.col(name) for name in table.cluster])] if len(table.cluster) > 1 else []
     return dated.hint("rebalance", table.partition).sortWithinPartitions(
-        *(table.partitions if keys is None else keys), *table.cluster
+        *(table.partitions if keys is None else keys), *near, *table.cluster
     )

@@ -260,8 +260,8 @@ def test_case_and_projection(spark):
     rows = process_messages(messages(spark, [event(merchant_category="TraVel", extra=1)]), AS_OF)
     assert valid_payments(rows).columns == ["publish_ts", *BRONZE.fieldNames()]
     row = rows.first()
-    assert (row.merchant_category, row.currency, row.home_country) == ("travel", "USD", "US")
-    assert (row.txn_country, row.payment_method, row.txn_status) == ("GB", "VISA", "APPROVED")
+    assert (row.merchant_category, row.currency, row.home_country) == ("travel", "NOK", "NO")
+    assert (row.txn_country, row.payment_method, row.txn_status) == ("PT", "AMEX", "APPROVED")
 
 
 def test_lateness_is_strict_and_uses_full_precision(spark):
@@ -294,7 +294,7 @@ SCORES = [
     ({"amount": 1499.999}, 20, "LOW"),
     ({"amount": 1500}, 40, "MEDIUM"),
     ({"txn_country": "gb"}, 25, "LOW"),
-    ({"txn_country": "US"}, 25, "LOW"),
+    ({"txn_country": "NO"}, 25, "LOW"),
     ({"txn_country": "gb", "txn_status": "declined"}, 30, "MEDIUM"),
     ({"amount": 1500, "is_new_device": True}, 55, "MEDIUM"),
     ({"amount": 1500, "is_new_device": True, "txn_status": "Declined"}, 60, "HIGH"),
@@ -306,7 +306,7 @@ SCORES = [
 
 def test_scores(spark):
     plain = dict(
-        amount=10, txn_country="us", is_card_present=True, is_new_device=False, merchant_category="fuel"
+        amount=10, txn_country="no", is_card_present=True, is_new_device=False, merchant_category="fuel"
     )
     rows = processed(spark, [event(**{**plain, **changes}) for changes, _, _ in SCORES])
     assert [(r.risk_score, r.risk_level) for r in rows] == [(s, level) for _, s, level in SCORES]

@@ -52,6 +52,9 @@ SHINGLE = 5
 PERCENT = 80
 # Buckets of the sieve for each shuffle partition.
 BUCKETS_PER_PARTITION = 32
+# A shingle in this many prefixes, or a component of this many rows, is joined apart from the others, without a
+# shuffle of its rows: there is one of them in so many rows at most.
+HOT = 1_000
 # Shingles that a task gathers before it sends them.
 GATHERED = 600_000
 SKETCH_BITS = 20
@@ -327,12 +330,15 @@ def links_of(sets: DataFrame) -> DataFrame:
     groups = prefixes.groupBy("n", "key").agg(F.min("class").alias("lead"), F.first("prefix").alias("prefix"))
     members = prefixes.select("n", "key", "class").join(groups.select("n", "key", "lead"), ["n", "key"])
     members = saved(members.select("class", "lead"), "jaccard-members")
-    postings = groups.select("lead", "n", F.posexplode("prefix").alias("at", "shingle"))
+    postings = saved(groups.select("lead", "n", F.posexplode("prefix").alias("at", "shingle")), "jaccard-prefixes")
     lists = postings.groupBy("shingle").agg(
         F.count(F.lit(1)).alias("held"), F.min(F.struct("at", "lead", "n")).alias("head")
     )
+    lists = saved(lists.where("held > 1"), "jaccard-lists")
+    hot = small(lists.where(F.col("held") >= HOT))
+    usual = postings.join(hot.select("shingle"), "shingle", "left_anti").join(lists.where(F.col("held") < HOT), "shingle")
     met = saved(
-        postings.join(lists.where("held > 1"), "shingle").select("shingle", "lead", "n", "at", "head"),
+        postings.join(hot, "shingle").unionByName(usual).select("shingle", "lead", "n", "at", "head"),
         "jaccard-postings",
     )
     head = met.where(F.col("lead") != F.col("head.lead")).where(
@@ -388,20 +394,24 @@ def described_components(docs: DataFrame) -> DataFrame:
     labels = connected_components(links_of(sets_of(docs, classes))).withColumnsRenamed(
         {"node": "class", "component": "group"}
     )
-    placed = sets.join(labels, "class", "left").withColumn("group", F.coalesce("group", "class"))
+    placed = sets.join(small(labels), "class", "left").withColumn("group", F.coalesce("group", "class"))
+    linkable = F.col("doc_id").isNotNull() & (F.col("n") > 0)
     lowest = (
-        placed.where("doc_id is not null and n > 0")
+        placed.where(linkable)
         .groupBy("group")
         .agg(F.min("doc_id").alias("lowest"), F.count(F.lit(1)).alias("rows"))
         # A component of one row is its own smallest id; only others are joined back.
         .where("rows > 1")
-        .select("group", "lowest")
+        .select("group", "lowest", "rows")
     )
-    joined = placed.join(lowest, "group", "left")
-    component = F.when(F.col("doc_id").isNotNull() & (F.col("n") > 0), F.coalesce("lowest", "doc_id")).otherwise(
-        F.col("doc_id")
-    )
-    return joined.select("doc_id", "n", "class", component.alias("component_id"))
+    lowest = saved(lowest, "jaccard-lowest")
+    hot = small(lowest.where(F.col("rows") >= HOT).select("group", F.col("lowest").alias("hot")))
+    usual = lowest.where(F.col("rows") < HOT).select("group", "lowest")
+    split = placed.join(hot, "group", "left")
+    asking = linkable & F.col("hot").isNull()
+    settled = split.where(~asking).withColumn("lowest", F.when(linkable, F.col("hot")))
+    joined = settled.unionByName(split.where(asking).join(usual, "group", "left"))
+    return joined.select("doc_id", "n", "class", F.coalesce("lowest", "doc_id").alias("component_id"))
 
 
 def similar_components(docs: DataFrame) -> DataFrame:

@@ -576,7 +576,9 @@ def brute_components(rows):
     return {doc_id: (len(sets[i]), lowest[root(i)]) for i, (doc_id, _) in enumerate(rows)}
 
 
-def test_components_equal_brute_force(spark):
+@pytest.mark.parametrize("hot", [jaccard_join.HOT, 3])
+def test_components_equal_brute_force(spark, monkeypatch, hot):
+    monkeypatch.setattr(jaccard_join, "HOT", hot)
     rng = random.Random(4)
     passage = [f"p{i}" for i in range(60)]
     rows = []

@@ -495,7 +495,10 @@ def _laid_out(rows: DataFrame, table: Table, keys: list[str] | None = None) -> D
     # Spark's Parquet tables do not keep NOT NULL, so every writer checks.
     whole = require_values(rows, table.schema) if table.form == "parquet" else rows
     dated = whole.withColumn(table.partition, _partition_value(table))
-    near = [interleaved([F.col(name) for name in table.cluster])] if len(table.cluster) > 1 else []
-    return dated.hint("rebalance", table.partition).sortWithinPartitions(
-        *(table.partitions if keys is None else keys), *near, *table.cluster
-    )
+    together = dated.hint("rebalance", table.partition)
+    first = table.partitions if keys is None else keys
+    if len(table.cluster) < 2:
+        return together.sortWithinPartitions(*first, *table.cluster)
+    # A column of its own, as a sort computes an expression again for each comparison.
+    keyed = together.withColumn("_near", interleaved([F.col(name) for name in table.cluster]))
+    return keyed.sortWithinPartitions(*first, "_near", *table.cluster).drop("_near")

@@ -304,12 +304,14 @@ def stream_update_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def message_stream(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
-    """The raw messages in files that each hold rows of all times, one for each micro-batch.
+    """The raw messages in files that each hold rows of all times, as many micro-batches as ``MESSAGE_FILES``.
 
-    Most rows are late by over 300 s after the first file.
+    Most rows are late by over 300 s after the first micro-batch. Each of them
+    has a file for every core, as a file of one row group is read by one task.
     """
-    raw_messages(spark, sf_dir).repartition(MESSAGE_FILES).write.parquet(folder)
-    return stream_from_files(spark, folder, maxFilesPerTrigger="1")
+    each = spark.sparkContext.defaultParallelism
+    raw_messages(spark, sf_dir).repartition(MESSAGE_FILES * each).write.parquet(folder)
+    return stream_from_files(spark, folder, maxFilesPerTrigger=str(each))
 
 
 def drained(spark: SparkSession, sf_dir: str) -> Lake:

@@ -7,6 +7,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from fixtures import cases
 from fixtures.payments import heartbeat, raw_messages
 from paywarden.plans.batch import deduplicated_payments, process_period
 from paywarden.schemas import BRONZE, RAW_STREAM
@@ -336,3 +337,32 @@ def test_stream_input_needs_no_inference(spark, tmp_path):
     put(spark, tmp_path / "in", [event()], "2024-05-01T10:02:00")
     stream = stream_from_files(spark, str(tmp_path / "in"), maxFilesPerTrigger="1")
     assert stream.isStreaming and stream.schema == RAW_STREAM
+
+
+def test_staged_rows_of_a_route_and_date_share_a_file(spark, tmp_path):
+    """However many tasks read the messages of a micro-batch."""
+    source, lake = tmp_path / "in", Lake(str(tmp_path / "lake"))
+    given = [event(transaction_id=f"P-{i}", amount=i % 4) for i in range(40)]
+    times = [f"2024-05-0{1 + i % 2}T10:02:00" for i in range(40)]
+    messages(spark, given, times).drop("n").repartition(4).write.parquet(str(source))
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    start_processing(stream_from_files(spark, str(source)), lake, AS_OF, ONCE).awaitTermination()
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == before
+
+    folders = [f.parent for f in Path(lake.staging_path).rglob("*.parquet")]
+    assert len(folders) == len(set(folders)) == 3
+    staged = spark.read.parquet(lake.staging_path)
+    assert staged.groupBy("route").count().collect() and staged.count() == 40
+
+
+def test_every_micro_batch_of_the_fixture_has_a_file_for_each_core(spark, tmp_path, monkeypatch):
+    given = messages(spark, [event(transaction_id=f"P-{i}") for i in range(200)]).drop("n")
+    monkeypatch.setattr(cases, "raw_messages", lambda *_: given)
+    source, lake = tmp_path / "in", Lake(str(tmp_path / "lake"))
+    stream = cases.message_stream(spark, SMALL, str(source))
+    start_processing(stream, lake, AS_OF, ONCE).awaitTermination()
+
+    cores = spark.sparkContext.defaultParallelism
+    assert len(list(source.rglob("*.parquet"))) == cases.MESSAGE_FILES * cores
+    commits = Path(lake.checkpoint_path("processing"), "commits").glob("[0-9]*")
+    assert len(list(commits)) == cases.MESSAGE_FILES

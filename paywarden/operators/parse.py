@@ -72,8 +72,9 @@ def parse_messages(messages: DataFrame) -> DataFrame:
         unclear.alias("_unclear"),
     )
 
-    # A closing bracket right after an object may end the added bracket early.
-    closes_early = F.col("raw_message").rlike(r"\}\s*\]") & F.expr(
+    # A closing bracket right after an object may end the added bracket early. Few texts have
+    # one at all, which is told without the search by pattern.
+    closes_early = F.col("raw_message").contains("]") & F.col("raw_message").rlike(r"\}\s*\]") & F.expr(
         "try_parse_json(concat('{\"m\":', raw_message, '}')) IS NULL"
     )
     element = F.try_variant_get("_bracketed", "$[0]", "variant")

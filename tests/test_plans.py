@@ -7,11 +7,12 @@ from fixtures.payments import raw_messages
 from paywarden.operators.curate import curate_transactions
 from paywarden.operators.dedup import earliest_per_minute
 from paywarden.operators.kpis import country_fraud_hotspots, merchant_hourly_kpis
+from paywarden.operators.parse import parse_messages
 from paywarden.operators.quality import audit_transactions
 from paywarden.operators.validate import process_messages, valid_payments
 from paywarden.sources import lake as tables
 from paywarden.sources.lake import Lake
-from tests.conftest import SMALL
+from tests.conftest import SMALL, event, messages
 
 
 def physical(frame):
@@ -62,3 +63,8 @@ def test_the_audit_scans_and_shuffles_once(spark, tmp_path):
 
 def test_the_fixture_stream_is_a_stream(spark, tmp_path):
     assert message_stream(spark, SMALL, str(tmp_path / "heartbeat")).isStreaming
+
+
+def test_only_texts_with_a_closing_bracket_are_searched_by_pattern(spark):
+    given = messages(spark, [event()]).drop("n")
+    assert "Contains(raw_message" in physical(parse_messages(given))

@@ -5,6 +5,9 @@ pages of the host that contain it, divided by the host's pages, exceed
 ``MAX_RATIO``; it must stand on ``MIN_PAGES`` pages at least, so that a host of
 one page keeps its text. The texts that remain are returned whole.
 
+The pages are read once: their texts and line hashes go to a written table, so
+that counting, marking and the result do not take tags out again each.
+
 Nulls: a null text has no lines, a null host is a host of its own. Repeated
 rows are pages of their own. Blank lines are kept. An empty table gives an
 empty result. Other columns of the input are ignored.
@@ -39,20 +42,19 @@ def page_text(html: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(seen, BREAKS, "\n"), TAG, "")
 
 
-def boilerplate(pages: DataFrame, max_ratio: float, min_pages: int) -> DataFrame:
+def boilerplate(hashed: DataFrame, max_ratio: float, min_pages: int) -> DataFrame:
     """``host`` and ``hash`` of the lines above the ratio, as a written table."""
-    hashed = with_line_hashes(pages, "text")
     counted = rows_per_line(hashed, "host").where(F.col("n") >= min_pages)
-    totals = pages.groupBy(F.col("host").alias("_host")).agg(F.count(F.lit(1)).alias("_pages"))
+    totals = hashed.groupBy(F.col("host").alias("_host")).agg(F.count(F.lit(1)).alias("_pages"))
     compared = counted.join(totals, F.col("host").eqNullSafe(F.col("_host")))
     return saved(compared.where(F.col("n") > F.col("_pages") * max_ratio).select("host", "hash"), "boilerplate")
 
 
 def drop_boilerplate(pages: DataFrame, max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
     """Pages of ``page_id``, ``host`` and ``text`` without boilerplate, with line counts."""
-    given = pages.select("page_id", "host", "text")
-    removals = boilerplate(given, max_ratio, min_pages)
-    lined = with_line_hashes(given, "text")
+    given = with_line_hashes(pages.select("page_id", "host", "text"), "text")
+    lined = saved(given.drop("lines"), "page-lines")
+    removals = boilerplate(lined, max_ratio, min_pages)
     marked = with_removed_lines(lined, lined.select("page_id", "text_hash", "host", "text"), "host", "page_id", removals)
     marked = marked.withColumn("lines", lines_of(F.col("text")))
     every = F.when(F.size("lines") > 0, F.sequence(F.lit(0), F.size("lines") - 1)).otherwise(

@@ -353,6 +353,20 @@ def test_boilerplate_is_relative_to_the_host(spark):
     assert got[20]["text"] == "menu\nx" and got[21]["text"] is None and got[21]["n_lines"] == 0
 
 
+def test_pages_are_turned_into_text_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(text):
+        made.add(1)
+        return text
+
+    rows = [(n, "a.com", f"menu\nbody {n}") for n in range(10)] + [(3, "a.com", "menu\nbody 3"), (20, None, None)]
+    frame = spark.createDataFrame(rows, "page_id long, host string, given string")
+    got = drop_boilerplate(frame.withColumn("text", F.udf(counted)("given"))).collect()
+    assert sorted(r["text"] or "" for r in got) == sorted([*(f"body {n}" for n in range(10)), "body 3", ""])
+    assert made.value == len(rows)
+
+
 def test_page_text_and_host(spark):
     html = "<html><title>T</title><script>x<y</script><p>a <b>b</b></p><!-- c --></html>"
     r = spark.createDataFrame([("HTTP://A.example.com:80/x", html)], "url string, html string").select(

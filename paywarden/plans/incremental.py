@@ -43,6 +43,7 @@ def refresh_changed(spark: SparkSession, lake: Lake) -> list[date] | None:
     with lake.scratch(spark, "silver") as folder:
         days, rows = _changed_silver(spark, lake, _of_runs(stored, added | gone), folder)
         lake.note_inputs(spark, [])
+        # Kept rows come from the files that are replaced, which stay until the new ones are complete.
         lake.replace_partitions(rows, tables.SILVER, days)
     silver = lake.read(spark, tables.SILVER).where(F.col(tables.SILVER.partition).isin(days))
     lake.replace_partitions(merchant_hourly_kpis(silver), tables.MERCHANT_KPIS, days)
@@ -54,7 +55,7 @@ def refresh_changed(spark: SparkSession, lake: Lake) -> list[date] | None:
 def _changed_silver(
     spark: SparkSession, lake: Lake, touched: DataFrame, folder: str
 ) -> tuple[list[date], DataFrame]:
-    """The dates that the ids of ``touched`` are or were in, and all their rows, written to ``folder``."""
+    """The dates that the ids of ``touched`` are or were in, and all their rows; the new ones are written to ``folder``."""
     day = tables.SILVER.partition
     ids = touched.select("transaction_id").distinct()
     old = lake.read(spark, tables.SILVER)
@@ -63,7 +64,7 @@ def _changed_silver(
     were = old.join(ids, "transaction_id", "left_semi").select(day)
     days = sorted(row[0] for row in were.unionAll(latest.select(day)).distinct().collect())
     kept = old.where(F.col(day).isin(days)).join(ids, "transaction_id", "left_anti")
-    return days, _written(kept.unionByName(latest).select(*SILVER.fieldNames()), f"{folder}/rows")
+    return days, kept.unionByName(latest).select(*SILVER.fieldNames())
 
 
 def _written(rows: DataFrame, path: str) -> DataFrame:

@@ -344,10 +344,15 @@ class Lake:
         return removed
 
     def replace_partitions(self, rows: DataFrame, table: Table, values: Iterable[date]) -> None:
-        """Make ``rows`` all that a rebuilt table holds of the dates ``values``; other dates keep their files."""
+        """Make ``rows`` all that a rebuilt table holds of the dates ``values``; other dates keep their files.
+
+        ``rows`` may come from the table itself: its files stay until all new
+        ones are written. The dates that have rows are told by the write.
+        """
         spark = rows.sparkSession
         folder = self._folder(table, self._version(spark, table))
-        laid = _laid_out(rows, table)
+        seen = Observation()
+        laid = _laid_out(rows, table).observe(seen, F.collect_set(table.partition).alias("dates"))
         (
             self._writer(laid, table.partitions)
             .options(**dict(table.options))
@@ -356,8 +361,7 @@ class Lake:
             .parquet(folder)
         )
         # Dates that have no rows any more are not overwritten.
-        left = {row[0] for row in rows.select(_partition_value(table)).distinct().collect()}
-        for day in set(values) - left:
+        for day in set(values) - set(seen.get["dates"]):
             _delete(spark, f"{folder}/{table.partition}={day}")
 
     def note_inputs(self, spark: SparkSession, runs: Iterable[tuple[str, str]]) -> None:

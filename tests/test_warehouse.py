@@ -1,5 +1,6 @@
 """De-duplication, silver, gold, audit and tables."""
 
+from datetime import date
 from pathlib import Path
 
 import pytest
@@ -343,6 +344,31 @@ def test_a_corrected_date_leaves_the_files_of_others(spark, tmp_path):
     assert lake.read(spark, tables.SILVER).count() == 1000
 
 
+def test_dates_are_replaced_from_the_table_itself_in_one_pass(spark, tmp_path):
+    """Rows of the replaced dates may come from their own files, and are made once."""
+    lake = Lake(str(tmp_path))
+    rows = curate_transactions(scored_payments(spark, SMALL))
+    lake.replace(rows, tables.SILVER)
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(day):
+        made.add(1)
+        return day
+
+    stored = lake.read(spark, tables.SILVER)
+    kept = stored.where("transaction_date = '2024-01-02' and risk_score > 0").withColumn("amount", F.col("amount") + 1)
+    n = kept.count()
+    again = kept.withColumn("transaction_date", F.udf(counted, "date")("transaction_date"))
+    lake.replace_partitions(again, tables.SILVER, [date(2024, 1, 2), date(2024, 1, 3)])
+    assert made.value == n
+    after = lake.read(spark, tables.SILVER)
+    day = F.col("transaction_date").cast("string")
+    expected = rows.where((day == "2024-01-01") | ((day == "2024-01-02") & (F.col("risk_score") > 0)))
+    expected = expected.withColumn("amount", F.when(day == "2024-01-02", F.col("amount") + 1).otherwise(F.col("amount")))
+    assert expected.exceptAll(after).isEmpty() and after.exceptAll(expected).isEmpty()
+    assert not files_of(lake, tables.SILVER, "2024-01-03")
+
+
 def test_a_refresh_that_failed_is_followed_by_a_rebuild(spark, tmp_path, monkeypatch):
     lake = Lake(str(tmp_path))
     rows = scored_payments(spark, SMALL).drop("publish_ts")
